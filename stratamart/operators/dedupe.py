@@ -25,18 +25,15 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Iterable[Column]) -
     Spark keeps one row per key within each map task before it shuffles, so a key
     that holds a large share of the rows stays small.
     """
-    ranked = Window.partitionBy(*keys).orderBy(*order)
+    ranked = Window.partitionBy(*keys).orderBy(*(list(order) or keys))
     return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
 
 
-def latest_first(df: DataFrame) -> list[Column]:
-    """Total order of raw rows: newest landing, then last file, then all other columns."""
+def latest_first(df: DataFrame, apart_from: Iterable[str] = ()) -> list[Column]:
+    """Total order of rows: newest landing, then last file, then all columns but those in ``apart_from``."""
     newest = [F.col(c).desc() for c in (INGESTED_AT, SOURCE_FILE) if c in df.columns]
-    rest = [
-        F.col(f"`{f.name}`").asc()
-        for f in df.schema.fields
-        if f.name not in (INGESTED_AT, SOURCE_FILE) and not _holds_map(f.dataType)
-    ]
+    passed = {INGESTED_AT, SOURCE_FILE, *apart_from}
+    rest = [F.col(f"`{f.name}`").asc() for f in df.schema.fields if f.name not in passed and not _holds_map(f.dataType)]
     return newest + rest
 
 
@@ -44,5 +41,4 @@ def drop_repeats(df: DataFrame, keys: Sequence[str] = (), order: Iterable[Column
     """One row per key, or distinct rows when there is no key."""
     if not keys:
         return df.dropDuplicates()
-    ties = latest_first(df) if order is None else [*order]
-    return first_per_key(df, keys, [c for c in ties])
+    return first_per_key(df, keys, latest_first(df, keys) if order is None else order)

@@ -9,30 +9,20 @@ from pyspark.sql import functions as F
 
 from stratamart.session import checkpointed
 
-# Up to this many rows one task numbers all of them.
-MAX_SINGLE_TASK_ROWS = 200_000
-
 # monotonically_increasing_id keeps the partition above bit 33 and the row below it.
 _ROW_BITS = 33
 
 
 def dense_surrogate_key(
-    df: DataFrame,
-    order: Sequence[str | Column],
-    name: str,
-    key_type: str = "int",
-    max_single_task_rows: int = MAX_SINGLE_TASK_ROWS,
+    df: DataFrame, order: Sequence[str | Column], name: str, key_type: str = "int"
 ) -> DataFrame:
     """Number rows 1..N in ``order``, which must be a total order.
 
-    A large frame is range-sorted once and checkpointed together with each row's place
-    in its partition, so the places cannot move afterwards. Adding the rows of all
-    earlier partitions (one number per partition, broadcast) makes the key dense. No
-    task sees more than its own range.
+    The rows are range-sorted once and checkpointed together with each row's place in
+    its partition, so the places cannot move afterwards. Adding the rows of all earlier
+    partitions (one number per partition, broadcast) makes the key dense. No task sees
+    more than its own range, and a key with many versions may span several.
     """
-    if df.count() <= max_single_task_rows:
-        number = F.row_number().over(Window.orderBy(*order)).cast(key_type)
-        return df.select(number.alias(name), "*")
     ordered = checkpointed(df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()))
     ordered = ordered.withColumn("_part", F.shiftright("_place", _ROW_BITS))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

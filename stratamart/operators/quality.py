@@ -53,7 +53,7 @@ def flag_orphans(
     reference: DataFrame,
     ref_column: str,
     flag: str,
-    keys_from: DataFrame | None = None,
+    keys_from: Callable[[], DataFrame] | None = None,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Add ``flag``: the value of ``column`` is not NULL and has no partner in the reference.
@@ -61,22 +61,20 @@ def flag_orphans(
     A small reference is broadcast as distinct keys. For a large one only the distinct
     values of ``column`` are compared with it, and the rows then meet just the values
     that have no partner: rows are not shuffled to the reference, and a value that
-    fills a third of the rows is one value. ``keys_from`` may name a cheaper frame that
+    fills a third of the rows is one value. ``keys_from`` may give a cheaper frame that
     holds at least the same values.
     """
-    known = reference.select(F.col(ref_column).alias("_known")).distinct()
+    known = checkpointed(reference.select(F.col(ref_column).alias("_known")).distinct())
     if known.count() <= max_broadcast_rows:
         joined = df.join(F.broadcast(known), df[column] == F.col("_known"), "left")
         return joined.withColumn(flag, F.col(column).isNotNull() & F.col("_known").isNull()).drop("_known")
-    values = (df if keys_from is None else keys_from).select(F.col(column).alias("_orphan"))
+    values = (df if keys_from is None else keys_from()).select(F.col(column).alias("_orphan"))
     orphans = checkpointed(
         values.filter("_orphan is not null")
         .distinct()
         .join(known, F.col("_orphan") == F.col("_known"), "left_anti")
     )
-    marked = df.join(
-        broadcast_within(orphans, max_broadcast_rows), df[column] == F.col("_orphan"), "left"
-    )
+    marked = df.join(broadcast_within(orphans, max_broadcast_rows), df[column] == F.col("_orphan"), "left")
     return marked.withColumn(flag, F.col("_orphan").isNotNull()).drop("_orphan")
 
 
@@ -84,7 +82,7 @@ def flag_rejects(
     df: DataFrame,
     spec: DatasetSpec,
     lookup: Lookup | None = None,
-    keys_from: DataFrame | None = None,
+    keys_from: Callable[[], DataFrame] | None = None,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Add ``_IsRejected``: a required column is NULL, a rule holds or is unknown, or a reference is missing."""
@@ -112,7 +110,7 @@ def clean_and_flag(
 ) -> DataFrame:
     """Dedupe on the raw text, cast, and flag rejects; no row is lost after the dedupe."""
     cleaned = cast_columns(drop_repeats(raw, spec.dedupe_keys), spec)
-    return flag_rejects(cleaned, spec, lookup, cast_columns(raw, spec), max_broadcast_rows)
+    return flag_rejects(cleaned, spec, lookup, lambda: cast_columns(raw, spec), max_broadcast_rows)
 
 
 def accepted(df: DataFrame) -> DataFrame:

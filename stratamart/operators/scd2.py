@@ -26,7 +26,7 @@ class Change:
 
 def latest_per_key(batch: DataFrame, history: History) -> DataFrame:
     """The newest row of each key with its hash; older rows of the batch are not kept."""
-    newest = [F.col(history.effective).desc(), *latest_first(batch)]
+    newest = [F.col(history.effective).desc(), *latest_first(batch, (history.key, history.effective))]
     return first_per_key(batch, [history.key], newest).withColumn(RECORD_HASH, record_hash(history.tracked))
 
 

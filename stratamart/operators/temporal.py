@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +13,9 @@ from stratamart.operators.dedupe import first_per_key
 from stratamart.operators.sizing import MAX_BROADCAST_ROWS
 
 
+_EPOCH = date(1970, 1, 1)
+
+
 def _covers(day: Column) -> Column:
     return (day >= F.col("_from")) & (F.col("_to").isNull() | (day < F.col("_to")))
 
@@ -33,15 +37,15 @@ def point_in_time_join(
     fact_keys: Sequence[str],
     valid_from: str = VALID_FROM,
     valid_to: str = VALID_TO,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Left join each fact to the version of its key that held on ``day``.
 
     Spans compare as dates and are half open; a span within one day never holds and is
-    left out, so a key has at most one version per day to compare with. Few versions
-    are broadcast. Many are shuffled by key, where adaptive execution splits the facts
-    of a hot key. Late changes can leave overlapping spans; then, and only then, facts
-    are reduced to the latest start per ``fact_keys``.
+    left out, so a key has at most one version per day to compare with. Spark broadcasts
+    versions whose size is below its threshold; otherwise both sides are shuffled by key,
+    where adaptive execution splits the facts of a hot key. Late changes can leave
+    overlapping spans; then, and only then, facts are reduced to the latest start per
+    ``fact_keys``.
     """
     spans = versions.select(
         F.col(key).alias("_key"),
@@ -49,25 +53,16 @@ def point_in_time_join(
         F.to_date(valid_to).alias("_to"),
         *take,
     ).filter("_to is null or _from < _to")
-    side = F.broadcast(spans) if spans.count() <= max_broadcast_rows else spans
-    joined = facts.join(side, (F.col(key) == F.col("_key")) & _covers(F.col(day)), "left")
+    joined = facts.join(spans, (F.col(key) == F.col("_key")) & _covers(F.col(day)), "left")
     if spans_overlap(spans, ["_key"]):
         latest = [F.col("_from").desc(), *[F.col(c).asc() for c in take]]
         joined = first_per_key(joined, fact_keys, latest)
     return joined.drop("_key", "_from", "_to")
 
 
-def current_version_join(
-    facts: DataFrame,
-    versions: DataFrame,
-    key: str,
-    take: Sequence[str],
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
+def current_version_join(facts: DataFrame, versions: DataFrame, key: str, take: Sequence[str]) -> DataFrame:
     """Left join each fact to the current version of its key."""
-    current = versions.filter(IS_CURRENT).select(key, *take)
-    side = F.broadcast(current) if current.count() <= max_broadcast_rows else current
-    return facts.join(side, key, "left")
+    return facts.join(versions.filter(IS_CURRENT).select(key, *take), key, "left")
 
 
 def as_of_join(
@@ -81,11 +76,12 @@ def as_of_join(
 ) -> DataFrame:
     """Left join each fact to the last row of its series on or before ``day``.
 
-    ``on`` maps fact columns to series columns, and ``series`` has one row per key and
-    day. Each series row holds until the next one, so a short series is joined as
-    broadcast spans without fanning out. For a long series the distinct (key, day)
-    pairs of the facts are looked up instead: the pairs are as many as keys times
-    calendar days, however many facts there are, and facts meet them by equality.
+    ``on`` maps fact columns to series columns; days are dates, and ``series`` has one
+    row per key and day. Both ways below join by equality, so a fact is compared with
+    one row however long its series is. If the days from each first row to the last row
+    of all series fit the bound, every such day gets its row and is broadcast; later
+    facts use the last day. Otherwise the distinct (key, day) pairs of the facts, at most
+    keys times calendar days, are looked up in the series and joined back.
     """
     keys = [f"_key{i}" for i in range(len(on))]
     rows = series.select(
@@ -93,25 +89,36 @@ def as_of_join(
         F.col(series_day).cast("date").alias("_from"),
         *take,
     )
-    same_key = [F.col(fact) == F.col(k) for fact, k in zip(on, keys)]
-    if rows.count() <= max_broadcast_rows:
-        following = Window.partitionBy(*keys).orderBy("_from")
-        spans = rows.withColumn("_to", F.lead("_from").over(following))
-        condition = [*same_key, _covers(F.col(day))]
-        return facts.join(F.broadcast(spans), condition, "left").drop(*keys, "_from", "_to")
-
-    held = F.struct(*take)
-    asked = (
-        facts.select(*[F.col(fact).alias(k) for fact, k in zip(on, keys)], F.col(day).alias("_from"))
-        .distinct()
-        .withColumns({"_held": F.lit(None).cast(rows.select(held.alias("h")).schema["h"].dataType), "_ask": F.lit(1)})
+    last, starts, series_count = (
+        rows.groupBy(*keys)
+        .agg(F.min(F.unix_date("_from")).alias("first"), F.max("_from").alias("last"))
+        .agg(F.max("last"), F.sum("first"), F.count("*"))
+        .first()
     )
-    known = rows.select(*keys, "_from", held.alias("_held"), F.lit(0).alias("_ask"))
-    upto = Window.partitionBy(*keys).orderBy("_from", "_ask").rowsBetween(Window.unboundedPreceding, 0)
-    answers = (
-        known.unionByName(asked)
-        .withColumn("_held", F.last("_held", ignorenulls=True).over(upto))
-        .filter("_ask = 1")
-        .select(*keys, "_from", "_held.*")
+    same_key = [F.col(fact) == F.col(k) for fact, k in zip(on, keys)]
+    if last is None or series_count * ((last - _EPOCH).days + 1) - starts <= max_broadcast_rows:
+        answers = _every_day(rows, keys, last)
+        asked = F.least(F.col(day), F.lit(last).cast("date"))
+        return facts.join(F.broadcast(answers), [*same_key, asked == F.col("_day")], "left").drop(*keys, "_day")
+    pairs = facts.select(*[F.col(fact).alias(k) for fact, k in zip(on, keys)], F.col(day).alias("_day")).distinct()
+    answers = _look_up(rows, pairs, keys, take)
+    return facts.join(answers, [*same_key, F.col(day) == F.col("_day")], "left").drop(*keys, "_day")
+
+
+def _every_day(rows: DataFrame, keys: Sequence[str], last) -> DataFrame:
+    """Series rows repeated for each day they hold, up to the last day of all series."""
+    following = F.lead("_from").over(Window.partitionBy(*keys).orderBy("_from"))
+    until = F.date_sub(F.coalesce(following, F.date_add(F.lit(last).cast("date"), 1)), 1)
+    spans = rows.withColumn("_until", until).filter("_until >= _from")
+    return spans.withColumn("_day", F.explode(F.sequence("_from", "_until"))).drop("_from", "_until")
+
+
+def _look_up(rows: DataFrame, pairs: DataFrame, keys: Sequence[str], take: Sequence[str]) -> DataFrame:
+    """The series row that holds for each (key, day) pair, found in one ordered pass per key."""
+    known = rows.select(*keys, F.col("_from").alias("_day"), F.struct(*take).alias("_held"), F.lit(False).alias("_asked"))
+    asked = pairs.select(
+        *keys, "_day", F.lit(None).cast(known.schema["_held"].dataType).alias("_held"), F.lit(True).alias("_asked")
     )
-    return facts.join(answers, [*same_key, F.col(day) == F.col("_from")], "left").drop(*keys, "_from")
+    upto = Window.partitionBy(*keys).orderBy("_day", "_asked").rowsBetween(Window.unboundedPreceding, 0)
+    held = F.last("_held", ignorenulls=True).over(upto)
+    return known.unionByName(asked).withColumn("_held", held).filter("_asked").select(*keys, "_day", "_held.*")

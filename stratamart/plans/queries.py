@@ -125,7 +125,7 @@ def ref_integrity_orders(spark: SparkSession, folder: str) -> DataFrame:
     lookup = _order_references(spark, folder)
     for check in ORDERS.references:
         flag = f"{check.column}_orphan"
-        orders = flag_orphans(orders, check.column, lookup(check), check.ref_column, flag, orders)
+        orders = flag_orphans(orders, check.column, lookup(check), check.ref_column, flag)
     return orders.groupBy("CustomerID_orphan", "ProductID_orphan").agg(F.count("*").alias("order_count"))
 
 

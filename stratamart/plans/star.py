@@ -13,13 +13,14 @@ from stratamart.names import (
     BASE_CURRENCY,
     GOLD,
     IS_CURRENT,
+    REJECTED,
     SILVER,
     STORE_CURRENCY,
     VALID_FROM,
     VALID_TO,
 )
-from stratamart.operators.dedupe import drop_repeats, first_per_key, latest_first
-from stratamart.operators.keys import MAX_SINGLE_TASK_ROWS, dense_surrogate_key
+from stratamart.operators.dedupe import drop_repeats
+from stratamart.operators.keys import dense_surrogate_key
 from stratamart.operators.quality import accepted
 from stratamart.operators.sizing import MAX_BROADCAST_ROWS, broadcast_within
 from stratamart.operators.temporal import as_of_join, point_in_time_join
@@ -28,29 +29,27 @@ from stratamart.sources.tables import TableStore
 
 
 def store_currencies(spark: SparkSession, currencies: Mapping[str, str] = STORE_CURRENCY) -> DataFrame:
-    return spark.createDataFrame(list(currencies.items()), "StoreCode string, LocalCurrency string")
+    """The currency of each store as rows."""
+    entries = F.create_map(*[F.lit(text) for pair in currencies.items() for text in pair])
+    return spark.range(1).select(F.explode(entries).alias("StoreCode", "LocalCurrency"))
 
 
-def build_dim_customer(
-    history: DataFrame, key_type: str = "int", max_single_task_rows: int = MAX_SINGLE_TASK_ROWS
-) -> DataFrame:
+def build_dim_customer(history: DataFrame, key_type: str = "int") -> DataFrame:
     """Every version of every customer, numbered by customer and start."""
     rows = history.select(
         "CustomerID", "FirstName", "LastName", "Email", "Phone", "City", "State", VALID_FROM, VALID_TO, IS_CURRENT
     )
     # The columns after the start only settle versions that start together.
     order = ["CustomerID", VALID_FROM, F.col(VALID_TO).asc_nulls_last(), "FirstName", "LastName", "City", "State"]
-    return dense_surrogate_key(rows, order, "CustomerSK", key_type, max_single_task_rows)
+    return dense_surrogate_key(rows, order, "CustomerSK", key_type)
 
 
-def build_dim_product(
-    products: DataFrame, key_type: str = "int", max_single_task_rows: int = MAX_SINGLE_TASK_ROWS
-) -> DataFrame:
+def build_dim_product(products: DataFrame, key_type: str = "int") -> DataFrame:
     """Latest row of every product, numbered by product."""
     latest = drop_repeats(products, ["ProductID"]).select(
         "ProductID", "ProductName", "Category", "SubCategory", "Brand", "CostPrice"
     )
-    return dense_surrogate_key(latest, ["ProductID"], "ProductSK", key_type, max_single_task_rows)
+    return dense_surrogate_key(latest, ["ProductID"], "ProductSK", key_type)
 
 
 def build_dim_date(orders: DataFrame, day: str = "OrderDate") -> DataFrame:
@@ -62,10 +61,8 @@ def build_dim_date(orders: DataFrame, day: str = "OrderDate") -> DataFrame:
 
 def latest_rates(rates: DataFrame, base: str = BASE_CURRENCY) -> DataFrame:
     """One rate per currency and day against the base; the rate landed last wins."""
-    wanted = rates.filter(F.col("BaseCurrency") == base)
-    return first_per_key(wanted, ["TargetCurrency", "RateDate"], latest_first(wanted)).select(
-        "TargetCurrency", "RateDate", "ExchangeRate"
-    )
+    wanted = rates.filter(F.col("BaseCurrency") == base).drop("BaseCurrency")
+    return drop_repeats(wanted, ["TargetCurrency", "RateDate"]).select("TargetCurrency", "RateDate", "ExchangeRate")
 
 
 def build_fact_sales(
@@ -79,20 +76,17 @@ def build_fact_sales(
 ) -> DataFrame:
     """One row per order: versions that held on its date, last rate by then, measures.
 
-    Orders repeated across batches are reduced first, so no later step has to. The
-    other sides are broadcast when their counted rows allow it, and then the orders are
-    shuffled only once.
+    Orders repeated across batches are reduced first, so no later step has to. Sides
+    below Spark's broadcast threshold are broadcast, and then the orders are shuffled
+    only once; ``max_broadcast_rows`` bounds the stores and rates that are.
     """
     currencies = store_currencies(orders.sparkSession) if currencies is None else currencies
     products = dim_product.select("ProductID", "ProductSK", "CostPrice")
-    rows = drop_repeats(orders, ["OrderID"]).select(
+    rows = drop_repeats(orders.drop(REJECTED), ["OrderID"]).select(
         "OrderID", "CustomerID", "ProductID", "OrderDate", "Quantity", "UnitPrice", "StoreCode"
     )
-    rows = point_in_time_join(
-        rows, dim_customer, "CustomerID", "OrderDate", ["CustomerSK"], ["OrderID"],
-        max_broadcast_rows=max_broadcast_rows,
-    )
-    rows = rows.join(broadcast_within(products, max_broadcast_rows), "ProductID", "left")
+    rows = point_in_time_join(rows, dim_customer, "CustomerID", "OrderDate", ["CustomerSK"], ["OrderID"])
+    rows = rows.join(products, "ProductID", "left")
     rows = rows.join(broadcast_within(currencies, max_broadcast_rows), "StoreCode", "left")
     rows = rows.withColumn("LocalCurrency", F.coalesce("LocalCurrency", F.lit(base)))
     rows = as_of_join(
@@ -121,7 +115,7 @@ def daily_sales_by_store(
     orders = F.count("OrderID") if one_row_per_order else F.countDistinct("OrderID")
     days = dim_date.select("DateSK", "CalendarDate")
     return (
-        fact.join(broadcast_within(days), "DateSK", "left")
+        fact.join(days, "DateSK", "left")
         .groupBy("CalendarDate", "StoreCode")
         .agg(
             orders.alias("TotalOrders"),
