@@ -98,7 +98,8 @@ def as_of_join(
     same_key = [F.col(fact) == F.col(k) for fact, k in zip(on, keys)]
     if last is None or series_count * ((last - _EPOCH).days + 1) - starts <= max_broadcast_rows:
         answers = _every_day(rows, keys, last)
-        asked = F.least(F.col(day), F.lit(last).cast("date"))
+        end = F.lit(last).cast("date")
+        asked = F.when(F.col(day) > end, end).otherwise(F.col(day))
         return facts.join(F.broadcast(answers), [*same_key, asked == F.col("_day")], "left").drop(*keys, "_day")
     pairs = facts.select(*[F.col(fact).alias(k) for fact, k in zip(on, keys)], F.col(day).alias("_day")).distinct()
     answers = _look_up(rows, pairs, keys, take)

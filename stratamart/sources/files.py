@@ -83,8 +83,12 @@ def read_csv(spark: SparkSession, paths: Sequence[str] | str, recursive: bool =
     return _with_source(reader.option("enforceSchema", False).schema(named).csv(paths))
 
 
+# How Spark words its refusal of a header.
+_HEADER_REFUSALS = ("CSV header does not conform to the schema", "Number of column in CSV header is not equal")
+
+
 def is_header_mismatch(error: Exception) -> bool:
-    return "CSV header does not conform" in str(error)
+    return any(words in str(error) for words in _HEADER_REFUSALS)
 
 
 def read_mixed_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

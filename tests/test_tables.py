@@ -1,0 +1,116 @@
+import pytest
+from pyspark.sql import functions as F
+
+from stratamart.names import AUDIT, SILVER
+from stratamart.plans.audit import get_mark, log_event, run_summary, set_mark, table_profile
+from stratamart.sources.tables import SchemaConflict, TableStore, new_columns, widened
+
+
+def frame(spark, data, schema):
+    return spark.createDataFrame(data, schema)
+
+
+def test_append_and_overwrite(spark, store, rows):
+    assert not store.exists(SILVER, "t")
+    store.write(frame(spark, [(1, "x")], "a int, b string"), SILVER, "t")
+    store.write(frame(spark, [(2, "y")], "a int, b string"), SILVER, "t")
+    assert store.exists(SILVER, "t") and rows(store.read(SILVER, "t")) == [(1, "x"), (2, "y")]
+    store.write(frame(spark, [(3, "z")], "a int, b string"), SILVER, "t", "overwrite")
+    assert rows(store.read(SILVER, "t")) == [(3, "z")]
+
+
+def test_empty_table_exists(spark, store):
+    store.write(frame(spark, [], "a int"), SILVER, "t")
+    assert store.exists(SILVER, "t") and store.read(SILVER, "t").count() == 0
+
+
+def test_a_table_may_be_overwritten_from_itself(spark, store, rows):
+    store.write(spark.range(10), SILVER, "t")
+    store.write(store.read(SILVER, "t").filter("id > 6"), SILVER, "t", "overwrite")
+    assert rows(store.read(SILVER, "t")) == [(7,), (8,), (9,)]
+
+
+def test_failed_overwrite_leaves_the_table(spark, store):
+    store.write(spark.range(3), SILVER, "t")
+    with pytest.raises(Exception):
+        store.write(spark.range(3).select(F.raise_error(F.lit("stop")).cast("bigint").alias("id")), SILVER, "t", "overwrite")
+    assert store.read(SILVER, "t").count() == 3
+
+
+def test_columns_are_added_and_filled_with_nulls(spark, store, rows):
+    store.write(frame(spark, [(1, "Pune")], "CustomerID int, City string"), SILVER, "t")
+    assert store.evolve_and_write(frame(spark, [(2, "411")], "CustomerID int, ZipCode string"), SILVER, "t") == ["ZipCode"]
+    assert rows(store.read(SILVER, "t")) == [(1, "Pune", None), (2, None, "411")]
+    assert store.evolve_and_write(frame(spark, [(3, "Goa")], "CustomerID int, City string"), SILVER, "t", "overwrite") == []
+    assert rows(store.read(SILVER, "t")) == [(3, "Goa", None)]
+
+
+def test_nested_fields_are_added(spark, store, rows):
+    store.write(frame(spark, [((1.0,),)], "rates struct<EUR:double>"), SILVER, "t")
+    store.write(frame(spark, [((2.0, 3.0),)], "rates struct<EUR:double,JPY:double>"), SILVER, "t")
+    assert rows(store.read(SILVER, "t").select("rates.*")) == [(1.0, None), (2.0, 3.0)]
+
+
+def test_types_never_change(spark, store):
+    store.write(frame(spark, [(1,)], "a int"), SILVER, "t")
+    with pytest.raises(SchemaConflict):
+        store.write(frame(spark, [("1",)], "a string"), SILVER, "t")
+    with pytest.raises(SchemaConflict):
+        store.write(frame(spark, [(1, 2)], "a int, b int"), SILVER, "t", merge_schema=False)
+
+
+def test_schema_difference(spark):
+    old, new = spark.createDataFrame([], "id int, City string").schema, spark.createDataFrame([], "id int, City string, Zip string").schema
+    assert [f.name for f in new_columns(old, new)] == ["Zip"]
+    assert new_columns(old, old) == []
+    assert widened(old, new).names == ["id", "City", "Zip"]
+
+
+def test_partitions_prune(spark, store):
+    df = spark.range(20).select("id", (F.col("id") % 4).cast("int").alias("p"))
+    store.write(df, SILVER, "t", partition_by=["p"])
+    store.write(df, SILVER, "t")
+    part = store.read(SILVER, "t").filter("p = 2")
+    assert part.count() == 10
+    assert "PartitionFilters: [isnotnull(p" in part._jdf.queryExecution().executedPlan().toString()
+
+
+def test_filters_and_columns_reach_the_scan(spark, store):
+    store.write(spark.range(5).select("id", F.lit("x").alias("unused")), SILVER, "t")
+    plan = store.read(SILVER, "t").filter("id > 2").select("id")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(id,2)" in plan and "ReadSchema: struct<id:bigint>" in plan
+
+
+def test_orc_tables(spark, tmp_path, rows):
+    store = TableStore(spark, str(tmp_path), "orc")
+    store.write(spark.range(3), SILVER, "t")
+    assert rows(store.read(SILVER, "t")) == [(0,), (1,), (2,)]
+
+
+def test_marks_are_replaced_by_dataset(store):
+    from datetime import datetime
+
+    assert get_mark(store, "orders") is None
+    set_mark(store, "orders", datetime(2024, 1, 1))
+    set_mark(store, "customers", datetime(2024, 2, 1))
+    set_mark(store, "orders", datetime(2024, 3, 1))
+    assert get_mark(store, "orders") == datetime(2024, 3, 1)
+    assert get_mark(store, "customers") == datetime(2024, 2, 1)
+    assert store.read(AUDIT, "silver_watermark").count() == 2
+
+
+def test_log_and_summary(spark, store):
+    log_event(store, "r1", "silver", "orders", "STARTED")
+    log_event(store, "r1", "silver", "orders", "SUCCESS", 10, 8, 2)
+    log_event(store, "r1", "gold", "fact", "FAILED", error="e" * 5000)
+    log = store.read(AUDIT, "pipeline_execution_log")
+    assert log.filter("status = 'FAILED'").first()["error_message"] == "e" * 2000
+    summary = {r.dataset: r for r in run_summary(log).collect()}
+    assert (summary["orders"].final_status, summary["orders"].records_in, summary["orders"].records_rejected) == ("SUCCESS", 10, 2)
+    assert summary["orders"].duration_seconds >= 0 and summary["fact"].final_status == "FAILED"
+
+
+def test_profile_counts_tables_that_exist(spark, store, rows):
+    store.write(spark.range(4), SILVER, "t")
+    assert rows(table_profile(store, [(SILVER, "t"), (SILVER, "none")])) == [(SILVER, "t", 4)]
+    assert table_profile(store, []).count() == 0
