@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamart.names import AUDIT, EXECUTION_LOG, REJECTED, WATERMARKS
@@ -14,10 +14,20 @@ from stratamart.sources.tables import TableStore
 # Log statuses, longest stored error text, columns of the log.
 STARTED, SUCCESS, FAILED = "STARTED", "SUCCESS", "FAILED"
 MAX_ERROR_CHARS = 2000
-LOG_COLUMNS = (
-    "pipeline_run_id string, layer string, dataset string, status string, records_in bigint, "
-    "records_out bigint, records_rejected bigint, error_message string"
-)
+LOG_COLUMNS = {
+    "pipeline_run_id": "string",
+    "layer": "string",
+    "dataset": "string",
+    "status": "string",
+    "records_in": "bigint",
+    "records_out": "bigint",
+    "records_rejected": "bigint",
+    "error_message": "string",
+}
+
+
+def _one_row(spark: SparkSession, values: Mapping[str, Column]) -> DataFrame:
+    return spark.range(0, 1, 1, 1).select([value.alias(name) for name, value in values.items()])
 
 
 def log_event(
@@ -31,13 +41,10 @@ def log_event(
     records_rejected: int | None = None,
     error: str | None = None,
 ) -> None:
-    row = (run_id, layer, dataset, status, records_in, records_out, records_rejected, error or None)
-    event = (
-        store.spark.createDataFrame([row], LOG_COLUMNS)
-        .withColumn("error_message", F.substring("error_message", 1, MAX_ERROR_CHARS))
-        .withColumn("event_timestamp", F.current_timestamp())
-    )
-    store.write(event, AUDIT, EXECUTION_LOG)
+    text = error[:MAX_ERROR_CHARS] if error else None
+    given = (run_id, layer, dataset, status, records_in, records_out, records_rejected, text)
+    values = {name: F.lit(value).cast(kind) for value, (name, kind) in zip(given, LOG_COLUMNS.items())}
+    store.write(_one_row(store.spark, {**values, "event_timestamp": F.current_timestamp()}), AUDIT, EXECUTION_LOG)
 
 
 def get_mark(store: TableStore, dataset: str) -> datetime | None:
@@ -49,8 +56,8 @@ def get_mark(store: TableStore, dataset: str) -> datetime | None:
 
 
 def set_mark(store: TableStore, dataset: str, mark: datetime) -> None:
-    row = store.spark.createDataFrame([(dataset, mark)], "dataset string, watermark timestamp")
-    store.replace_by_key(row, AUDIT, WATERMARKS, "dataset")
+    row = {"dataset": F.lit(dataset), "watermark": F.lit(mark).cast("timestamp")}
+    store.replace_by_key(_one_row(store.spark, row), AUDIT, WATERMARKS, "dataset")
 
 
 def run_summary(log: DataFrame) -> DataFrame:
