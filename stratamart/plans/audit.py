@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.names import AUDIT, EXECUTION_LOG, REJECTED, WATERMARKS
+from stratamart.names import AUDIT, EXECUTION_LOG, PROCESSED_AT, REJECTED, RUN_ID, WATERMARKS
 from stratamart.sources.tables import TableStore
 
 # Log statuses, longest stored error text, columns of the log.
@@ -91,6 +91,12 @@ def quality_profile(flagged: DataFrame, dataset: str) -> DataFrame:
     )
 
 
+def latest_run(rows: DataFrame) -> DataFrame:
+    """Rows written by the run that wrote last, as full refreshes reject the same rows every run."""
+    run = rows.agg(F.max_by(RUN_ID, F.struct(PROCESSED_AT, RUN_ID))).first()[0]
+    return rows.filter(F.col(RUN_ID) == F.lit(run))
+
+
 def table_profile(store: TableStore, tables: Iterable[tuple[str, str]]) -> DataFrame:
     """Row count of each table that exists."""
     counts = [

@@ -325,6 +325,8 @@ SELECT pipeline_run_id, layer, dataset,
   CAST(sum(records_rejected) AS BIGINT) AS records_rejected, count(*) AS events,
   round((epoch_us(max(event_timestamp)) - epoch_us(min(event_timestamp))) / 1e6::DOUBLE, 1) AS duration_seconds
 FROM log GROUP BY 1, 2, 3""",
+    "latest_rejects": """SELECT event_id, 'run-' || strftime(ts, '%Y-%m-%d') AS _AdfPipelineRunId FROM events
+WHERE CAST(ts AS DATE) = (SELECT CAST(max(ts) AS DATE) FROM events)""",
     "reject_profile": f"""WITH {_FLAGGED_ORDERS}, {_FLAGGED_CUSTOMERS}, flags AS (
   SELECT 'products' AS dataset, _IsRejected FROM flagged_products
   UNION ALL SELECT 'customers', _IsRejected FROM flagged_customers

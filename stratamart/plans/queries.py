@@ -12,9 +12,11 @@ from stratamart.names import (
     BASE_CURRENCY,
     GOLD,
     IS_CURRENT,
+    PROCESSED_AT,
     RAW,
-    REJECTED,
     RECORD_HASH,
+    REJECTED,
+    RUN_ID,
     SILVER,
     VALID_FROM,
     VALID_TO,
@@ -91,16 +93,17 @@ def flagged_customers(spark: SparkSession, folder: str) -> DataFrame:
     return clean_and_flag(samples.raw_customers(spark, folder), CUSTOMERS)
 
 
-def _order_references(spark: SparkSession, folder: str) -> Callable[[RefCheck], DataFrame | None]:
-    tables = {
-        "customers": samples.table(spark, folder, "customer").select(F.col("c_custkey").cast("int").alias("CustomerID")),
-        "products": accepted(flagged_products(spark, folder)).select("ProductID"),
-    }
+def _order_references(
+    spark: SparkSession, folder: str, products: DataFrame
+) -> Callable[[RefCheck], DataFrame | None]:
+    customers = samples.table(spark, folder, "customer").select(F.col("c_custkey").cast("int").alias("CustomerID"))
+    tables = {"customers": customers, "products": products}
     return lambda check: tables.get(check.table)
 
 
-def flagged_orders(spark: SparkSession, folder: str) -> DataFrame:
-    return clean_and_flag(samples.raw_orders(spark, folder), ORDERS, _order_references(spark, folder))
+def flagged_orders(spark: SparkSession, folder: str, products: DataFrame | None = None) -> DataFrame:
+    products = clean_products(spark, folder) if products is None else products
+    return clean_and_flag(samples.raw_orders(spark, folder), ORDERS, _order_references(spark, folder, products))
 
 
 def clean_products(spark: SparkSession, folder: str) -> DataFrame:
@@ -122,7 +125,7 @@ def clean_orders(spark: SparkSession, folder: str) -> DataFrame:
 def ref_integrity_orders(spark: SparkSession, folder: str) -> DataFrame:
     raw = samples.raw_orders(spark, folder)
     orders = cast_columns(raw, ORDERS)
-    lookup = _order_references(spark, folder)
+    lookup = _order_references(spark, folder, clean_products(spark, folder))
     for check in ORDERS.references:
         flag = f"{check.column}_orphan"
         orders = flag_orphans(orders, check.column, lookup(check), check.ref_column, flag)
@@ -261,13 +264,21 @@ def dim_date(spark: SparkSession, folder: str) -> DataFrame:
     return build_dim_date(samples.table(spark, folder, "orders").select(F.col("o_orderdate").cast("date").alias("OrderDate")))
 
 
-def fact_sales(spark: SparkSession, folder: str) -> DataFrame:
-    return build_fact_sales(
-        accepted(flagged_orders(spark, folder)),
+def _sales(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The fact table and the product dimension it refers to."""
+    # The dimension holds the accepted products, so it also serves the reference check.
+    products = dim_product(spark, folder)
+    fact = build_fact_sales(
+        accepted(flagged_orders(spark, folder, products)),
         build_dim_customer(samples.customer_history(spark, folder)),
-        dim_product(spark, folder),
+        products,
         samples.exchange_rates(spark, folder),
     )
+    return fact, products
+
+
+def fact_sales(spark: SparkSession, folder: str) -> DataFrame:
+    return _sales(spark, folder)[0]
 
 
 def agg_daily_store(spark: SparkSession, folder: str) -> DataFrame:
@@ -275,7 +286,7 @@ def agg_daily_store(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def agg_category(spark: SparkSession, folder: str) -> DataFrame:
-    return sales_by_category(fact_sales(spark, folder), dim_product(spark, folder))
+    return sales_by_category(*_sales(spark, folder))
 
 
 def revenue_total(spark: SparkSession, folder: str) -> DataFrame:
@@ -441,6 +452,16 @@ def run_summary(spark: SparkSession, folder: str) -> DataFrame:
     return audit.run_summary(log)
 
 
+def latest_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Events read as rejects of thirty runs, one per day."""
+    rejects = samples.table(spark, folder, "events").select(
+        "event_id",
+        F.concat(F.lit("run-"), F.date_format("ts", "yyyy-MM-dd")).alias(RUN_ID),
+        F.col("ts").alias(PROCESSED_AT),
+    )
+    return audit.latest_run(rejects).select("event_id", RUN_ID)
+
+
 def reject_profile(spark: SparkSession, folder: str) -> DataFrame:
     flagged = {
         "products": flagged_products(spark, folder),
@@ -583,6 +604,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_landing,
         stream_history,
         run_summary,
+        latest_rejects,
         reject_profile,
         dirty_products,
         dirt_share,

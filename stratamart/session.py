@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution sizes partitions, splits skewed ones and picks broadcast
 # joins from measured sizes, so no partition count is fixed here. A join side is
@@ -35,17 +35,18 @@ def build_session(app_name: str = "stratamart", master: str | None = None, **con
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder: there the driver and
-    the executors are one process on one machine.
+    Where that is unset, the checkpoint folder of the running context serves. Only a
+    local master may fall back to a temporary folder: there the driver and the executors
+    are one process on one machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="stratamart-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="stratamart-"))
+    return context.getCheckpointDir()
 
 
 def new_work_folder(spark: SparkSession, label: str) -> str:
@@ -53,7 +54,7 @@ def new_work_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df):
+def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` cut from its lineage by a reliable checkpoint in the shared folder."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:

@@ -137,6 +137,8 @@ class TableStore:
         """
         live = self._live(layer, name)
         appending = mode == "append" and live is not None
+        if appending and live.history:
+            raise ValueError(f"{layer}.{name} keeps history; use upsert_history")
         gained: list[str] = []
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
         if appending:

@@ -112,3 +112,10 @@ def test_reading_current_versions_prunes_closed_ones(spark, store):
     plan = current._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "_snapshot" in plan
     assert current.count() == 1
+
+
+def test_history_tables_refuse_plain_appends(spark, store):
+    rows = spark.createDataFrame([(1, "A", JAN)], BATCH)
+    store.upsert_history(rows, SILVER, "c", CITY, "r")
+    with pytest.raises(ValueError, match="history"):
+        store.write(rows, SILVER, "c")
