@@ -76,7 +76,7 @@ _AS_NTZ = "timestamp_ntz"
 
 
 def dedupe_orders(spark: SparkSession, folder: str) -> DataFrame:
-    lines = samples.order_lines(spark, folder).select(F.col("id").alias("OrderID"), *samples.LINE_ORDER)
+    lines = samples.keyed_lines(spark, folder).select(F.col("id").alias("OrderID"), *samples.LINE_ORDER)
     return drop_repeats(lines, ["OrderID"], [F.col(c).asc() for c in samples.LINE_ORDER])
 
 

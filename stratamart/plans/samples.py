@@ -80,21 +80,20 @@ def raw_customers(spark: SparkSession, folder: str, batch: int = 1) -> DataFrame
     )
 
 
-def order_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items with their order, keyed by OrderID, repeats included."""
-    lines = table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
-    )
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn(
-        "id", F.col("l_orderkey") * 10 + F.col("l_linenumber")
+def keyed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items keyed by OrderID, repeats included."""
+    return table(spark, folder, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
+        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
     )
 
 
 def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
     """One raw order per OrderID."""
     key = F.col("id")
-    lines = first_per_key(order_lines(spark, folder), ["id"], [F.col(c).asc() for c in LINE_ORDER])
+    lines = first_per_key(keyed_lines(spark, folder), ["id"], [F.col(c).asc() for c in LINE_ORDER])
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     customer = F.when(_every(key, 23, 1), F.col("o_custkey") + NOWHERE).otherwise(F.col("o_custkey"))
     product = F.when(_every(key, 29, 2), F.col("l_partkey") + NOWHERE).otherwise(F.col("l_partkey"))
     store = F.concat(F.lit("ST"), F.lpad((F.col("l_suppkey") % 10 + 1).cast("string"), 3, "0"))
