@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,16 +46,19 @@ def log_event(
     store.write(_one_row(store.spark, {**values, "event_timestamp": F.current_timestamp()}), AUDIT, EXECUTION_LOG)
 
 
-def get_mark(store: TableStore, dataset: str) -> datetime | None:
-    """The dataset's high-water mark, or None."""
+def get_mark(store: TableStore, dataset: str) -> int | None:
+    """The dataset's high-water mark in microseconds since 1970 UTC, or None.
+
+    A number, because a local clock time is ambiguous when clocks are set back.
+    """
     if not store.exists(AUDIT, WATERMARKS):
         return None
-    row = store.read(AUDIT, WATERMARKS).filter(F.col("dataset") == dataset).first()
-    return row["watermark"] if row else None
+    row = store.read(AUDIT, WATERMARKS).filter(F.col("dataset") == dataset).select(F.unix_micros("watermark")).first()
+    return row[0] if row else None
 
 
-def set_mark(store: TableStore, dataset: str, mark: datetime) -> None:
-    row = {"dataset": F.lit(dataset), "watermark": F.lit(mark).cast("timestamp")}
+def set_mark(store: TableStore, dataset: str, micros: int) -> None:
+    row = {"dataset": F.lit(dataset), "watermark": F.timestamp_micros(F.lit(micros).cast("bigint"))}
     store.replace_by_key(_one_row(store.spark, row), AUDIT, WATERMARKS, "dataset")
 
 

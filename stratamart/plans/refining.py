@@ -58,11 +58,13 @@ def lookup_in(store: TableStore):
 
 def _not_yet_refined(store: TableStore, spec: DatasetSpec) -> DataFrame:
     landed = store.read(BRONZE, spec.name)
-    mark = None if spec.full_refresh else get_mark(store, spec.name)
-    if mark is None:
+    micros = None if spec.full_refresh else get_mark(store, spec.name)
+    if micros is None:
         return landed
-    # The date filter prunes whole folders before the exact filter reads any file.
-    return above_mark(landed.filter(F.col(INGEST_DATE) >= F.lit(mark).cast("date")), mark)
+    # The date filter prunes whole folders before the exact filter reads any file. Dates
+    # depend on the time zone of the landing session, hence a day of slack.
+    mark = F.timestamp_micros(F.lit(micros))
+    return above_mark(landed.filter(F.col(INGEST_DATE) >= F.date_sub(mark.cast("date"), 1)), mark)
 
 
 def refine_dataset(store: TableStore, spec: DatasetSpec, run_id: str) -> Refined:
@@ -70,11 +72,11 @@ def refine_dataset(store: TableStore, spec: DatasetSpec, run_id: str) -> Refined
     if not store.exists(BRONZE, spec.name):
         return Refined()
     bronze = _not_yet_refined(store, spec)
-    records_in, newest = bronze.agg(F.count(F.lit(1)), F.max(INGESTED_AT)).first()
+    records_in, newest = bronze.agg(F.count(F.lit(1)), F.unix_micros(F.max(INGESTED_AT))).first()
     if records_in == 0:
         return Refined()
     # Rows landed while this run works belong to the next run.
-    bronze = bronze.filter(F.col(INGESTED_AT) <= F.lit(newest))
+    bronze = bronze.filter(F.col(INGESTED_AT) <= F.timestamp_micros(F.lit(newest)))
     raw = reshape(bronze, spec)
     if raw is None:
         return Refined()

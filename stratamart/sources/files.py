@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -129,6 +129,6 @@ def read_json_documents(
     return _with_source(reader.json(paths))
 
 
-def above_mark(df: DataFrame, mark, column: str = INGESTED_AT) -> DataFrame:
+def above_mark(df: DataFrame, mark: Column | None, column: str = INGESTED_AT) -> DataFrame:
     """Rows strictly above a high-water mark; all rows when there is none."""
-    return df if mark is None else df.filter(F.col(column) > F.lit(mark))
+    return df if mark is None else df.filter(F.col(column) > mark)

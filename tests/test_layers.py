@@ -87,10 +87,18 @@ def test_only_the_newest_full_refresh_file_is_loaded_but_all_are_registered(lake
 
 def test_marks_stand_at_the_last_landing(lake):
     store = lake[0]
-    newest = store.read(BRONZE, "orders").agg(F.max(INGESTED_AT)).first()[0]
+    newest = store.read(BRONZE, "orders").agg(F.unix_micros(F.max(INGESTED_AT))).first()[0]
     assert get_mark(store, "orders") == newest and get_mark(store, "products") is None
 
 
+def test_incremental_reads_prune_landing_dates(lake):
+    from stratamart.plans.refining import _not_yet_refined
+
+    waiting = _not_yet_refined(lake[0], REGISTRY["orders"])
+    plan = waiting._jdf.queryExecution().executedPlan().toString()
+    assert waiting.count() == 0 and "PartitionFilters: [isnotnull(_IngestionDate" in plan
+
+
 def test_history(lake):
     versions = lake[0].read(SILVER, "customers")
     assert sorted((r.CustomerID, r.City, r[IS_CURRENT]) for r in versions.collect()) == [(1, "Delhi", True), (1, "Pune", False), (2, "Goa", True)]
