@@ -19,9 +19,15 @@ def sales_measures(quantity: Column, unit_price: Column, cost_price: Column, rat
     }
 
 
+def cents(amount: Column) -> Column:
+    """A cent-rounded double as a whole number of cents."""
+    return F.rint(amount * 100).cast("bigint")
+
+
 def exact_sum(amount: Column) -> Column:
     """Sum of cent-rounded doubles that does not depend on the order of rows.
 
-    Adding as decimals is exact; the total is a double again at the end.
+    Cents add up exactly as integers; the total is a double again at the end. A total
+    beyond 9.2e16 raises an error.
     """
-    return F.sum(amount.cast("decimal(28,2)")).cast("double")
+    return F.sum(cents(amount)) / 100

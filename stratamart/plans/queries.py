@@ -51,7 +51,7 @@ from stratamart.plans.star import (
     sales_by_category,
     store_currencies,
 )
-from stratamart.session import new_work_folder
+from stratamart.session import checkpointed, new_work_folder
 from stratamart.sources.exports import preview, save_to_catalog, write_csv, write_json_documents
 from stratamart.sources.files import (
     above_mark,
@@ -269,7 +269,7 @@ def _sales(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     # The dimension holds the accepted products, so it also serves the reference check.
     products = dim_product(spark, folder)
     fact = build_fact_sales(
-        accepted(flagged_orders(spark, folder, products)),
+        checkpointed(accepted(flagged_orders(spark, folder, products))),
         build_dim_customer(samples.customer_history(spark, folder)),
         products,
         samples.exchange_rates(spark, folder),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamart.functions.calendar import calendar_columns, date_key
-from stratamart.functions.measures import exact_sum, sales_measures
+from stratamart.functions.measures import cents, exact_sum, sales_measures
 from stratamart.names import (
     BASE_CURRENCY,
     GOLD,
@@ -19,7 +19,7 @@ from stratamart.names import (
     VALID_FROM,
     VALID_TO,
 )
-from stratamart.operators.dedupe import drop_repeats
+from stratamart.operators.dedupe import drop_repeats, settle_repeats
 from stratamart.operators.keys import dense_surrogate_key
 from stratamart.operators.quality import accepted
 from stratamart.operators.sizing import MAX_BROADCAST_ROWS, broadcast_within
@@ -76,13 +76,14 @@ def build_fact_sales(
 ) -> DataFrame:
     """One row per order: versions that held on its date, last rate by then, measures.
 
-    Orders repeated across batches are reduced first, so no later step has to. Sides
-    below Spark's broadcast threshold are broadcast, and then the orders are shuffled
-    only once; ``max_broadcast_rows`` bounds the stores and rates that are.
+    Orders repeated across batches are settled first, so no later step has to. Sides
+    below Spark's broadcast threshold are broadcast, and then orders that do not repeat
+    are not shuffled at all; ``max_broadcast_rows`` bounds the repeated keys, stores and
+    rates that are. Pass stored orders, as they are scanned more than once.
     """
     currencies = store_currencies(orders.sparkSession) if currencies is None else currencies
     products = dim_product.select("ProductID", "ProductSK", "CostPrice")
-    rows = drop_repeats(orders.drop(REJECTED), ["OrderID"]).select(
+    rows = settle_repeats(orders.drop(REJECTED), ["OrderID"], max_broadcast_rows).select(
         "OrderID", "CustomerID", "ProductID", "OrderDate", "Quantity", "UnitPrice", "StoreCode"
     )
     rows = point_in_time_join(rows, dim_customer, "CustomerID", "OrderDate", ["CustomerSK"], ["OrderID"])
@@ -132,19 +133,18 @@ def sales_by_category(fact: DataFrame, dim_product: DataFrame, base: str = BASE_
     Facts are added up per product first, so the product table meets one row per
     product and a best seller is reduced before anything is shuffled.
     """
-    cents = "decimal(28,2)"
     per_product = fact.groupBy("ProductSK").agg(
         F.sum("Quantity").alias("quantity"),
-        F.sum(F.col("LineTotalBaseCurrency").cast(cents)).alias("revenue"),
-        F.sum(F.col("GrossMarginBaseCurrency").cast(cents)).alias("margin"),
+        F.sum(cents(F.col("LineTotalBaseCurrency"))).alias("revenue"),
+        F.sum(cents(F.col("GrossMarginBaseCurrency"))).alias("margin"),
     )
     return (
         per_product.join(dim_product.select("ProductSK", "Category", "SubCategory"), "ProductSK", "left")
         .groupBy("Category", "SubCategory")
         .agg(
             F.sum("quantity").alias("TotalQuantity"),
-            F.sum("revenue").cast("double").alias(f"TotalRevenue{base}"),
-            F.sum("margin").cast("double").alias(f"TotalMargin{base}"),
+            (F.sum("revenue") / 100).alias(f"TotalRevenue{base}"),
+            (F.sum("margin") / 100).alias(f"TotalMargin{base}"),
         )
     )
 

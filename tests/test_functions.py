@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratamart.functions.measures import exact_sum
 from stratamart.functions import (
     NULL_WORDS,
     calendar_columns,
@@ -114,3 +115,9 @@ def test_measures(spark):
     assert tuple(out.first()) == (Decimal("2400.00"), 600.0, 50.05, 549.95)
     assert out.schema["LineTotalLocal"].dataType == T.DecimalType(21, 2)
     assert out.schema["LineTotalBaseCurrency"].dataType == T.DoubleType()
+
+
+def test_sums_are_exact_in_any_order(spark):
+    df = spark.createDataFrame([(0.1,), (0.2,), (1e9,), (-0.3,), (None,), (4.35,)], "x double")
+    assert df.select(exact_sum(F.col("x"))).first()[0] == 1000000004.35
+    assert df.filter("x is null").select(exact_sum(F.col("x"))).first()[0] is None

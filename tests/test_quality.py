@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from stratamart.operators.dedupe import drop_repeats, first_per_key
+from stratamart.operators.dedupe import drop_repeats, first_per_key, settle_repeats
 from stratamart.operators.projection import (
     add_landing_audit,
     add_missing,
@@ -41,6 +41,18 @@ def test_text_keys_differ_before_cleaning(spark):
     assert drop_repeats(df).count() == 2
 
 
+def test_settled_repeats_equal_dropped_repeats(spark, rows):
+    draw = random.Random(5)
+    data = [(n if n % 3 else 7, draw.choice([None, "a", "b"]), draw.randrange(4)) for n in range(200)] + [(None, "a", 1), (None, "b", 1)]
+    df = spark.createDataFrame(data, "id int, k string, v int")
+    for keys in (["id"], ["id", "k"]):
+        expected = rows(drop_repeats(df, keys))
+        for bound in (1000, 0):
+            assert rows(settle_repeats(df, keys, bound)) == expected
+    unique = spark.range(10)
+    assert settle_repeats(unique, ["id"]) is unique
+
+
 def test_hot_key_is_reduced_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
     plan = first_per_key(df, ["k"], [F.col("id").desc()])._jdf.queryExecution().executedPlan().toString()
