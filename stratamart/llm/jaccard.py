@@ -157,7 +157,8 @@ def near_classes(docs: DataFrame) -> DataFrame:
     items = stored(items.withColumn("id", F.monotonically_increasing_id()), "items")
     groups = rows.where("n > 0").groupBy("group").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     posted = groups.select(F.explode("prefix").alias("token"), "group", "n")
-    shared = posted.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
+    # Written, so that the join has an exchange of its own on both sides and can split a crowded token.
+    shared = stored(posted.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token"), "shared")
     lists = posted.join(shared, "token")
     # Members of one group are candidates of each other: the group is one more list.
     crowded = items.groupBy("group").agg(F.count("*").alias("k"), F.min("n").alias("n")).where("k > 1").select(F.col("group").alias("token"), "group", "n")

@@ -140,7 +140,8 @@ def repeated_windows(docs: DataFrame, crowded: int = CROWDED) -> DataFrame:
     place = F.struct("d", "at")
     shared = anchors.groupBy("h").agg(F.count("*").alias("k"), F.min(place).alias("a"), F.max(place).alias("b"))
     # Anchors that only copies of one text have need no sorting.
-    shared = shared.where("a <> b").select("h", (F.col("k") > crowded).alias("crowded"))
+    # Written, so that the join has an exchange of its own on both sides and can split a crowded anchor.
+    shared = stored(shared.where("a <> b").select("h", (F.col("k") > crowded).alias("crowded")), "suffix-shared")
     wanted = anchors.join(shared, "h").groupBy("d").agg(F.collect_set(F.struct("at", "crowded")).alias("wanted"))
 
     def surround(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
