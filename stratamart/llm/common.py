@@ -43,13 +43,17 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(n: int, base: int) -> np.ndarray:
-    """``base ** 0 .. base ** (n - 1)`` modulo 2 ** 64."""
-    out = np.full(n, base, np.uint64)
-    if n:
+    """``base ** 0 .. base ** (n - 1)`` modulo 2 ** 64; the longest table so far is kept."""
+    if len(_POWERS.get(base, ())) < n:
+        out = np.full(max(n, 1 << 14), base, np.uint64)
         out[0] = 1
         np.multiply.accumulate(out, out=out)
-    return out
+        _POWERS[base] = out
+    return _POWERS[base][:n]
 
 
 BYTE_CODES = mixed(np.arange(1, 257, dtype=np.uint64))
@@ -95,7 +99,8 @@ def shingles(text: str | None, words: int = SHINGLE) -> np.ndarray:
         return np.empty(0, np.uint64)
     hashes = Rolling(data).of(starts, ends) + (ends - starts).astype(np.uint64)
     n = min(words, len(hashes))
-    out = np.zeros(len(hashes) - n + 1, np.uint64)
-    for k in range(n):
-        out = mixed(out * M64 + hashes[k : k + len(out)])
-    return out + np.uint64(n)
+    out = hashes[: len(hashes) - n + 1].copy()
+    for k in range(1, n):
+        out *= M64
+        out += hashes[k : k + len(out)]
+    return mixed(out + np.uint64(n))

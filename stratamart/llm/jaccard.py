@@ -29,6 +29,8 @@ PERCENT = 80
 COUNTERS_BITS = 22
 #: Rounds in which lists are tied to leaders before pairs are formed.
 ROUNDS = 2
+#: Lists up to this length say by pairs which groups need whole sets; of longer ones all do.
+SHORT_LIST = 12
 #: Bits of the filter that says which groups need whole sets, at most; it only saves work.
 FILTER_BITS = 26
 
@@ -44,7 +46,8 @@ def counters(docs: DataFrame) -> np.ndarray:
         sums = np.zeros(1 << COUNTERS_BITS, np.uint32)
         for batch in batches:
             for text in batch["text"]:
-                np.add.at(sums, (np.unique(shingles(text)) & np.uint64((1 << COUNTERS_BITS) - 1)).astype(np.int64), 1)
+                # Two shingles of one text on one counter count once, which no order depends on.
+                sums[(shingles(text) & np.uint64((1 << COUNTERS_BITS) - 1)).astype(np.int64)] += 1
         parts = np.split(sums, pieces)
         yield pd.DataFrame({"piece": range(pieces), "n": [zlib.compress(p.tobytes(), 1) for p in parts]})
 
@@ -158,16 +161,19 @@ def near_classes(docs: DataFrame) -> DataFrame:
     groups = rows.where("n > 0").groupBy("group").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     posted = groups.select(F.explode("prefix").alias("token"), "group", "n")
     # Written, so that the join has an exchange of its own on both sides and can split a crowded token.
-    shared = stored(posted.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token"), "shared")
-    lists = posted.join(shared, "token")
-    # Members of one group are candidates of each other: the group is one more list.
-    crowded = items.groupBy("group").agg(F.count("*").alias("k"), F.min("n").alias("n")).where("k > 1").select(F.col("group").alias("token"), "group", "n")
-    lists = stored(lists.unionByName(crowded), "lists")
-    involved = stored(lists.select("group").distinct(), "involved")
+    shared = stored(posted.groupBy("token").agg(F.count("*").alias("k")).where("k > 1"), "shared")
+    lists = stored(posted.join(shared, "token"), "lists")
+    crowded = items.groupBy("group").agg(F.count("*").alias("k")).where("k > 1").select("group")
+    a, b = lists.where(F.col("k") <= SHORT_LIST).alias("a"), lists.where(F.col("k") <= SHORT_LIST).alias("b")
+    met = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.group") < F.col("b.group")) & sizes_fit(F.col("a.n"), F.col("b.n")))
+    pairs = met.groupBy(F.col("a.group").alias("u"), F.col("b.group").alias("v"), F.col("a.n").alias("n"), F.col("b.n").alias("m")).agg(F.count("*").alias("c"))
+    near = pairs.where(may_link(F.col("n"), F.col("m"), F.col("c"))).select(F.explode(F.array("u", "v")).alias("group"))
+    long_lists = lists.where(F.col("k") > SHORT_LIST).select("group")
+    involved = stored(near.unionByName(long_lists).unionByName(crowded).distinct(), "involved")
     sets = stored(whole_sets(docs, items, involved, common), "sets")
-    # Expanded to members.
-    lists = lists.join(items.select("group", "id"), "group").select("token", "id", "n")
-    lists = stored(lists, "lists")
+    # Expanded to members. Those of one group are candidates of each other, so the group is one more list.
+    lists = lists.select("token", "group").join(involved, "group").unionByName(crowded.select(F.col("group").alias("token"), "group"))
+    lists = stored(lists.join(items.select("group", "id", "n"), "group"), "lists")
     found, labels = None, None
     for k in range(ROUNDS + 1):
         now = with_classes(lists, "id", labels)
@@ -203,22 +209,46 @@ def representatives(docs: DataFrame) -> DataFrame:
     return chosen.unionByName(rows.where(bare)).select(*docs.columns)
 
 
+def may_link(n: Column, m: Column, c: Column) -> Column:
+    """Whether sets of ``n`` and ``m`` shingles with ``c`` common ones in their prefixes can link.
+
+    Whatever else they share is behind the prefix of one of them.
+    """
+    behind = F.ceil(F.greatest(n, m) * PERCENT / 100) - 1
+    return (c + behind) * (100 + PERCENT) >= (n + m) * PERCENT
+
+
+def counted(met: DataFrame, a: str, b: str) -> DataFrame:
+    """Pairs (u, v) of the items ``a`` and ``b`` whose common prefix shingles, one per row of ``met``, leave a link possible."""
+    one_group = F.col(f"{a}.group") == F.col(f"{b}.group")
+    pairs = met.groupBy(
+        F.col(f"{a}.id").alias("u"), F.col(f"{b}.id").alias("v"), F.col(f"{a}.n").alias("n"), F.col(f"{b}.n").alias("m"), one_group.alias("one_group")
+    ).agg(F.count("*").alias("c"))
+    return pairs.where(F.col("one_group") | may_link(F.col("n"), F.col("m"), F.col("c"))).select("u", "v")
+
+
 def tied(lists: DataFrame, k: int) -> DataFrame:
-    """A pair with the leader of each list and size class for all its other members; leaders differ by round."""
+    """A pair with the leader of each list and size class for all its other members; leaders differ by round.
+
+    A pair is not counted in lists that another one leads, so some pairs that could link
+    are left to :func:`crossed`.
+    """
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / PERCENT)) + k / ROUNDS)
     rows = lists.withColumn("band", band)
-    leaders = rows.groupBy("token", "band").agg(F.min(F.struct(F.xxhash64("id", F.lit(k)).alias("h"), "id", "n", "class")).alias("m"))
-    met = rows.join(leaders, ["token", "band"])
-    met = met.where((F.col("id") != F.col("m.id")) & (F.col("class") != F.col("m.class")) & sizes_fit(F.col("n"), F.col("m.n")))
-    return met.select(F.greatest("id", "m.id").alias("u"), F.least("id", "m.id").alias("v")).distinct()
+    leaders = rows.groupBy("token", "band").agg(F.min(F.struct(F.xxhash64("id", F.lit(k)).alias("h"), "id", "n", "class", "group")).alias("m"))
+    met = rows.alias("a").join(leaders.select("token", "band", "m.*").alias("b"), ["token", "band"])
+    met = met.where((F.col("a.id") != F.col("b.id")) & (F.col("a.class") != F.col("b.class")) & sizes_fit(F.col("a.n"), F.col("b.n")))
+    return counted(met, "a", "b")
 
 
 def crossed(lists: DataFrame) -> DataFrame:
-    """All pairs of a list of fitting sizes whose members are in different classes."""
-    a, b = lists.alias("a"), lists.alias("b")
-    met = a.join(b, F.col("a.token") == F.col("b.token"))
+    """All pairs of a list of fitting sizes whose members are in different classes and can link.
+
+    Two such members have all their common shingles in the lists given, so the count is whole.
+    """
+    met = lists.alias("a").join(lists.alias("b"), F.col("a.token") == F.col("b.token"))
     met = met.where((F.col("a.id") > F.col("b.id")) & (F.col("a.class") != F.col("b.class")) & sizes_fit(F.col("a.n"), F.col("b.n")))
-    return met.select(F.col("a.id").alias("u"), F.col("b.id").alias("v")).distinct()
+    return counted(met, "a", "b")
 
 
 def whole_sets(docs: DataFrame, items: DataFrame, involved: DataFrame, common) -> DataFrame:
