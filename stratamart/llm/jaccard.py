@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import mixed, shingles, stored
@@ -28,7 +28,7 @@ PERCENT = 80
 #: Counters that order shingles by how common they are, of which each task adds up all: 16 MB.
 COUNTERS_BITS = 22
 #: Rounds in which lists are tied to leaders before pairs are formed.
-ROUNDS = 2
+ROUNDS = 3
 #: Lists up to this length say by pairs which groups need whole sets; of longer ones all do.
 SHORT_LIST = 12
 #: Bits of the filter that says which groups need whole sets, at most; it only saves work.
@@ -159,7 +159,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
     items = rows.where("n > 0").groupBy("name").agg(F.min("n").alias("n"), F.min("group").alias("group"))
     items = stored(items.withColumn("id", F.monotonically_increasing_id()), "items")
     groups = rows.where("n > 0").groupBy("group").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    posted = groups.select(F.explode("prefix").alias("token"), "group", "n")
+    posted = groups.select(F.posexplode("prefix").alias("place", "token"), "group", "n")
     # Written, so that the join has an exchange of its own on both sides and can split a crowded token.
     shared = stored(posted.groupBy("token").agg(F.count("*").alias("k")).where("k > 1"), "shared")
     lists = stored(posted.join(shared, "token"), "lists")
@@ -172,13 +172,16 @@ def near_classes(docs: DataFrame) -> DataFrame:
     involved = stored(near.unionByName(long_lists).unionByName(crowded).distinct(), "involved")
     sets = stored(whole_sets(docs, items, involved, common), "sets")
     # Expanded to members. Those of one group are candidates of each other, so the group is one more list.
-    lists = lists.select("token", "group").join(involved, "group").unionByName(crowded.select(F.col("group").alias("token"), "group"))
+    lists = lists.select("token", "place", "group").join(involved, "group").unionByName(crowded.select(F.col("group").alias("token"), F.lit(-1).alias("place"), "group"))
     lists = stored(lists.join(items.select("group", "id", "n"), "group"), "lists")
     found, labels = None, None
     for k in range(ROUNDS + 1):
         now = with_classes(lists, "id", labels)
         open_lists = now.groupBy("token").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b").select("token")
         now = stored(now.join(open_lists, "token"), "lists")
+        # One text has a bounded prefix, and so has the window over its lists.
+        own = Window.partitionBy("id")
+        now = now.withColumns({"most": F.count("*").over(own), "nth": F.row_number().over(own.orderBy("place"))})
         pairs = tied(now, k) if k < ROUNDS else crossed(now)
         links = stored(verified(pairs, sets), "links")
         found = links if found is None else found.unionByName(links)
@@ -235,7 +238,9 @@ def tied(lists: DataFrame, k: int) -> DataFrame:
     """
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / PERCENT)) + k / ROUNDS)
     rows = lists.withColumn("band", band)
-    leaders = rows.groupBy("token", "band").agg(F.min(F.struct(F.xxhash64("id", F.lit(k)).alias("h"), "id", "n", "class", "group")).alias("m"))
+    # The first leader shares most of its prefix, as the least edited of many copies does; later ones are any.
+    rank = -F.col("most") / F.col("n") if k == 0 else F.lit(0.0)
+    leaders = rows.groupBy("token", "band").agg(F.min(F.struct(rank.alias("r"), F.xxhash64("id", F.lit(k)).alias("h"), "id", "n", "class", "group")).alias("m"))
     met = rows.alias("a").join(leaders.select("token", "band", "m.*").alias("b"), ["token", "band"])
     met = met.where((F.col("a.id") != F.col("b.id")) & (F.col("a.class") != F.col("b.class")) & sizes_fit(F.col("a.n"), F.col("b.n")))
     return counted(met, "a", "b")
@@ -244,11 +249,17 @@ def tied(lists: DataFrame, k: int) -> DataFrame:
 def crossed(lists: DataFrame) -> DataFrame:
     """All pairs of a list of fitting sizes whose members are in different classes and can link.
 
-    Two such members have all their common shingles in the lists given, so the count is whole.
+    Two such members have all their common shingles in the lists given, in one order. A
+    pair is formed only where both have enough lists left for a link; its first common
+    shingle is such a place, while the many common ones at the end of near misses are not.
     """
+    left = 1 + F.least(F.col("a.most") - F.col("a.nth"), F.col("b.most") - F.col("b.nth"))
     met = lists.alias("a").join(lists.alias("b"), F.col("a.token") == F.col("b.token"))
-    met = met.where((F.col("a.id") > F.col("b.id")) & (F.col("a.class") != F.col("b.class")) & sizes_fit(F.col("a.n"), F.col("b.n")))
-    return counted(met, "a", "b")
+    met = met.where(
+        (F.col("a.id") > F.col("b.id")) & (F.col("a.class") != F.col("b.class")) & sizes_fit(F.col("a.n"), F.col("b.n"))
+        & ((F.col("a.group") == F.col("b.group")) | may_link(F.col("a.n"), F.col("b.n"), left))
+    )
+    return met.select(F.col("a.id").alias("u"), F.col("b.id").alias("v")).distinct()
 
 
 def whole_sets(docs: DataFrame, items: DataFrame, involved: DataFrame, common) -> DataFrame:
