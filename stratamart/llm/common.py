@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from stratamart.session import new_work_folder
@@ -27,6 +28,24 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session from now on sends tasks' rows to Python in batches of a few megabytes.
+
+    Texts of any length then take bounded memory beside the executor's heap.
+    """
+    for key, most, text in (("maxRecordsPerBatch", 2000, "2000"), ("maxBytesPerBatch", 4 << 20, "4194304b")):
+        name = f"spark.sql.execution.arrow.{key}"
+        now = int(df.sparkSession.conf.get(name).removesuffix("b"))
+        if now <= 0 or now > most:
+            df.sparkSession.conf.set(name, text)
+    return df
+
+
+def framed(rows: list[tuple], *names: str) -> pd.DataFrame:
+    """Rows of plain values as a frame whose columns keep their types, None and lists included."""
+    return pd.DataFrame(rows, columns=list(names), dtype=object)
+
+
 def encoded(text: str | None) -> bytes:
     """UTF-8 of ``text``; empty for None."""
     return b"" if text is None else text.encode("utf-8", "surrogatepass")

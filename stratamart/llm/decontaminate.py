@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import M64, Rolling, encoded, mixed, word_bounds
+from .common import M64, Rolling, encoded, framed, mixed, small_batches, word_bounds
 
 #: Shortest tile in tokens, and least covered share of an item.
 MIN_TILE, COVER = 5, 0.6
@@ -158,7 +158,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, cover: float = COVER,
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, item_id {benchmark.schema['item_id'].dataType.simpleString()}, n_tiles long, n_tokens long, coverage double"
-    rows = docs.select("doc_id", "text")
+    rows = small_batches(docs.select("doc_id", "text"))
     out = None
     for block in blocks(benchmark):
         sent = docs.sparkSession.sparkContext.broadcast(Items(block, shortest))
@@ -171,8 +171,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, cover: float = COVER,
                     for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True)
                     for row in items.covered(text, cover)
                 ]
-                table = pd.DataFrame(found, columns=["doc_id", "item_id", "n_tiles", "n_tokens", "coverage"])
-                yield table.astype({"doc_id": "Int64", "item_id": "Int64"})
+                yield framed(found, "doc_id", "item_id", "n_tiles", "n_tokens", "coverage")
 
         part = rows.mapInPandas(tile, schema)
         out = part if out is None else out.unionByName(part)
@@ -181,6 +180,8 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, cover: float = COVER,
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, cover: float = COVER, shortest: int = MIN_TILE) -> DataFrame:
     """``docs`` that no item contaminates, all columns kept, in narrow passes over the texts."""
+    small_batches(docs)
+
     def judge(sent):
         def clean(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for batch in texts:

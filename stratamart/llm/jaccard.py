@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mixed, shingles, stored
+from .common import framed, mixed, shingles, small_batches, stored
 
 #: Two sets link when ``100 * common >= PERCENT * union``.
 PERCENT = 80
@@ -140,7 +140,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
     execution can split. Whole sets leave the scan only for groups that share a shingle.
     """
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
+    docs = small_batches(docs.select("doc_id", "text", F.xxhash64("text").alias("key")))
     kind = docs.schema["doc_id"].dataType.simpleString()
     common = spark.sparkContext.broadcast(counters(docs))
 
@@ -151,8 +151,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
                 got = described(text, common.value)
                 row = (None if pd.isna(doc_id) else int(doc_id), key)
                 rows.append((*row, 0, None, None, None) if got is None else (*row, len(got[0]), got[1], got[3], got[2].view(np.int64)))
-            out = pd.DataFrame(rows, columns=["doc_id", "key", "n", "name", "group", "prefix"])
-            yield out.astype({"doc_id": "Int64", "group": "Int64"})
+            yield framed(rows, "doc_id", "key", "n", "name", "group", "prefix")
 
     rows = stored(docs.mapInPandas(describe, f"doc_id {kind}, key long, n long, name binary, group long, prefix array<long>"), "shingles")
     # An item is a set, whatever rows have it; its id is fixed by writing it.
@@ -284,13 +283,12 @@ def whole_sets(docs: DataFrame, items: DataFrame, involved: DataFrame, common) -
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            names, sets = [], []
+            rows = []
             for text in batch["text"]:
                 got = described(text, common.value)
                 if got is not None and sent.value[(got[3] % (1 << 64)) >> (64 - bits)]:
-                    names.append(got[1])
-                    sets.append(got[0].view(np.int64))
-            yield pd.DataFrame({"name": names, "hashes": sets})
+                    rows.append((got[1], got[0].view(np.int64)))
+            yield framed(rows, "name", "hashes")
 
     emitted = docs.select("text").mapInPandas(emit, "name binary, hashes array<long>")
     wanted = items.join(involved, "group").select("name", "id")

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mixed, stored
+from .common import framed, mixed, small_batches, stored
 
 #: Bits of a feature's hash, and lengths of the n-grams.
 BITS = 16
@@ -81,7 +81,7 @@ def document_frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
                     counts += seen
         at = np.flatnonzero(np.add.reduceat(counts, np.arange(0, len(counts), piece)))
         rows = [(int(k), counts[k * piece : (k + 1) * piece].tolist()) for k in at]
-        yield pd.DataFrame([(-1, [total]), *rows], columns=["piece", "counts"])
+        yield framed([(-1, [total]), *rows], "piece", "counts")
 
     parts = docs.select("text").mapInPandas(count, "piece int, counts array<long>")
     sums = parts.select("piece", F.posexplode("counts").alias("at", "n")).groupBy("piece", "at").agg(F.sum("n").alias("n"))
@@ -162,7 +162,7 @@ def fit(docs: DataFrame, per_label: int = PER_LABEL) -> Model:
     one task: at most ``per_label * MAX_LABELS`` sparse rows of at most ``2 ** BITS``
     features each.
     """
-    learn = docs.select("doc_id", "text", "lang").where(~held_out(F.col("doc_id")))
+    learn = small_batches(docs).select("doc_id", "text", "lang").where(~held_out(F.col("doc_id")))
     total, counts = document_frequencies(learn)
     idf = np.log((1 + total) / (1 + counts)) + 1
     named = learn.where("lang is not null and text is not null").select("doc_id", "lang", F.xxhash64("doc_id", "text").alias("_h"))
@@ -182,7 +182,7 @@ def fit(docs: DataFrame, per_label: int = PER_LABEL) -> Model:
                 if found is not None:
                     at, x = vector(found, idf)
                     rows.append((lang, h, at.astype(np.int32).tobytes(), x.astype(np.float32).tobytes()))
-            yield pd.DataFrame(rows, columns=["lang", "h", "at", "x"])
+            yield framed(rows, "lang", "h", "at", "x")
 
     def train(table: pd.DataFrame) -> pd.DataFrame:
         table = table.sort_values(["h", "lang"], kind="stable").reset_index(drop=True)
@@ -218,6 +218,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         for batch in texts:
             yield pd.DataFrame([model.predict(t) for t in batch], columns=["lang_pred", "score"])
 
+    small_batches(docs)
     guess = F.pandas_udf(predict, "lang_pred string, score double")
     return docs.select(*kept, guess("text").alias("_got")).select(*kept, "_got.lang_pred", "_got.score")
 

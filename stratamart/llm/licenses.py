@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from .common import encoded
+from .common import encoded, framed, small_batches
 
 # Phrases whose consecutive words name a licence.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -193,22 +193,18 @@ def scan_licenses(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES) -> Data
                 starts = [start for start, _ in base]
                 own = {label for _, label in base}
                 rows.append((
-                    None if doc_id is pd.NA or doc_id != doc_id else doc_id, n, len(base),
+                    None if pd.isna(doc_id) else int(doc_id), n, len(base),
                     min(starts, default=None), max(starts, default=None), ",".join(sorted(own)),
                     ",".join(sorted(own | {label for _, _, label, _ in spans})),
-                    1.0 if base else min(1.0, max((x for *_, x in spans), default=0.0)), spans,
+                    1.0 if base else min(1.0, max((x for *_, x in spans), default=0.0)),
+                    [dict(zip(("start", "end", "label", "share"), x, strict=True)) for x in spans],
                 ))
-            yield framed(rows, batch["doc_id"].dtype)
+            yield framed(rows, "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans")
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(
+    return small_batches(docs.select("doc_id", "text")).mapInPandas(
         scan,
         f"doc_id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
         "score double, spans array<struct<start: long, end: long, label: string, share: double>>",
     )
 
-
-def framed(rows: list[tuple], id_type) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"])
-    out["spans"] = [[dict(zip(("start", "end", "label", "share"), x, strict=True)) for x in spans] for spans in out["spans"]]
-    return out.astype({"first_word": "Int64", "last_word": "Int64"}) if len(out) else out

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, UNBASE, encoded, mixed, powers
+from .common import BASE, UNBASE, encoded, framed, mixed, powers, small_batches
 
 #: Hashes in a fingerprint. Sets of so many phrases at most are compared exactly.
 KEPT = 128
@@ -185,9 +185,9 @@ def phrase_fingerprints(docs: DataFrame, per_bucket: int = 1000) -> DataFrame:
                         as_text(new), likeness(held.own, new), likeness(held.own, parsed.own),
                     ))
                 bucket, doc_id, held = to, number, None if end else parsed
-            yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
+            yield framed(rows, *columns)
 
-    return in_order(docs.select("doc_id", "text"), per_bucket).select("_bucket", "_end", "doc_id", "text").mapInPandas(
+    return in_order(small_batches(docs.select("doc_id", "text")), per_bucket).select("_bucket", "_end", "doc_id", "text").mapInPandas(
         walk,
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double",
     )

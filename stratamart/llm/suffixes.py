@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import M64, Rolling, encoded, mixed, stored
+from .common import M64, Rolling, encoded, framed, mixed, small_batches, stored
 
 #: Bytes that a repeated window has, and bytes of its anchor.
 WINDOW, DIGIT = 200, 40
@@ -119,7 +119,7 @@ def repeated_windows(docs: DataFrame, crowded: int = CROWDED) -> DataFrame:
     ``crowded`` places is not sorted within one task: its windows are counted by hash
     across all tasks.
     """
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts = small_batches(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     short = F.octet_length("text") >= WINDOW
     rows = texts.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), name_of(F.col("text")).alias("name"), F.sha2(F.col("text").cast("binary"), 256).alias("whole"))
     long_texts = texts.where(short).select(F.xxhash64("text").alias("d"), "text")
@@ -158,7 +158,7 @@ def repeated_windows(docs: DataFrame, crowded: int = CROWDED) -> DataFrame:
                 for anchor, first, last, h in zip(*(x.tolist() for x in anchors_of(Rolling(data), len(data))), strict=True):
                     if anchor in kinds:
                         out.append((h - (1 << 64) if h >> 63 else h, name, anchor, first, last, data[first : last + WINDOW], kinds[anchor]))
-            yield pd.DataFrame(out, columns=["h", "name", "anchor", "first", "last", "around", "crowded"])
+            yield framed(out, "h", "name", "anchor", "first", "last", "around", "crowded")
 
     around = long_texts.join(wanted, "d").select("text", "wanted").mapInPandas(
         surround, "h long, name binary, anchor int, first int, last int, around binary, crowded boolean"
@@ -179,7 +179,7 @@ def repeated_windows(docs: DataFrame, crowded: int = CROWDED) -> DataFrame:
                 starts, ends = runs_of(off)
                 spans = [{"start": a, "end": b} for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
                 out.append((name, int(off.sum()), sha256(data[~off].tobytes()).hexdigest(), spans))
-            yield pd.DataFrame(out, columns=["name", "n", "kept", "spans"])
+            yield framed(out, "name", "n", "kept", "spans")
 
     span = "array<struct<start: long, end: long>>"
     copies = rows.groupBy("name").agg(F.count("*").alias("copies"))
