@@ -47,8 +47,8 @@ def framed(rows: list[tuple], *names: str) -> pd.DataFrame:
 
 
 def encoded(text: str | None) -> bytes:
-    """UTF-8 of ``text``; empty for None."""
-    return b"" if text is None else text.encode("utf-8", "surrogatepass")
+    """UTF-8 of ``text``; empty for whatever stands for null in a batch."""
+    return text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

@@ -28,7 +28,7 @@ NO_WORD = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 def token_hashes(text: str | None) -> np.ndarray:
     """A hash of every lower-cased word of ``text``; whatever ASCII is no letter or digit separates."""
-    data = encoded(None if text is None else text.lower())
+    data = encoded(text.lower() if isinstance(text, str) else None)
     starts, ends = word_bounds(data, NO_WORD)
     if not len(starts):
         return np.empty(0, np.uint64)

@@ -37,7 +37,7 @@ def held_out(doc_id: Column) -> Column:
 
 def features_of(text: str | None) -> np.ndarray | None:
     """Feature of every n-gram of a text, repeats kept; None without a letter."""
-    if not text:
+    if not isinstance(text, str) or not text:
         return None
     codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
     kinds = np.unique(codes)

@@ -88,17 +88,11 @@ def from_text(fingerprint: str) -> np.ndarray:
     return np.frombuffer(bytes.fromhex(fingerprint), ">u8").astype(np.uint64)
 
 
-def fingerprint(text: str | None) -> np.ndarray:
-    text = text or ""
-    _, ends, _ = parse(text)
-    return smallest(text, [0, *ends[:-1]] if ends else [], ends)
-
-
 class Parsed:
     """A text's phrases, its fingerprint, and its dictionary as of the end of its first half."""
 
     def __init__(self, text: str | None):
-        self.text = text or ""
+        self.text = text if isinstance(text, str) else ""
         self.keep = len(self.text) - len(self.text) // 2
         known, ends, _ = parse(self.text, stop=self.keep)
         self.known, self.ends = set(known), list(ends)
