@@ -53,13 +53,19 @@ def parse(text: str, start: int = 0, known: set[str] | None = None, ends: list[i
     return known, ends, start
 
 
+#: Spread values of the most usual code points.
+CODES = mixed(np.arange(1, (1 << 13) + 1, dtype=np.uint64))
+
+
 class Codes:
     """Hashes of slices of one text by code points."""
 
     def __init__(self, text: str):
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
         self.sums = np.zeros(len(codes) + 1, np.uint64)
-        np.cumsum(mixed(codes + np.uint64(1)) * powers(len(codes), BASE), out=self.sums[1:])
+        small = not len(codes) or codes.max() < len(CODES)
+        spread = CODES[codes.astype(np.int64)] if small else mixed(codes + np.uint64(1))
+        np.cumsum(spread * powers(len(codes), BASE), out=self.sums[1:])
         self.back = powers(len(codes) + 1, UNBASE)
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
