@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -38,6 +39,22 @@ def flatten(df: DataFrame) -> DataFrame:
     return flatten(df)
 
 
+def payload_schema(df: DataFrame, payload: str) -> str | None:
+    """Struct type of all JSON objects in a column; None when there is none."""
+    found = df.select(F.schema_of_variant_agg(F.try_parse_json(payload))).first()[0]
+    if found == "VARIANT":  # objects beside other values, which have no columns
+        objects = df.filter(F.schema_of_variant(F.try_parse_json(payload)).startswith("OBJECT"))
+        found = objects.select(F.schema_of_variant_agg(F.try_parse_json(payload))).first()[0]
+    if not found.startswith("OBJECT<"):
+        return None
+    # Quoted names stay as they are.
+    parts = found.split("`")
+    for k in range(0, len(parts), 2):
+        for kind, instead in ((r"\bOBJECT<", "STRUCT<"), (r": (VARIANT|VOID)\b", ": STRING"), (r"<(VARIANT|VOID)>", "<STRING>"), (r"\bDECIMAL\(\d+, ?\d+\)", "DOUBLE")):
+            parts[k] = re.sub(kind, instead, parts[k])
+    return "`".join(parts)
+
+
 def parse_payload(
     df: DataFrame,
     renames: Mapping[str, str] | None = None,
@@ -46,14 +63,15 @@ def parse_payload(
 ) -> DataFrame | None:
     """JSON text column to flat columns, or None when no row has a payload.
 
-    Without ``schema`` it is taken from one sample payload; keys the sample lacks are
-    lost, so give a schema when documents differ.
+    Without ``schema`` one aggregate over all payloads finds it, so no key or value is
+    lost where documents differ: numbers of several types become doubles, values of
+    several kinds stay as text. Text that is no JSON gives a row of NULLs. A schema saves
+    that pass.
     """
     if schema is None:
-        sample = df.filter(F.col(payload).isNotNull()).select(payload).first()
-        if sample is None:
+        schema = payload_schema(df, payload)
+        if schema is None:
             return None
-        schema = df.sparkSession.range(1).select(F.schema_of_json(F.lit(sample[0]))).first()[0]
     parsed = df.select(F.from_json(payload, schema).alias("data")).select("data.*")
     return rename_present(flatten(parsed), renames or {})
 
@@ -63,7 +81,7 @@ def wide_to_long(df: DataFrame, shape: WideToLong, extra_keep: tuple[str, ...] =
     names = [c for c in df.columns if c.startswith(shape.prefix)]
     ids = [*extra_keep, *shape.keep]
     values = df.select(
-        *ids, *[F.col(f"`{c}`").cast("double").alias(c.removeprefix(shape.prefix)) for c in names]
+        *ids, *[F.col(f"`{c}`").try_cast("double").alias(c.removeprefix(shape.prefix)) for c in names]
     )
     long = values.unpivot(
         ids, [c.removeprefix(shape.prefix) for c in names], shape.name_column, shape.value_column

@@ -251,7 +251,10 @@ UNION ALL SELECT l_orderkey, l_linenumber, 'discount', l_discount FROM lineitem"
 SELECT strftime(RateDate, '%Y-%m-%d') AS RateDate, 'USD' AS BaseCurrency, TargetCurrency,
   CAST(ExchangeRate AS DOUBLE) AS ExchangeRate
 FROM wide_rates UNPIVOT INCLUDE NULLS (ExchangeRate FOR TargetCurrency IN (EUR, GBP, INR, JPY, CAD, AUD, CNY))""",
-    "scd2_first_load": f"WITH {_BATCHES} SELECT e.user_id, e.event_type, {_OPEN_VERSION} FROM first_batch e",
+    "scd2_first_load": f"""WITH latest AS (
+  SELECT user_id, event_type, ts FROM events
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type) = 1)
+SELECT e.user_id, e.event_type, {_OPEN_VERSION} FROM latest e""",
     "scd2_users": _USERS,
     "scd2_table": _USERS,
     "late_closures": f"""WITH {_BATCHES}
@@ -295,13 +298,11 @@ FROM fact_sales LEFT JOIN dim_product USING (ProductSK) GROUP BY 1, 2""",
 SELECT BaseCurrency, TargetCurrency, ExchangeRate, RateDate, ExchangeRate IS NULL AS _IsRejected
 FROM (SELECT 'USD' AS BaseCurrency, *
   FROM wide_rates UNPIVOT INCLUDE NULLS (ExchangeRate FOR TargetCurrency IN (EUR, GBP, INR, JPY, CAD, AUD, CNY)))""",
-    "upsert_watermark": """SELECT event_type AS dataset,
-  coalesce(max(ts) FILTER (WHERE ts >= TIMESTAMP '2024-01-16' AND event_type <> 'error'),
-    max(ts) FILTER (WHERE ts < TIMESTAMP '2024-01-16')) AS watermark FROM events GROUP BY 1""",
+    "upsert_watermark": "SELECT CAST(user_id AS VARCHAR) AS dataset, max(ts) AS watermark FROM events GROUP BY 1",
     "schema_evolve": """SELECT p_partkey, p_name, NULL AS p_brand, NULL AS p_size FROM part WHERE p_size <= 25
 UNION ALL SELECT p_partkey, p_name, p_brand, p_size FROM part WHERE p_size > 25""",
-    "partitioned_table": """SELECT o_orderkey, o_orderpriority, o_orderstatus FROM orders
-WHERE o_orderstatus IN ('F', 'O') AND o_orderpriority = '1-URGENT'""",
+    "partitioned_table": "SELECT o_orderkey, o_orderpriority, o_orderstatus FROM orders",
+    "evolve_overwrite": "SELECT o_orderkey, o_orderpriority, o_orderstatus FROM orders",
     "incremental_scan": "SELECT event_id, user_id, event_type, value FROM events WHERE ts > TIMESTAMP '2024-01-16'",
     "catalog_preview": """SELECT 'region' AS table_name, least(count(*), 50) AS preview_rows FROM region
 UNION ALL SELECT 'nation', least(count(*), 50) FROM nation

@@ -199,7 +199,8 @@ def _versions_for_report(rows: DataFrame) -> DataFrame:
 
 
 def scd2_first_load(spark: SparkSession, folder: str) -> DataFrame:
-    return _versions_for_report(fold_batch(None, samples.user_events(spark, folder, 1), USER_HISTORY))
+    everything = samples.user_events(spark, folder, 1).unionByName(samples.user_events(spark, folder, 2))
+    return _versions_for_report(fold_batch(None, everything, USER_HISTORY))
 
 
 def scd2_users(spark: SparkSession, folder: str) -> DataFrame:
@@ -363,8 +364,9 @@ def rate_documents(spark: SparkSession, folder: str) -> DataFrame:
 def upsert_watermark(spark: SparkSession, folder: str) -> DataFrame:
     store = TableStore(spark, new_work_folder(spark, "marks"))
     for batch in (1, 2):
-        events = samples.user_events(spark, folder, batch).filter("event_type <> 'error'" if batch == 2 else "true")
-        marks = events.groupBy(F.col("event_type").alias("dataset")).agg(F.max("ts").alias("watermark"))
+        # Users without events in the second batch keep the mark of the first.
+        events = samples.user_events(spark, folder, batch)
+        marks = events.groupBy(F.col("user_id").cast("string").alias("dataset")).agg(F.max("ts").alias("watermark"))
         store.replace_by_key(marks, AUDIT, WATERMARKS, "dataset")
     return store.read(AUDIT, WATERMARKS).withColumn("watermark", F.col("watermark").cast(_AS_NTZ))
 
@@ -378,15 +380,27 @@ def schema_evolve(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def partitioned_table(spark: SparkSession, folder: str) -> DataFrame:
-    """A table partitioned on write, then appended to and read by partition."""
+    """A table partitioned on write, then appended to and read as a whole."""
     store = TableStore(spark, new_work_folder(spark, "partitions"))
     orders = samples.table(spark, folder, "orders")
-    for status in ("F", "O"):
+    filled = F.col("o_orderstatus").eqNullSafe("F")
+    for part in (filled, ~filled):
         store.write(
-            orders.filter(F.col("o_orderstatus") == status).select("o_orderkey", "o_orderpriority", "o_orderstatus"),
+            orders.filter(part).select("o_orderkey", "o_orderpriority", "o_orderstatus"),
             SILVER, "orders", "append", partition_by=["o_orderpriority"],
         )
-    return store.read(SILVER, "orders").filter("o_orderpriority = '1-URGENT'")
+    return store.read(SILVER, "orders")
+
+
+def evolve_overwrite(spark: SparkSession, folder: str) -> DataFrame:
+    """A partitioned table overwritten with a new column, then appended to."""
+    store = TableStore(spark, new_work_folder(spark, "overwrite"))
+    orders = samples.table(spark, folder, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    filled = F.col("o_orderstatus").eqNullSafe("F")
+    store.write(orders.drop("o_orderstatus"), SILVER, "orders", partition_by=["o_orderpriority"])
+    store.evolve_and_write(orders.filter(filled), SILVER, "orders", "overwrite")
+    store.evolve_and_write(orders.filter(~filled), SILVER, "orders")
+    return store.read(SILVER, "orders")
 
 
 def incremental_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -599,6 +613,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         upsert_watermark,
         schema_evolve,
         partitioned_table,
+        evolve_overwrite,
         incremental_scan,
         catalog_preview,
         stream_landing,

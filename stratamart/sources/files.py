@@ -121,9 +121,10 @@ def read_json_documents(
 ) -> DataFrame:
     """JSON documents that may span lines, with the file each came from.
 
-    Give ``schema`` to save the pass over all files that inference takes.
+    Values are text as in CSV files, so a rate that is whole in one file and not in the
+    next has one type. Give ``schema`` to save the pass over all files that inference takes.
     """
-    reader = spark.read.option("multiLine", True)
+    reader = spark.read.option("multiLine", True).option("primitivesAsString", True)
     if schema is not None:
         reader = reader.schema(schema)
     return _with_source(reader.json(paths))

@@ -151,14 +151,18 @@ class TableStore:
             schema=schema,
             partition_by=live.partition_by if appending else tuple(partition_by),
         )
-        writer = df.write.format(self.file_format).mode("append" if appending else "overwrite")
-        if target.partition_by:
-            writer = writer.partitionBy(*target.partition_by)
-        writer.save(f"{self.path(layer, name)}/{_SNAPSHOT}={target.version}")
+        self._save(df, layer, name, target, "append" if appending else "overwrite")
         if target != live:
             self._switch(layer, name, target)
         return gained
 
+    def _save(self, df: DataFrame, layer: str, name: str, target: _Live, mode: str) -> None:
+        """Write rows to the snapshot of ``target``, partitioned as the table is."""
+        writer = df.write.format(self.file_format).mode(mode)
+        if target.partition_by:
+            writer = writer.partitionBy(*target.partition_by)
+        writer.save(f"{self.path(layer, name)}/{_SNAPSHOT}={target.version}")
+
     def evolve_and_write(self, df: DataFrame, layer: str, name: str, mode: str = "append") -> list[str]:
         """Create the table, or add the frame's new columns to it and write.
 
@@ -170,7 +174,7 @@ class TableStore:
         gained = [f.name for f in new_columns(live.schema, df.schema)]
         schema = widened(live.schema, df.schema)
         target = replace(live, version=live.version + 1, schema=schema)
-        df.write.format(self.file_format).mode("overwrite").save(f"{self.path(layer, name)}/{_SNAPSHOT}={target.version}")
+        self._save(df, layer, name, target, "overwrite")
         self._switch(layer, name, target)
         return gained
 

@@ -84,7 +84,7 @@ PRODUCTS = DatasetSpec(
     load="overwrite_latest",
     dedupe_keys=("ProductID",),
     title_case=("Category",),
-    reject_when=("CostPrice <= 0",),
+    reject_when=("CostPrice IS NOT NULL AND CostPrice <= 0",),
 )
 
 CUSTOMERS = DatasetSpec(
@@ -120,7 +120,7 @@ EXCHANGE_RATES = DatasetSpec(
     raw_format="json",
     dedupe_keys=("BaseCurrency", "TargetCurrency", "RateDate"),
     date_formats={"RateDate": "yyyy-MM-dd"},
-    reject_when=("ExchangeRate <= 0",),
+    reject_when=("ExchangeRate IS NOT NULL AND ExchangeRate <= 0",),
     wide_to_long=WideToLong(
         prefix="rates_",
         name_column="TargetCurrency",
@@ -142,7 +142,7 @@ ORDERS = DatasetSpec(
     },
     dedupe_keys=("OrderID",),
     date_formats={"OrderDate": "yyyy-MM-dd"},
-    reject_when=("Quantity <= 0", "UnitPrice <= 0"),
+    reject_when=("Quantity IS NOT NULL AND Quantity <= 0", "UnitPrice IS NOT NULL AND UnitPrice <= 0"),
     references=(
         RefCheck("CustomerID", "customers", "CustomerID"),
         RefCheck("ProductID", "products", "ProductID"),

@@ -58,3 +58,12 @@ def test_unpivot_keeps_nulls(spark, rows):
     out = wide_to_long(df, shape)
     assert out.columns == ["RateDate", "BaseCurrency", "TargetCurrency", "ExchangeRate"]
     assert rows(out) == [("2024-01-01", "USD", "EUR", 0.9), ("2024-01-01", "USD", "JPY", None)]
+
+
+def test_payloads_that_differ_keep_all_keys_and_values(spark, rows):
+    texts = ['{"a":1}', '{"a":2,"b":3,"x y":"t"}', '{"a":2.5}', "no json", '{"c":1}', '{"c":"one"}', "[1]", None]
+    out = parse_payload(spark.createDataFrame([(t,) for t in texts], "raw_payload string"))
+    got = rows(out, "a", "b", "c", "x y")
+    assert sorted((r for r in got if any(v is not None for v in r)), key=repr) == sorted(
+        [(1.0, None, None, None), (2.0, 3, None, "t"), (2.5, None, None, None), (None, None, "1", None), (None, None, "one", None)], key=repr
+    )

@@ -112,3 +112,11 @@ def test_profile_counts_tables_that_exist(spark, store, rows):
     store.write(spark.range(4), SILVER, "t")
     assert rows(table_profile(store, [(SILVER, "t"), (SILVER, "none")])) == [(SILVER, "t", 4)]
     assert table_profile(store, []).count() == 0
+
+
+def test_overwriting_a_partitioned_table_keeps_its_layout(spark, store):
+    df = spark.createDataFrame([(k, k % 2) for k in range(6)], "id int, p int")
+    store.write(df, "silver", "t", partition_by=["p"])
+    store.evolve_and_write(df.selectExpr("*", "'x' as more"), "silver", "t", "overwrite")
+    store.evolve_and_write(df, "silver", "t")
+    assert store.read("silver", "t").count() == 12
