@@ -25,10 +25,10 @@ from .common import M64, Rolling, encoded, framed, mixed, small_batches, stored
 #: Bytes that a repeated window has, and bytes of its anchor.
 WINDOW, DIGIT = 200, 40
 #: Anchors with more places than this are sorted window by window across tasks, not within one.
-CROWDED = 200_000
+CROWDED = 20_000
 _PLACE_BITS = 20
 #: Bytes of surroundings that a task sorts at once; whole groups of an anchor stay together.
-SORTED_BYTES = 8_000_000
+SORTED_BYTES = 1_500_000
 
 
 def anchors_of(rolling: Rolling, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -241,16 +241,20 @@ def counted_across(around: DataFrame) -> DataFrame:
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for h, name, anchor, first, last, data in batch.itertuples(index=False):
+            parts = []
+            for name, anchor, first, last, data in batch.itertuples(index=False):
                 rolling, at = Rolling(bytes(data)), np.arange(last - first + 1)
-                half = rolling.of(at, at + WINDOW // 2), rolling.of(at + WINDOW // 2, at + WINDOW)
-                del h
-                yield pd.DataFrame({
-                    "a": half[0].view(np.int64), "b": half[1].view(np.int64), "o": anchor - first - at, "name": [name] * len(at), "start": first + at,
-                })
-
-    windows = around.select("h", "name", "anchor", "first", "last", "around").mapInPandas(spread, "a long, b long, o int, name binary, start int")
+                halves = rolling.of(at, at + WINDOW // 2), rolling.of(at + WINDOW // 2, at + WINDOW)
+                names = np.full(len(at), None, object)
+                names[:] = [name] * len(at)
+                parts.append((halves[0].view(np.int64), halves[1].view(np.int64), anchor - first - at, names, first + at))
+            if parts:
+                yield pd.DataFrame(dict(zip(("a", "b", "o", "name", "start"), map(np.concatenate, zip(*parts, strict=True)), strict=True)))
+
+    windows = around.select("name", "anchor", "first", "last", "around").mapInPandas(spread, "a long, b long, o int, name binary, start int")
     twice = windows.groupBy("a", "b", "o").agg(F.count("*").alias("k")).where("k > 1").select("a", "b", "o")
+    # Written, so that the join has an exchange of its own on both sides and can split a crowded window.
+    twice = stored(twice, "suffix-twice")
     return windows.join(twice, ["a", "b", "o"]).select("name", "start", (F.col("start") + WINDOW).alias("end"))
 
 
