@@ -67,7 +67,7 @@ _POWERS: dict[int, np.ndarray] = {}
 
 def powers(n: int, base: int) -> np.ndarray:
     """``base ** 0 .. base ** (n - 1)`` modulo 2 ** 64; the longest table so far is kept."""
-    if len(_POWERS.get(base, ())) < n:
+    if base not in _POWERS or len(_POWERS[base]) < n:
         out = np.full(max(n, 1 << 14), base, np.uint64)
         out[0] = 1
         np.multiply.accumulate(out, out=out)
