@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratamart.names import IS_CURRENT, VALID_FROM, VALID_TO
-from stratamart.operators.dedupe import first_per_key
 from stratamart.operators.sizing import MAX_BROADCAST_ROWS
 
 
@@ -28,24 +27,49 @@ def spans_overlap(spans: DataFrame, keys: Sequence[str]) -> bool:
     return not clash.isEmpty()
 
 
+def disjoint_spans(spans: DataFrame, take: Sequence[str]) -> DataFrame:
+    """Spans of which no two of one ``_key`` share a day; a day goes to the latest start, then the smallest ``take``.
+
+    Spans that meet no other stay as they are. The others are cut at each other's ends,
+    and each piece looks for its span among these few alone.
+    """
+    order = Window.partitionBy("_key").orderBy("_from", "_to")
+    open_end = F.coalesce("_to", F.lit("9999-12-31").cast("date"))
+    marked = spans.withColumns(
+        {
+            "_reach": F.max(open_end).over(order.rowsBetween(Window.unboundedPreceding, -1)),
+            "_next": F.lead("_from").over(order),
+        }
+    )
+    meets = F.coalesce(F.col("_reach") > F.col("_from"), F.lit(False)) | F.coalesce(F.col("_next") < open_end, F.lit(False))
+    marked = marked.withColumn("_meets", meets).select("_key", "_from", "_to", *take, "_meets")
+    clashing = marked.filter("_meets").drop("_meets")
+    cuts = clashing.select("_key", F.explode(F.array("_from", "_to")).alias("_cut")).filter("_cut is not null").distinct()
+    pieces = cuts.withColumn("_until", F.lead("_cut").over(Window.partitionBy("_key").orderBy("_cut")))
+    held = pieces.join(clashing, "_key").filter(_covers(F.col("_cut")))
+    best = F.min(F.struct((-F.unix_date("_from")).alias("_age"), *take)).alias("_best")
+    won = held.groupBy("_key", "_cut", "_until").agg(best)
+    won = won.select("_key", F.col("_cut").alias("_from"), F.col("_until").alias("_to"), *[F.col("_best")[c].alias(c) for c in take])
+    return marked.filter(~F.col("_meets")).drop("_meets").unionByName(won)
+
+
 def point_in_time_join(
     facts: DataFrame,
     versions: DataFrame,
     key: str,
     day: str,
     take: Sequence[str],
-    fact_keys: Sequence[str],
     valid_from: str = VALID_FROM,
     valid_to: str = VALID_TO,
 ) -> DataFrame:
-    """Left join each fact to the version of its key that held on ``day``.
+    """Left join each fact to the version of its key that held on ``day``; every fact stays, once.
 
     Spans compare as dates and are half open; a span within one day never holds and is
     left out, so a key has at most one version per day to compare with. Spark broadcasts
     versions whose size is below its threshold; otherwise both sides are shuffled by key,
     where adaptive execution splits the facts of a hot key. Late changes can leave
-    overlapping spans; then, and only then, facts are reduced to the latest start per
-    ``fact_keys``.
+    overlapping spans, which are made disjoint first: the latest start wins. Facts are
+    never compared with each other, so repeated ones stay.
     """
     spans = versions.select(
         F.col(key).alias("_key"),
@@ -53,10 +77,9 @@ def point_in_time_join(
         F.to_date(valid_to).alias("_to"),
         *take,
     ).filter("_to is null or _from < _to")
-    joined = facts.join(spans, (F.col(key) == F.col("_key")) & _covers(F.col(day)), "left")
     if spans_overlap(spans, ["_key"]):
-        latest = [F.col("_from").desc(), *[F.col(c).asc() for c in take]]
-        joined = first_per_key(joined, fact_keys, latest)
+        spans = disjoint_spans(spans, take)
+    joined = facts.join(spans, (F.col(key) == F.col("_key")) & _covers(F.col(day)), "left")
     return joined.drop("_key", "_from", "_to")
 
 

@@ -232,7 +232,7 @@ def _dated_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 def pit_customer(spark: SparkSession, folder: str) -> DataFrame:
     history = samples.customer_history(spark, folder)
-    return point_in_time_join(_dated_orders(spark, folder), history, "CustomerID", "OrderDate", ["City"], ["OrderID"])
+    return point_in_time_join(_dated_orders(spark, folder), history, "CustomerID", "OrderDate", ["City"])
 
 
 def current_customer(spark: SparkSession, folder: str) -> DataFrame:

@@ -86,7 +86,7 @@ def build_fact_sales(
     rows = settle_repeats(orders.drop(REJECTED), ["OrderID"], max_broadcast_rows).select(
         "OrderID", "CustomerID", "ProductID", "OrderDate", "Quantity", "UnitPrice", "StoreCode"
     )
-    rows = point_in_time_join(rows, dim_customer, "CustomerID", "OrderDate", ["CustomerSK"], ["OrderID"])
+    rows = point_in_time_join(rows, dim_customer, "CustomerID", "OrderDate", ["CustomerSK"])
     rows = rows.join(products, "ProductID", "left")
     rows = rows.join(broadcast_within(currencies, max_broadcast_rows), "StoreCode", "left")
     rows = rows.withColumn("LocalCurrency", F.coalesce("LocalCurrency", F.lit(base)))

@@ -55,7 +55,7 @@ def test_hot_customer_in_point_in_time_join(spark, facts, small_skew):
             )
         ).alias("v"),
     ).select("k", "v.*")
-    joined = point_in_time_join(facts, versions, "k", "at", ["sk"], ["n"], "start", "end")
+    joined = point_in_time_join(facts, versions, "k", "at", ["sk"], "start", "end")
     plan = final_plan(joined)
     assert "SortMergeJoin(skew=true)" in plan
     wrong = joined.filter(F.col("sk") != F.col("k") * 2 + (F.col("at") >= F.lit(date(2024, 6, 1))).cast("int"))

@@ -45,7 +45,7 @@ VERSIONS = "k int, sk int, start timestamp, end timestamp"
 
 
 def pit(df, versions):
-    return point_in_time_join(df, versions, "k", "at", ["sk"], ["n"], "start", "end")
+    return point_in_time_join(df, versions, "k", "at", ["sk"], "start", "end")
 
 
 def test_point_in_time(spark, rows):
@@ -67,6 +67,32 @@ def test_point_in_time_takes_the_latest_start_of_overlapping_spans(spark, rows):
     assert rows(pit(df, versions), "n", "sk") == [(0, 10), (1, 10), (2, 10), (3, 11), (4, 11), (5, 10), (6, 10)]
 
 
+def test_overlaps_elsewhere_do_not_touch_repeated_facts(spark, rows):
+    versions = spark.createDataFrame(
+        [(1, 10, day(0), None), (1, 11, day(2), day(4)), (2, 20, day(0), day(3)), (2, 21, day(3), None)],
+        "k int, sk int, start date, end date",
+    )
+    df = spark.createDataFrame([(1, 2, day(1)), (1, 2, day(1)), (1, 2, day(3)), (5, 1, day(3)), (5, 1, day(3)), (6, 1, None)], "n int, k int, at date")
+    assert rows(pit(df, versions), "n", "sk") == [(1, 20), (1, 20), (1, 21), (5, 11), (5, 11), (6, None)]
+
+
+def test_overlapping_spans_agree_with_a_scan(spark, rows):
+    draw = random.Random(8)
+    spans = []
+    for n in range(60):
+        begin = draw.randrange(20)
+        spans.append((n % 4, n, day(begin), draw.choice([None, day(begin + draw.randrange(8))])))
+    facts = [(n, n % 5, day(draw.randrange(30))) for n in range(200)]
+
+    def answer(k, at):
+        held = [(-(a - DAY).days, sk) for key, sk, a, b in spans if key == k and a <= at and (b is None or at < b)]
+        return min(held)[1] if held else None
+
+    versions = spark.createDataFrame(spans, "k int, sk int, start date, end date")
+    df = spark.createDataFrame(facts, "n int, k int, at date")
+    assert rows(pit(df, versions), "n", "sk") == sorted(((n, answer(k, at)) for n, k, at in facts), key=repr)
+
+
 def test_spans_that_touch_do_not_overlap(spark):
     spans = spark.createDataFrame([(1, day(0), day(3)), (1, day(3), None), (2, day(1), None)], "k int, _from date, _to date")
     assert not spans_overlap(spans, ["k"])
