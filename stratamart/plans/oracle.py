@@ -265,6 +265,26 @@ SELECT o_orderkey AS OrderID, CAST(o_custkey AS INTEGER) AS CustomerID, CAST(o_o
 FROM orders LEFT JOIN history h ON o_custkey = h.CustomerID
   AND CAST(o_orderdate AS DATE) >= CAST(h._SCD_EffectiveStartDate AS DATE)
   AND (h._SCD_EffectiveEndDate IS NULL OR CAST(o_orderdate AS DATE) < CAST(h._SCD_EffectiveEndDate AS DATE))""",
+    "pit_overlaps": f"""WITH {_HISTORY}, spans AS (
+  SELECT CustomerID, City, CAST(_SCD_EffectiveStartDate AS DATE) AS a, CAST(_SCD_EffectiveEndDate AS DATE) AS b FROM history
+  UNION ALL
+  SELECT CAST(c_custkey AS INTEGER), 'AWAY', CAST(t.a AS DATE), CAST(t.b AS DATE) FROM customer,
+    (VALUES ('1995-03-01', '1995-09-01'), ('1998-06-01', '1998-07-01')) t(a, b) WHERE c_custkey % 3 = 0),
+met AS (
+  SELECT o_orderkey AS OrderID, CAST(o_custkey AS INTEGER) AS CustomerID, CAST(o_orderdate AS DATE) AS OrderDate, City
+  FROM orders LEFT JOIN spans ON o_custkey = CustomerID AND o_orderdate >= a AND (b IS NULL OR o_orderdate < b)
+  QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY a DESC, City) = 1)
+SELECT * FROM met UNION ALL SELECT * FROM met WHERE OrderID % 5 = 0""",
+    "latest_file": """SELECT p_brand, count(*) AS part_count,
+  CAST(sum(CAST(round(p_retailprice * 100) AS BIGINT)) AS DOUBLE) / 100 AS price FROM part GROUP BY 1""",
+    "dirt_share": """WITH picked AS (
+  SELECT l_linestatus, l_orderkey, CAST('0x' || substr(md5(
+    concat_ws('|', concat_ws('-', l_orderkey, l_linenumber, l_partkey), 'price')), 1, 8) AS BIGINT) % 10000 < 600 AS dirty
+  FROM lineitem)
+SELECT l_linestatus, count(*) AS line_count, count(*) FILTER (dirty) AS dirty_count,
+  CAST(sum(CASE WHEN dirty THEN l_orderkey ELSE 0 END) AS BIGINT) AS dirty_keys,
+  round(count(*) FILTER (dirty) / count(*), 2) AS dirty_share
+FROM picked GROUP BY 1""",
     "current_customer": f"""WITH {_HISTORY}
 SELECT o_orderkey AS OrderID, CAST(o_custkey AS INTEGER) AS CustomerID, CAST(o_orderdate AS DATE) AS OrderDate, h.City
 FROM orders LEFT JOIN history h ON o_custkey = h.CustomerID AND h._SCD_IsCurrent""",

@@ -222,6 +222,9 @@ def late_closures(spark: SparkSession, folder: str) -> DataFrame:
     return audit.closed_before_start(late, VALID_FROM, VALID_TO)
 
 
+_AWAY = (("1995-03-01", "1995-09-01"), ("1998-06-01", "1998-07-01"))
+
+
 def _dated_orders(spark: SparkSession, folder: str) -> DataFrame:
     return samples.table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("OrderID"),
@@ -235,6 +238,19 @@ def pit_customer(spark: SparkSession, folder: str) -> DataFrame:
     return point_in_time_join(_dated_orders(spark, folder), history, "CustomerID", "OrderDate", ["City"])
 
 
+def pit_overlaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Every third customer was away for spans within other versions; every fifth order comes twice."""
+    history = samples.customer_history(spark, folder).select("CustomerID", "City", VALID_FROM, VALID_TO)
+    away = [F.struct(F.lit(a).cast("timestamp").alias("a"), F.lit(b).cast("timestamp").alias("b")) for a, b in _AWAY]
+    late = (
+        samples.table(spark, folder, "customer").where("c_custkey % 3 = 0")
+        .select(F.col("c_custkey").cast("int").alias("CustomerID"), F.explode(F.array(*away)).alias("s"))
+        .select("CustomerID", F.lit("AWAY").alias("City"), F.col("s.a").alias(VALID_FROM), F.col("s.b").alias(VALID_TO))
+    )
+    orders = change_batches.repeat_rows(_dated_orders(spark, folder), F.col("OrderID") % 5 == 0)
+    return point_in_time_join(orders, history.unionByName(late), "CustomerID", "OrderDate", ["City"])
+
+
 def current_customer(spark: SparkSession, folder: str) -> DataFrame:
     history = samples.customer_history(spark, folder)
     return current_version_join(_dated_orders(spark, folder), history, "CustomerID", ["City"])
@@ -346,9 +362,14 @@ def unregistered_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def latest_file(spark: SparkSession, folder: str) -> DataFrame:
-    """Name and size of the table file that was modified last."""
-    tables = list_files(spark, folder).filter(F.col("name").endswith(".parquet"))
-    return newest(tables).select("name", "size")
+    """Two snapshots of prices by brand, a file each; only the newer one is loaded, whatever the names."""
+    target = new_work_folder(spark, "newest")
+    parts = samples.table(spark, folder, "part")
+    for name, rows in (("second", parts.where("p_size <= 25")), ("first", parts)):
+        brands = rows.groupBy("p_brand").agg(F.count("*").alias("part_count"), exact_sum(F.col("p_retailprice")).alias("price"))
+        write_csv(brands, f"{target}/{name}", single_file=True)
+    path = newest(list_files(spark, target)).first()["path"]
+    return read_csv(spark, [path]).select("p_brand", F.col("part_count").cast("long"), F.col("price").cast("double"))
 
 
 def rate_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -498,10 +519,15 @@ def dirty_products(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dirt_share(spark: SparkSession, folder: str) -> DataFrame:
-    """Share of rows that hashed selection makes dirty at the usual ratio."""
+    """Lines that hashed selection makes dirty at the usual ratio, by status, and their share."""
     lines = samples.table(spark, folder, "lineitem")
-    picked = change_batches.chosen(F.struct("l_orderkey", "l_linenumber", "l_partkey"), 0.06, "price")
-    return lines.agg(F.round(F.count_if(picked) / F.count("*"), 2).alias("dirty_share"))
+    picked = change_batches.chosen(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey"), 0.06, "price")
+    dirty = F.count_if(picked)
+    return lines.groupBy("l_linestatus").agg(
+        F.count("*").alias("line_count"), dirty.alias("dirty_count"),
+        F.sum(F.when(picked, F.col("l_orderkey")).otherwise(0)).cast("long").alias("dirty_keys"),
+        F.round(dirty / F.count("*"), 2).alias("dirty_share"),
+    )
 
 
 def repeated_orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -596,6 +622,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         scd2_table,
         late_closures,
         pit_customer,
+        pit_overlaps,
         current_customer,
         asof_fx,
         dim_customer,
