@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratamart.session import new_work_folder
 
@@ -12,13 +14,16 @@ from . import warc
 from .chats import format_chats
 from .common import table
 from .decontaminate import contaminations
+from .interactions import audit_filters
 from .jaccard import near_classes
 from .language import predict_languages
 from .licenses import scan_licenses
 from .mixing import mix
 from .phrases import phrase_fingerprints
+from .pieces import encode_pieces
 from .secret_scan import scan_secrets
 from .suffixes import without_repeats
+from .whitening import whitened_components
 
 
 def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
@@ -65,11 +70,30 @@ def op10_warc_index(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_filter_interaction(spark: SparkSession, folder: str) -> DataFrame:
+    return audit_filters(table(spark, folder, "documents"), table(spark, folder, "labels")).drop("filter")
+
+
+def op12_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    rows = encode_pieces(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitened_components(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id, op2_license_scan, op3_secret_scan, op4_repeated_windows, op5_chat_format, op6_ngram_jaccard,
-        op7_source_mix, op8_phrase_fingerprint, op9_decontaminate, op10_warc_index,
+        op7_source_mix, op8_phrase_fingerprint, op9_decontaminate, op10_warc_index, op11_filter_interaction,
+        op12_sentencepiece, op13_whitening,
     )
 }
 
@@ -135,4 +159,22 @@ ORACLE_SQL: dict[str, str] = {
             CASE WHEN n >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END record_type,
             CASE WHEN n >= 100 AND first <> page_id THEN first END refers_to
         FROM f""",
+    "op11_filter_interaction": """
+        WITH RECURSIVE d AS (SELECT doc_id, coalesce(lang, '') part, coalesce(text, '') t FROM documents),
+        e AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') w, min(doc_id) OVER (PARTITION BY t) least FROM d),
+        l AS (SELECT doc_id, max((quality IS NOT DISTINCT FROM 1)::INT) good, max((toxic IS NOT DISTINCT FROM 1)::INT) toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+        m AS (SELECT part, coalesce(good, 0) good, coalesce(toxic, 0) toxic, [len(w) < 100, 100 * len(list_distinct(w)) < 80 * len(w),
+            100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t), regexp_matches(t, '[#$%&*|]'), coalesce(doc_id > least, false)] fails
+            FROM e LEFT JOIN l USING (doc_id)),
+        o AS (SELECT '' f UNION ALL SELECT f || x FROM o, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) x) WHERE NOT contains(f, x)),
+        s AS (SELECT f filter_order, step, substr(f, step, 1) x, substr(f, 1, step - 1) earlier FROM o, (SELECT unnest([1, 2, 3, 4, 5]) step) WHERE length(f) = 5),
+        c AS (SELECT part, good, toxic, fails, count(*) n FROM m GROUP BY ALL),
+        g AS (SELECT part, filter_order, step, n, good, toxic, fails[ascii(x) - 64] fails, len(list_filter(range(1, 6), lambda i: fails[i])) failed,
+            len(list_filter(range(1, 6), lambda i: fails[i] AND contains(earlier, chr((64 + i)::INT)))) > 0 gone FROM c, s)
+        SELECT part, filter_order, step::INT step,
+            coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0)::BIGINT kept, coalesce(sum(n) FILTER (fails AND NOT gone), 0)::BIGINT removed,
+            coalesce(sum(n) FILTER (fails AND gone), 0)::BIGINT redundant, coalesce(sum(n) FILTER (fails AND failed = 1), 0)::BIGINT unique_fails,
+            coalesce(sum(n) FILTER (fails AND NOT gone AND good = 1), 0)::BIGINT good_lost, coalesce(sum(n) FILTER (fails AND NOT gone AND toxic = 1), 0)::BIGINT toxic_lost,
+            coalesce(sum(n * 120 // greatest(failed, 1)) FILTER (fails), 0)::BIGINT shapley
+        FROM g GROUP BY part, filter_order, step""",
 }
