@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
-import re
-from array import array
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -18,10 +15,6 @@ from .common import small_batches
 
 SPACE = "▁"
 SPACE_BYTES = SPACE.encode()
-#: Segments whose pieces a task remembers, twice: those asked for last and those before.
-REMEMBERED = 200_000
-#: Characters up to which a segment is remembered, and merged by looking through all its pairs.
-SHORT_SEGMENT = 60
 
 
 class CharacterMap:
@@ -58,7 +51,7 @@ class CharacterMap:
 
 
 class Normalizer:
-    """Text to normalised bytes, and the source byte where each of them begins."""
+    """Text to normalised bytes, and for each of them where its source character or mapped string begins."""
 
     def __init__(self, spec):
         self.map = CharacterMap(spec.precompiled_charsmap) if spec.precompiled_charsmap else None
@@ -76,9 +69,9 @@ class Normalizer:
 
     def _kept(self, data: bytes) -> tuple[bytes, np.ndarray]:
         """Nothing is replaced but blanks by their mark."""
-        head = self.space if self.prefix else b""
-        width = np.where(np.frombuffer(data, np.uint8) == 32, len(self.space), 1)
-        sources = np.repeat(np.arange(len(data), dtype=np.int32), width)
+        head, codes = self.space if self.prefix else b"", np.frombuffer(data, np.uint8)
+        begins = np.maximum.accumulate(np.where(codes & 0xC0 != 0x80, np.arange(len(data), dtype=np.int32), 0))
+        sources = np.repeat(begins, np.where(codes == 32, len(self.space), 1)).astype(np.int32)
         return head + data.replace(b" ", self.space), np.concatenate((np.zeros(len(head), np.int32), sources, np.array([len(data)], np.int32)))
 
     def _steps(self, data: bytes) -> Iterator[tuple[int, int, bytes]]:
@@ -116,113 +109,37 @@ class Normalizer:
         return bytes(out), np.array([*sources, end if out else 0], np.int32)
 
 
-class Pieces(dict):
-    """A byte-pair model with byte fallback; maps a segment to (ids, normalised lengths), both as packed 32-bit integers.
-
-    Pieces never hold a blank's mark behind another character, so normalised text falls
-    into segments that begin with marks and no merge joins two of them.
-    """
+class Pieces:
+    """A model with byte fallback, split into its normaliser and what makes pieces of normalised text."""
 
     def __init__(self, file: bytes):
-        super().__init__()
         proto = model_files.ModelProto.FromString(file)
         kinds = model_files.ModelProto.SentencePiece
-        if proto.trainer_spec.model_type != model_files.TrainerSpec.BPE or not proto.trainer_spec.byte_fallback:
-            raise ValueError("only byte-pair models with byte fallback are supported")
-        if any(p.type in (kinds.USER_DEFINED, kinds.UNUSED) for p in proto.pieces):
-            raise ValueError("models with user-defined or unused pieces are not supported")
-        normal = [(k, p.piece, p.score) for k, p in enumerate(proto.pieces) if p.type == kinds.NORMAL]
-        self.known = {piece: (k, len(piece.encode())) for k, piece, _ in normal}
-        #: The smallest comes first.
-        self.ranks = {piece: -score for _, piece, score in normal}
-        self.byte_ids = {int(p.piece[3:-1], 16): k for k, p in enumerate(proto.pieces) if p.type == kinds.BYTE}
-        # No merge has other characters than those of longer pieces, nor a mark behind another character.
-        joined = {c for piece in self.known if len(piece) > 1 for c in piece} - {SPACE}
-        whole = proto.trainer_spec.treat_whitespace_as_suffix or any(SPACE in piece.lstrip(SPACE) for piece in self.known)
-        inner = "".join(sorted(map(re.escape, joined)))
-        parts = re.compile(f"{SPACE}*[{inner}]+|{SPACE}+|[^{SPACE}{inner}]+") if joined else re.compile(f"{SPACE}+|[^{SPACE}]+")
-        self.segments = (lambda text: [text] if text else []) if whole else parts.findall
+        if not proto.trainer_spec.byte_fallback or proto.trainer_spec.treat_whitespace_as_suffix:
+            raise ValueError("only models with byte fallback and marks before words are supported")
+        if any(p.type == kinds.USER_DEFINED for p in proto.pieces):
+            raise ValueError("models with user-defined pieces are not supported")
         self.normalizer = Normalizer(proto.normalizer_spec)
-        self.elder: dict[str, tuple[bytes, bytes]] = {}
-
-    def merged(self, segment: str) -> list[str]:
-        """Characters joined to pieces: the best score first, of equal ones the leftmost."""
-        if len(segment) > SHORT_SEGMENT:
-            return self._merged_long(segment)
-        parts, ranks, none = list(segment), self.ranks, float("inf")
-        pairs = [ranks.get(a + b, none) for a, b in zip(parts, parts[1:])]
-        while pairs:
-            best = min(pairs)
-            if best == none:
-                break
-            k = pairs.index(best)
-            parts[k : k + 2] = [parts[k] + parts[k + 1]]
-            del pairs[k]
-            if k:
-                pairs[k - 1] = ranks.get(parts[k - 1] + parts[k], none)
-            if k < len(pairs):
-                pairs[k] = ranks.get(parts[k] + parts[k + 1], none)
-        return parts
-
-    def _merged_long(self, segment: str) -> list[str]:
-        """The same by a queue, in little more than linear time."""
-        parts: list[str] = list(segment)
-        n, ranks = len(parts), self.ranks
-        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-
-        def offered(left: int, right: int) -> list[tuple]:
-            rank = ranks.get(parts[left] + parts[right]) if 0 <= left and right < n else None
-            return [] if rank is None else [(rank, left, right, len(parts[left]) + len(parts[right]))]
-
-        queue = [x for k in range(n - 1) for x in offered(k, k + 1)]
-        heapq.heapify(queue)
-        while queue:
-            _, left, right, size = heapq.heappop(queue)
-            if not parts[left] or not parts[right] or len(parts[left]) + len(parts[right]) != size:
-                continue
-            parts[left] += parts[right]
-            parts[right] = ""
-            follower = after[left] = after[right]
-            if follower < n:
-                before[follower] = left
-            for x in offered(before[left], left) + offered(left, follower):
-                heapq.heappush(queue, x)
-        return [p for p in parts if p]
-
-    def __missing__(self, segment: str) -> tuple[bytes, bytes]:
-        if segment in self.elder:
-            return self._remember(segment, self.elder[segment])
-        ids, lengths, known = array("i"), array("i"), self.known
-        for part in self.merged(segment):
-            if part in known:
-                number, size = known[part]
-                ids.append(number)
-                lengths.append(size)
-            else:
-                # All bytes of an unknown character begin where it does, the last one spans it.
-                data = part.encode("utf-8", "surrogatepass")
-                ids.extend(self.byte_ids[b] for b in data)
-                lengths.extend([0] * (len(data) - 1) + [len(data)])
-        found = (ids.tobytes(), lengths.tobytes())
-        return self._remember(segment, found)
-
-    def _remember(self, segment: str, found: tuple[bytes, bytes]) -> tuple[bytes, bytes]:
-        """Two generations: segments that were not asked for while one filled up are forgotten."""
-        if len(segment) <= SHORT_SEGMENT:
-            if len(self) >= REMEMBERED:
-                self.elder = dict(self)
-                self.clear()
-            self[segment] = found
-        return found
-
-    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of the pieces of ``text``, and where each begins and ends in its bytes."""
-        data, sources = self.normalizer.normalise(text)
-        found = [self[s] for s in self.segments(data.decode("utf-8", "surrogatepass"))]
-        ids = np.frombuffer(b"".join([f[0] for f in found]), np.int32)
-        ends = np.cumsum(np.frombuffer(b"".join([f[1] for f in found]), np.int32), dtype=np.int64)
-        starts = np.concatenate((np.zeros(1, np.int64), ends))[:-1]
-        return ids, sources[starts], sources[ends]
+        #: Normalised bytes of each piece; a byte piece is one byte of a character.
+        self.sizes = np.array([1 if p.type == kinds.BYTE else len(p.piece.encode()) for p in proto.pieces], np.int64)
+        self.decode = sentencepiece.SentencePieceProcessor(model_proto=file).decode
+        # The text comes normalised, so the library only makes pieces of it.
+        proto.normalizer_spec.CopyFrom(model_files.NormalizerSpec(add_dummy_prefix=False, remove_extra_whitespaces=False, escape_whitespaces=False))
+        self.split = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString()).encode
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Per text the ids of its pieces, and where each begins and ends in its bytes.
+
+        A piece covers the sources of its normalised bytes. All bytes of an unknown
+        character begin where it does, and the last one spans it.
+        """
+        normalised = [self.normalizer.normalise(text) for text in texts]
+        out = []
+        for found, (_, sources) in zip(self.split([data.decode() for data, _ in normalised], num_threads=1), normalised, strict=True):
+            ids = np.array(found, np.int32)
+            ends = np.cumsum(self.sizes[ids])
+            out.append((ids, sources[ends - self.sizes[ids]], sources[ends]))
+        return out
 
 
 def listed(parts: list[np.ndarray]) -> pa.ListArray:
@@ -235,22 +152,23 @@ def encode_pieces(docs: DataFrame, model_path: str) -> DataFrame:
 
     Returns doc_id, ids, starts, ends, decoded: per row of ``docs`` the ids that the
     model's own library gives (without begin and end ids), for each the bytes of the
-    text that it stands for, and the text that the library's decode makes of the ids. A
-    null text counts as empty and has no ids. Ids of documents may be null or repeat;
-    other columns are not read. Whole texts are encoded; what tasks remember of segments
-    is bounded. ``model_path`` is a file of the driver, whose bytes (some 500 KB)
-    travel with the tasks. The pass is narrow.
+    text that it stands for, and the text that the library's decode makes of the ids.
+    Normalisation walks the model's compiled character map by longest prefixes and keeps
+    the source of every byte; the library makes pieces of the normalised text, and each
+    piece is projected on its sources. A null text counts as empty and has no ids. Ids of
+    documents may be null or repeat; other columns are not read. Whole texts are encoded.
+    ``model_path`` is a file of the driver, whose bytes (some 500 KB) travel with the
+    tasks. The pass is narrow.
     """
     with open(model_path, "rb") as file:
         model = file.read()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(model)
-        library = sentencepiece.SentencePieceProcessor(model_proto=model)
         for batch in batches:
-            found = [pieces.encode(text or "") for text in batch.column(1).to_pylist()]
+            found = pieces.encode([text or "" for text in batch.column(1).to_pylist()])
             ids, starts, ends = ([f[k] for f in found] for k in range(3))
-            decoded = library.decode([i.tolist() for i in ids], num_threads=1) if ids else []
+            decoded = pieces.decode([i.tolist() for i in ids], num_threads=1) if ids else []
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), listed(ids), listed(starts), listed(ends), pa.array(decoded, pa.string())],
                 ["doc_id", "ids", "starts", "ends", "decoded"],

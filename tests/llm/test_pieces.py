@@ -13,6 +13,8 @@ from .conftest import EDGES
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 LETTERS = [*" \n\t▁aeéü漢字<s>AB09.,'", "\U0001f600", "\x00", "​", "  ", "the", "ing", "0x0A"]
 
+MAPPED = "  ﬁＡ①x ½㌔é́e　\xa0\tカ゛ｶﾞß▁​\n"
+
 
 @pytest.fixture(scope="module")
 def library():
@@ -24,33 +26,35 @@ def draws(letters, n, most, seed):
     return ["".join(pick.choices(letters, k=pick.randrange(most))) for _ in range(n)]
 
 
-def test_ids_and_spans_equal_the_library(library):
+@pytest.fixture(scope="module")
+def pieces():
     with open(PATH, "rb") as file:
-        pieces = Pieces(file.read())
-    for text in draws(LETTERS, 1500, 30, 1) + ["", " ", "▁▁▁", "a" * 3000, " " * 700, "漢" * 200, "ab" * 40 + "\n" * 90]:
-        ids, starts, ends = pieces.encode(text)
+        return Pieces(file.read())
+
+
+def test_ids_and_spans_equal_the_library(library, pieces):
+    texts = draws(LETTERS, 1500, 30, 1) + ["", " ", "▁▁▁", "a" * 3000, " " * 700, "漢" * 200, "ab" * 40 + "\n" * 90]
+    for text, (ids, starts, ends) in zip(texts, pieces.encode(texts), strict=True):
         expected = library.encode(text, return_type="proto").pieces
         assert ids.tolist() == [p.id for p in expected], text
         assert [*zip(starts.tolist(), ends.tolist(), strict=True)] == [(p.begin, p.end) for p in expected], text
 
 
-def test_short_and_long_segments_merge_alike():
-    with open(PATH, "rb") as file:
-        pieces = Pieces(file.read())
-    for segment in draws("▁aeinorst", 300, 60, 2):
-        assert pieces.merged(segment) == pieces._merged_long(segment)
-
-
-def test_forgetting_changes_nothing(monkeypatch):
-    from stratamart.llm import pieces as module
-
-    with open(PATH, "rb") as file:
-        data = file.read()
-    whole, small = Pieces(data), Pieces(data)
-    monkeypatch.setattr(module, "REMEMBERED", 3)
-    for text in draws(LETTERS, 200, 30, 4):
-        assert [a.tolist() for a in whole.encode(text)] == [a.tolist() for a in small.encode(text)]
-    assert len(small) <= 3
+@pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc_cf"])
+def test_spans_under_a_character_map(library, rule):
+    """The vocabulary behind another normaliser: the library's own spans are the expected ones."""
+    proto = model_files.ModelProto.FromString(library.serialized_model_proto())
+    spec = model_files.ModelProto.FromString(sentencepiece.SentencePieceNormalizer(rule_name=rule).serialized_model_proto()).normalizer_spec
+    for squeeze in (False, True):
+        proto.normalizer_spec.CopyFrom(spec)
+        proto.normalizer_spec.add_dummy_prefix = proto.normalizer_spec.escape_whitespaces = True
+        proto.normalizer_spec.remove_extra_whitespaces = squeeze
+        file = proto.SerializeToString()
+        theirs = sentencepiece.SentencePieceProcessor(model_proto=file)
+        texts = draws([*MAPPED, "the ", "ing"], 500, 14, 9)
+        for text, (ids, starts, ends) in zip(texts, Pieces(file).encode(texts), strict=True):
+            expected = theirs.encode(text, return_type="proto").pieces
+            assert [*zip(ids.tolist(), starts.tolist(), ends.tolist(), strict=True)] == [(p.id, p.begin, p.end) for p in expected], text
 
 
 @pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc_cf", "identity"])
@@ -59,7 +63,7 @@ def test_normaliser_equals_the_library(rule, flags):
     set_flags = dict(zip(("add_dummy_prefix", "escape_whitespaces", "remove_extra_whitespaces"), (bool(flags & 1 << k) for k in range(3))))
     theirs = sentencepiece.SentencePieceNormalizer(rule_name=rule, **set_flags)
     mine = Normalizer(model_files.ModelProto.FromString(theirs.serialized_model_proto()).normalizer_spec)
-    for text in draws("  ﬁＡ①x ½㌔é́e　\xa0\tカ゛ｶﾞß▁​\n", 400, 14, 3):
+    for text in draws(MAPPED, 400, 14, 3):
         expected, offsets = theirs.normalize(text, with_offsets=True)
         got, sources = mine.normalise(text)
         assert got.decode() == expected
@@ -87,6 +91,6 @@ def test_rows_and_round_trip(spark, documents, library):
 def test_other_models_are_refused():
     with open(PATH, "rb") as file:
         proto = model_files.ModelProto.FromString(file.read())
-    proto.trainer_spec.model_type = model_files.TrainerSpec.UNIGRAM
-    with pytest.raises(ValueError, match="byte-pair"):
+    proto.trainer_spec.byte_fallback = False
+    with pytest.raises(ValueError, match="byte fallback"):
         Pieces(proto.SerializeToString())
