@@ -8,7 +8,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def record_hash(columns: Iterable[str]) -> Column:
-    """SHA-256 hex of the columns joined by ``||``; NULL counts as empty text."""
-    texts = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in columns]
-    return F.sha2(F.concat_ws("||", *texts), 256)
+def record_hash(columns: Iterable[str], unambiguous: bool = False) -> Column:
+    """SHA-256 hex of the columns joined by ``||``; NULL counts as empty text.
+
+    A value that holds ``||`` can then equal two values. With ``unambiguous`` every value
+    is preceded by its length in characters and NULL has a mark of its own, so different
+    rows have different texts.
+    """
+    texts = [F.col(name).cast("string") for name in columns]
+    if unambiguous:
+        return F.sha2(F.concat(*[F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("-")) for t in texts]), 256)
+    return F.sha2(F.concat_ws("||", *[F.coalesce(t, F.lit("")) for t in texts]), 256)

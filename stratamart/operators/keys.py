@@ -7,10 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratamart.session import checkpointed
-
-# monotonically_increasing_id keeps the partition above bit 33 and the row below it.
-_ROW_BITS = 33
+from stratamart.session import stored
 
 
 def dense_surrogate_key(
@@ -18,20 +15,22 @@ def dense_surrogate_key(
 ) -> DataFrame:
     """Number rows 1..N in ``order``, which must be a total order.
 
-    The rows are range-sorted once and checkpointed together with each row's place in
-    its partition, so the places cannot move afterwards. Adding the rows of all earlier
-    partitions (one number per partition, broadcast) makes the key dense. No task sees
-    more than its own range, and a key with many versions may span several.
+    The rows are range-sorted once and stored, a file per range. A row's number is its
+    place in its file plus the rows of all earlier files, which are one small number per
+    file. Files do not change, so neither do numbers, and readers prune columns. No task
+    sees more than its own range, and a key with many versions may span several.
     """
-    ordered = checkpointed(df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()))
-    ordered = ordered.withColumn("_part", F.shiftright("_place", _ROW_BITS))
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    rows = stored(df.orderBy(*order), "ordered").select(
+        "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_place")
+    )
+    # Writers number their files; a task that fills several numbers these as well.
+    number = [F.regexp_extract("_file", pattern, 1).try_cast("long") for pattern in (r"^part-(\d+)", r"-c(\d+)[.]")]
+    earlier = Window.orderBy(*number, "_file").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        ordered.groupBy("_part")
+        rows.groupBy("_file")
         .agg(F.count("*").alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+        .select("_file", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
     )
-    place = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return ordered.join(F.broadcast(starts), "_part").select(
-        (F.col("_start") + place + 1).cast(key_type).alias(name), *df.columns
+    return rows.join(F.broadcast(starts), "_file").select(
+        (F.col("_start") + F.col("_place") + 1).cast(key_type).alias(name), *df.columns
     )

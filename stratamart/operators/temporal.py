@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,6 +55,17 @@ def disjoint_spans(spans: DataFrame, take: Sequence[str]) -> DataFrame:
     return marked.filter(~F.col("_meets")).drop("_meets").unionByName(won)
 
 
+def _period(day: Column, days: int) -> Column:
+    return F.floor(F.unix_date(day) / days).cast("int")
+
+
+def in_periods(spans: DataFrame, days: int, last: Column) -> DataFrame:
+    """Spans ``[_from, _to)`` repeated as ``_period`` for each period of ``days`` days that they touch, up to ``last``."""
+    end = F.coalesce(_period(F.date_sub("_to", 1), days), last)
+    periods = F.sequence(F.least(_period(F.col("_from"), days), last), F.least(end, last))
+    return spans.filter("_from is not null").withColumn("_period", F.explode(periods))
+
+
 def point_in_time_join(
     facts: DataFrame,
     versions: DataFrame,
@@ -61,6 +74,8 @@ def point_in_time_join(
     take: Sequence[str],
     valid_from: str = VALID_FROM,
     valid_to: str = VALID_TO,
+    may_overlap: bool | None = None,
+    period_days: int | None = None,
 ) -> DataFrame:
     """Left join each fact to the version of its key that held on ``day``; every fact stays, once.
 
@@ -70,6 +85,12 @@ def point_in_time_join(
     where adaptive execution splits the facts of a hot key. Late changes can leave
     overlapping spans, which are made disjoint first: the latest start wins. Facts are
     never compared with each other, so repeated ones stay.
+
+    ``may_overlap`` is the mark that history tables keep (``TableStore.may_overlap``).
+    With it no job runs before the join; without it the versions are checked once. Give
+    ``period_days`` where keys have many versions: both sides then meet by key and period
+    of so many days, so a fact is compared with the versions of its period alone and the
+    rows of one key spread over its periods.
     """
     spans = versions.select(
         F.col(key).alias("_key"),
@@ -77,10 +98,18 @@ def point_in_time_join(
         F.to_date(valid_to).alias("_to"),
         *take,
     ).filter("_to is null or _from < _to")
-    if spans_overlap(spans, ["_key"]):
+    if spans_overlap(spans, ["_key"]) if may_overlap is None else may_overlap:
         spans = disjoint_spans(spans, take)
-    joined = facts.join(spans, (F.col(key) == F.col("_key")) & _covers(F.col(day)), "left")
-    return joined.drop("_key", "_from", "_to")
+    among = (F.col(key) == F.col("_key")) & _covers(F.col(day))
+    if period_days is None:
+        return facts.join(spans, among, "left").drop("_key", "_from", "_to")
+    # After the last start and end only open spans hold, and they are in the last period too.
+    last = versions.agg(F.max(F.greatest(F.to_date(valid_from), F.to_date(valid_to)))).first()[0]
+    last = F.lit((last or _EPOCH).toordinal() - _EPOCH.toordinal()).cast("int")
+    last = F.floor(last / period_days).cast("int")
+    spread = in_periods(spans, period_days, last)
+    asked = F.least(_period(F.col(day), period_days), last)
+    return facts.join(spread, among & (asked == F.col("_period")), "left").drop("_key", "_from", "_to", "_period")
 
 
 def current_version_join(facts: DataFrame, versions: DataFrame, key: str, take: Sequence[str]) -> DataFrame:
@@ -96,15 +125,18 @@ def as_of_join(
     series_day: str,
     take: Sequence[str],
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    period_days: int = 64,
 ) -> DataFrame:
     """Left join each fact to the last row of its series on or before ``day``.
 
     ``on`` maps fact columns to series columns; days are dates, and ``series`` has one
     row per key and day. Both ways below join by equality, so a fact is compared with
-    one row however long its series is. If the days from each first row to the last row
+    few rows however long its series is. If the days from each first row to the last row
     of all series fit the bound, every such day gets its row and is broadcast; later
-    facts use the last day. Otherwise the distinct (key, day) pairs of the facts, at most
-    keys times calendar days, are looked up in the series and joined back.
+    facts use the last day. Otherwise both sides meet by key and period of
+    ``period_days`` days: each row of the series holds until the next one, whichever
+    period that lies in, and is laid out in all periods between. Facts are read once, and
+    neither they nor a series come together by key alone.
     """
     keys = [f"_key{i}" for i in range(len(on))]
     rows = series.select(
@@ -124,9 +156,10 @@ def as_of_join(
         end = F.lit(last).cast("date")
         asked = F.when(F.col(day) > end, end).otherwise(F.col(day))
         return facts.join(F.broadcast(answers), [*same_key, asked == F.col("_day")], "left").drop(*keys, "_day")
-    pairs = facts.select(*[F.col(fact).alias(k) for fact, k in zip(on, keys)], F.col(day).alias("_day")).distinct()
-    answers = _look_up(rows, pairs, keys, take)
-    return facts.join(answers, [*same_key, F.col(day) == F.col("_day")], "left").drop(*keys, "_day")
+    spread = in_periods(_until_next(rows, keys, period_days), period_days, _period(F.lit(last).cast("date"), period_days))
+    met = reduce(and_, same_key) & _covers(F.col(day))
+    asked = F.least(_period(F.col(day), period_days), _period(F.lit(last).cast("date"), period_days))
+    return facts.join(spread, met & (asked == F.col("_period")), "left").drop(*keys, "_from", "_to", "_period")
 
 
 def _every_day(rows: DataFrame, keys: Sequence[str], last) -> DataFrame:
@@ -137,12 +170,16 @@ def _every_day(rows: DataFrame, keys: Sequence[str], last) -> DataFrame:
     return spans.withColumn("_day", F.explode(F.sequence("_from", "_until"))).drop("_from", "_until")
 
 
-def _look_up(rows: DataFrame, pairs: DataFrame, keys: Sequence[str], take: Sequence[str]) -> DataFrame:
-    """The series row that holds for each (key, day) pair, found in one ordered pass per key."""
-    known = rows.select(*keys, F.col("_from").alias("_day"), F.struct(*take).alias("_held"), F.lit(False).alias("_asked"))
-    asked = pairs.select(
-        *keys, "_day", F.lit(None).cast(known.schema["_held"].dataType).alias("_held"), F.lit(True).alias("_asked")
-    )
-    upto = Window.partitionBy(*keys).orderBy("_day", "_asked").rowsBetween(Window.unboundedPreceding, 0)
-    held = F.last("_held", ignorenulls=True).over(upto)
-    return known.unionByName(asked).withColumn("_held", held).filter("_asked").select(*keys, "_day", "_held.*")
+def _until_next(rows: DataFrame, keys: Sequence[str], days: int) -> DataFrame:
+    """Series rows with ``_to``, the day of the next row of their key.
+
+    The next row is looked for within a period; the last row of a period takes the first
+    one of its key's next period with rows. Only these first rows, one per key and
+    period, are ordered by key.
+    """
+    placed = rows.filter("_from is not null").withColumn("_period", _period(F.col("_from"), days))
+    within = Window.partitionBy(*keys, "_period").orderBy("_from")
+    borders = placed.groupBy(*keys, "_period").agg(F.min("_from").alias("_first"))
+    borders = borders.select(*keys, "_period", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_period")).alias("_border"))
+    ended = placed.withColumn("_to", F.lead("_from").over(within)).join(borders, [*keys, "_period"])
+    return ended.withColumn("_to", F.coalesce("_to", "_border")).drop("_border", "_period")

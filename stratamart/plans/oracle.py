@@ -215,6 +215,17 @@ WHERE a.user_id IS NULL OR a.event_type <> b.event_type"""
 
 _OPEN_VERSION = f"""{_VERSION.format('e')}, CAST(NULL AS TIMESTAMP) AS _SCD_EffectiveEndDate, true AS _SCD_IsCurrent"""
 
+_MANY_BATCHES = """WITH latest AS (
+  SELECT user_id, event_type, ts, CASE WHEN ts >= TIMESTAMP '2024-01-24' THEN 3 WHEN ts >= TIMESTAMP '2024-01-16' THEN 2
+    WHEN ts >= TIMESTAMP '2024-01-08' THEN 1 ELSE 0 END AS batch
+  FROM events QUALIFY row_number() OVER (PARTITION BY user_id, batch ORDER BY ts DESC, event_type) = 1),
+changes AS (
+  SELECT * FROM latest
+  QUALIFY coalesce(event_type, '') IS DISTINCT FROM lag(coalesce(event_type, '')) OVER (PARTITION BY user_id ORDER BY batch))
+SELECT user_id, event_type, sha256(coalesce(event_type, '')) AS _SCD_RecordHash, ts AS _SCD_EffectiveStartDate,
+  lead(ts) OVER w AS _SCD_EffectiveEndDate, lead(batch) OVER w IS NULL AS _SCD_IsCurrent
+FROM changes WINDOW w AS (PARTITION BY user_id ORDER BY batch)"""
+
 _ORDERS_BY_YEAR = """SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year, count(*) AS order_count,
   CAST(sum(o_custkey) AS BIGINT) AS customer_sum, max(o_orderpriority) AS last_priority
 FROM orders WHERE {} GROUP BY 1"""
@@ -239,6 +250,9 @@ SELECT ProductID, SubCategory IS NULL OR Brand IS NULL AS _IsRejected FROM cast_
     "record_hashes": f"""WITH {_FLAGGED_CUSTOMERS}
 SELECT CustomerID, sha256(concat_ws('||', coalesce(FirstName, ''), coalesce(LastName, ''), coalesce(Email, ''),
   coalesce(Phone, ''), coalesce(City, ''), coalesce(State, ''))) AS _SCD_RecordHash FROM cast_customers""",
+    "record_hashes_exact": f"""WITH {_FLAGGED_CUSTOMERS}
+SELECT CustomerID, sha256(concat({", ".join(f"coalesce(length({c}) || ':' || {c}, '-')" for c in ("FirstName", "LastName", "Email", "Phone", "City", "State"))})) AS _SCD_RecordHash
+FROM cast_customers""",
     "flatten_events": """SELECT event_id AS event_event_id, user_id AS event_actor_user_id, event_type AS event_actor_event_type,
   CAST(json_extract(props, '$.k') AS INTEGER) AS props_k FROM events""",
     "payload_keys": """SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS payload_key, count(*) AS event_count
@@ -257,6 +271,8 @@ FROM wide_rates UNPIVOT INCLUDE NULLS (ExchangeRate FOR TargetCurrency IN (EUR,
 SELECT e.user_id, e.event_type, {_OPEN_VERSION} FROM latest e""",
     "scd2_users": _USERS,
     "scd2_table": _USERS,
+    "scd2_many_batches": _MANY_BATCHES,
+    "stream_history_changes": _MANY_BATCHES,
     "late_closures": f"""WITH {_BATCHES}
 SELECT count(*) AS late_closures FROM first_batch a JOIN second_batch b ON a.user_id = b.user_id
 WHERE a.event_type <> b.event_type""",
@@ -377,3 +393,6 @@ JOIN flagged_customers c ON o.CustomerID = c.CustomerID AND NOT c._IsRejected
 LEFT JOIN moved m ON m.CustomerID = c.CustomerID
 GROUP BY 1, 2""",
 }
+
+# The same results by another way of joining.
+ORACLE_SQL |= {"pit_periods": ORACLE_SQL["pit_customer"], "asof_fx_periods": ORACLE_SQL["asof_fx"]}

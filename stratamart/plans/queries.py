@@ -51,7 +51,7 @@ from stratamart.plans.star import (
     sales_by_category,
     store_currencies,
 )
-from stratamart.session import checkpointed, new_work_folder
+from stratamart.session import new_work_folder, stored
 from stratamart.sources.exports import preview, save_to_catalog, write_csv, write_json_documents
 from stratamart.sources.files import (
     above_mark,
@@ -147,6 +147,12 @@ def record_hashes(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("CustomerID", record_hash(CUSTOMERS.history.tracked).alias(RECORD_HASH))
 
 
+def record_hashes_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """Hashes that tell apart all rows: values carry their lengths."""
+    rows = cast_columns(samples.raw_customers(spark, folder), CUSTOMERS)
+    return rows.select("CustomerID", record_hash(CUSTOMERS.history.tracked, unambiguous=True).alias(RECORD_HASH))
+
+
 # --- nested data -------------------------------------------------------------
 
 
@@ -215,6 +221,26 @@ def scd2_table(spark: SparkSession, folder: str) -> DataFrame:
     return _versions_for_report(store.read(SILVER, "users"))
 
 
+_BATCH_CUTS = ("2024-01-08", "2024-01-16", "2024-01-24")
+
+
+def _event_batches(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """Events as four batches of history input, in the order of their time."""
+    rows = samples.table(spark, folder, "events").select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    cuts = [F.lit(c).cast("timestamp") for c in _BATCH_CUTS]
+    number = sum((F.coalesce(F.col("ts") >= cut, F.lit(False)).cast("int") for cut in cuts), F.lit(0))
+    return [rows.filter(number == k) for k in range(len(cuts) + 1)]
+
+
+def scd2_many_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """A history table in buckets over four batches; the second one comes again after the third."""
+    store = TableStore(spark, new_work_folder(spark, "buckets"))
+    batches = _event_batches(spark, folder)
+    for number in (0, 1, 2, 1, 3):
+        store.upsert_history(batches[number], SILVER, "users", USER_HISTORY, f"run-{number}", buckets=8, batch_number=("events", number))
+    return _versions_for_report(store.read(SILVER, "users"))
+
+
 def late_closures(spark: SparkSession, folder: str) -> DataFrame:
     """Batches folded newest first, so that the older one arrives late."""
     first = fold_batch(None, samples.user_events(spark, folder, 2), USER_HISTORY)
@@ -235,7 +261,14 @@ def _dated_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 def pit_customer(spark: SparkSession, folder: str) -> DataFrame:
     history = samples.customer_history(spark, folder)
-    return point_in_time_join(_dated_orders(spark, folder), history, "CustomerID", "OrderDate", ["City"])
+    return point_in_time_join(_dated_orders(spark, folder), history, "CustomerID", "OrderDate", ["City"], may_overlap=False)
+
+
+def pit_periods(spark: SparkSession, folder: str) -> DataFrame:
+    """The same by customer and year, as for customers with very many versions."""
+    history = samples.customer_history(spark, folder)
+    orders = _dated_orders(spark, folder)
+    return point_in_time_join(orders, history, "CustomerID", "OrderDate", ["City"], may_overlap=False, period_days=365)
 
 
 def pit_overlaps(spark: SparkSession, folder: str) -> DataFrame:
@@ -248,7 +281,7 @@ def pit_overlaps(spark: SparkSession, folder: str) -> DataFrame:
         .select("CustomerID", F.lit("AWAY").alias("City"), F.col("s.a").alias(VALID_FROM), F.col("s.b").alias(VALID_TO))
     )
     orders = change_batches.repeat_rows(_dated_orders(spark, folder), F.col("OrderID") % 5 == 0)
-    return point_in_time_join(orders, history.unionByName(late), "CustomerID", "OrderDate", ["City"])
+    return point_in_time_join(orders, history.unionByName(late), "CustomerID", "OrderDate", ["City"], may_overlap=True)
 
 
 def current_customer(spark: SparkSession, folder: str) -> DataFrame:
@@ -256,15 +289,24 @@ def current_customer(spark: SparkSession, folder: str) -> DataFrame:
     return current_version_join(_dated_orders(spark, folder), history, "CustomerID", ["City"])
 
 
-def asof_fx(spark: SparkSession, folder: str) -> DataFrame:
+def _converted(spark: SparkSession, folder: str, **how) -> DataFrame:
     store = F.concat(F.lit("ST"), F.lpad((F.col("CustomerID") % 10 + 1).cast("string"), 3, "0"))
     orders = _dated_orders(spark, folder).withColumn("StoreCode", store)
     orders = orders.join(F.broadcast(store_currencies(spark)), "StoreCode", "left")
     rates = samples.exchange_rates(spark, folder).select("TargetCurrency", "RateDate", "ExchangeRate")
-    joined = as_of_join(orders, rates, {"LocalCurrency": "TargetCurrency"}, "OrderDate", "RateDate", ["ExchangeRate"])
+    joined = as_of_join(orders, rates, {"LocalCurrency": "TargetCurrency"}, "OrderDate", "RateDate", ["ExchangeRate"], **how)
     return joined.select("OrderID", "LocalCurrency", "OrderDate", F.coalesce("ExchangeRate", F.lit(1.0)).alias("ExchangeRate"))
 
 
+def asof_fx(spark: SparkSession, folder: str) -> DataFrame:
+    return _converted(spark, folder)
+
+
+def asof_fx_periods(spark: SparkSession, folder: str) -> DataFrame:
+    """The same by currency and period, as for series whose days are too many to broadcast."""
+    return _converted(spark, folder, max_broadcast_rows=0)
+
+
 # --- star schema -------------------------------------------------------------
 
 
@@ -286,10 +328,11 @@ def _sales(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     # The dimension holds the accepted products, so it also serves the reference check.
     products = dim_product(spark, folder)
     fact = build_fact_sales(
-        checkpointed(accepted(flagged_orders(spark, folder, products))),
+        stored(accepted(flagged_orders(spark, folder, products)), "orders"),
         build_dim_customer(samples.customer_history(spark, folder)),
         products,
         samples.exchange_rates(spark, folder),
+        may_overlap=False,
     )
     return fact, products
 
@@ -468,6 +511,19 @@ def stream_history(spark: SparkSession, folder: str) -> DataFrame:
     return _versions_for_report(store.read(SILVER, "users"))
 
 
+def stream_history_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Four files of events, a batch of the stream each; a second run of the stream finds none left."""
+    work = new_work_folder(spark, "changes")
+    store = TableStore(spark, work)
+    batches = _event_batches(spark, folder)
+    for rows in batches:
+        rows.coalesce(1).write.mode("append").parquet(f"{work}/raw")
+    source = spark.readStream.schema(batches[0].schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/raw")
+    for run in ("run-1", "run-2"):
+        refine_history_stream(store, source, "users", USER_HISTORY, run, f"{work}/progress")
+    return _versions_for_report(store.read(SILVER, "users"))
+
+
 # --- audit reports -----------------------------------------------------------
 
 
@@ -613,6 +669,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         phone_scrub,
         null_flags,
         record_hashes,
+        record_hashes_exact,
         flatten_events,
         payload_keys,
         flatten_lines,
@@ -620,11 +677,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         scd2_first_load,
         scd2_users,
         scd2_table,
+        scd2_many_batches,
         late_closures,
         pit_customer,
+        pit_periods,
         pit_overlaps,
         current_customer,
         asof_fx,
+        asof_fx_periods,
         dim_customer,
         dim_product,
         dim_date,
@@ -645,6 +705,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         catalog_preview,
         stream_landing,
         stream_history,
+        stream_history_changes,
         run_summary,
         latest_rejects,
         reject_profile,

@@ -73,20 +73,22 @@ def build_fact_sales(
     currencies: DataFrame | None = None,
     base: str = BASE_CURRENCY,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    may_overlap: bool | None = None,
 ) -> DataFrame:
     """One row per order: versions that held on its date, last rate by then, measures.
 
     Orders repeated across batches are settled first, so no later step has to. Sides
     below Spark's broadcast threshold are broadcast, and then orders that do not repeat
     are not shuffled at all; ``max_broadcast_rows`` bounds the repeated keys, stores and
-    rates that are. Pass stored orders, as they are scanned more than once.
+    rates that are. Pass stored orders, as they are scanned more than once, and as
+    ``may_overlap`` what the history behind the customers says of its versions.
     """
     currencies = store_currencies(orders.sparkSession) if currencies is None else currencies
     products = dim_product.select("ProductID", "ProductSK", "CostPrice")
     rows = settle_repeats(orders.drop(REJECTED), ["OrderID"], max_broadcast_rows).select(
         "OrderID", "CustomerID", "ProductID", "OrderDate", "Quantity", "UnitPrice", "StoreCode"
     )
-    rows = point_in_time_join(rows, dim_customer, "CustomerID", "OrderDate", ["CustomerSK"])
+    rows = point_in_time_join(rows, dim_customer, "CustomerID", "OrderDate", ["CustomerSK"], may_overlap=may_overlap)
     rows = rows.join(products, "ProductID", "left")
     rows = rows.join(broadcast_within(currencies, max_broadcast_rows), "StoreCode", "left")
     rows = rows.withColumn("LocalCurrency", F.coalesce("LocalCurrency", F.lit(base)))
@@ -177,7 +179,8 @@ def build_star(store: TableStore, run_id: str) -> None:
         run_id,
         "fact_sales",
         lambda: build_fact_sales(
-            silver("orders"), gold("dim_customer"), gold("dim_product"), silver("exchange_rates")
+            silver("orders"), gold("dim_customer"), gold("dim_product"), silver("exchange_rates"),
+            may_overlap=store.may_overlap(SILVER, "customers"),
         ),
     )
     _publish(

@@ -3,31 +3,39 @@
 A table folder holds parquet snapshots ``_snapshot=<n>`` and one small ``_live.json`` that
 names the live snapshot and the table's columns. Appends add files to the live
 snapshot; overwrites write the next one and then switch, so a job may read the table
-it replaces and a failed write leaves the old one live. History tables write every
-version, split by ``_SCD_IsCurrent``: closed rows of all snapshots and current rows of
-the last one form the table, so closed rows are written once. One writer at a time is
-assumed. Columns come from ``_live.json``; reading does not open file footers.
+it replaces and a failed write leaves the old one live. One writer at a time is assumed.
+Columns come from ``_live.json``; reading does not open file footers.
+
+History tables keep every version, split by ``_SCD_IsCurrent`` and by buckets of the
+key's hash. ``_live.json`` names for each bucket the snapshot with its current rows, so
+a batch rewrites only the buckets in which something changes; closed rows are written
+once and belong to the table from their snapshot on. It also holds the last batch number
+of each stream that feeds the table, and whether a late change ever came: all of this
+switches together.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field, fields, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratamart.names import IS_CURRENT
 from stratamart.operators.scd2 import close_changed, find_changes, latest_per_key, open_versions
 from stratamart.operators.projection import add_processing_audit
-from stratamart.session import checkpointed
+from stratamart.session import stored
 from stratamart.sources.paths import read_small_text, replace_small_text
 from stratamart.spec import History
 
 
-_SNAPSHOT = "_snapshot"
+_SNAPSHOT, _BUCKET = "_snapshot", "_bucket"
+
+#: Keys of a history table that one bucket is meant for, and most buckets.
+KEYS_PER_BUCKET, MAX_BUCKETS = 500_000, 4096
 
 
 class SchemaConflict(ValueError):
@@ -59,25 +67,27 @@ def widened(existing: T.StructType, incoming: T.StructType) -> T.StructType:
 class _Live:
     version: int
     schema: T.StructType
-    history: bool = False
-    partition_by: tuple[str, ...] = field(default=())
+    partition_by: tuple[str, ...] = ()
+    #: Of a history table: the snapshot of each bucket's current rows, and their number.
+    buckets: tuple[int, ...] = ()
+    keys: int = 0
+    #: Whether a change ever took effect before the version that it closed.
+    late: bool = False
+    #: The last batch of each stream.
+    batches: dict[str, int] = field(default_factory=dict)
+
+    @property
+    def history(self) -> bool:
+        return bool(self.buckets)
 
     def to_json(self) -> str:
-        return json.dumps(
-            {
-                "version": self.version,
-                "history": self.history,
-                "partition_by": list(self.partition_by),
-                "schema": self.schema.jsonValue(),
-            }
-        )
+        return json.dumps({f.name: getattr(self, f.name) for f in fields(self)} | {"schema": self.schema.jsonValue()})
 
     @staticmethod
     def from_json(text: str) -> _Live:
         raw = json.loads(text)
-        return _Live(
-            raw["version"], T.StructType.fromJson(raw["schema"]), raw["history"], tuple(raw["partition_by"])
-        )
+        lists = {name: tuple(raw.get(name, ())) for name in ("partition_by", "buckets")}
+        return _Live(**raw | lists | {"schema": T.StructType.fromJson(raw["schema"])})
 
 
 class TableStore:
@@ -117,9 +127,23 @@ class TableStore:
         reader = self.spark.read.format(self.file_format)
         if not live.history:
             return reader.schema(live.schema).load(f"{path}/{_SNAPSHOT}={live.version}").select(*live.schema.names)
-        rows = reader.schema(T.StructType([*live.schema.fields, T.StructField(_SNAPSHOT, T.IntegerType())])).load(path)
-        kept = (F.col(_SNAPSHOT) <= live.version) & (~F.col(IS_CURRENT) | (F.col(_SNAPSHOT) == live.version))
-        return rows.filter(kept).select(*live.schema.names)
+        return self._history_rows(layer, name, live).drop(_BUCKET)
+
+    def _history_rows(self, layer: str, name: str, live: _Live) -> DataFrame:
+        """All versions with their bucket; whole folders are passed over by their partition values."""
+        places = [T.StructField(_SNAPSHOT, T.IntegerType()), T.StructField(_BUCKET, T.IntegerType())]
+        reader = self.spark.read.format(self.file_format).schema(T.StructType([*live.schema.fields, *places]))
+        of_bucket = F.get(F.lit(list(live.buckets)), F.col(_BUCKET))
+        kept = (F.col(_SNAPSHOT) <= live.version) & (~F.col(IS_CURRENT) | (F.col(_SNAPSHOT) == of_bucket))
+        return reader.load(self.path(layer, name)).filter(kept).select(*live.schema.names, _BUCKET)
+
+    def may_overlap(self, layer: str, name: str) -> bool:
+        """Whether two versions of one key of a history table may hold at once.
+
+        Each version ends where its successor begins, so only a change that took effect
+        before the version it closed can reach into older ones. Starts no job.
+        """
+        return self._require(layer, name).late
 
     def write(
         self,
@@ -140,7 +164,7 @@ class TableStore:
         if appending and live.history:
             raise ValueError(f"{layer}.{name} keeps history; use upsert_history")
         gained: list[str] = []
-        schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
+        schema = _nullable(df.schema)
         if appending:
             gained = [f.name for f in new_columns(live.schema, schema)]
             if gained and not merge_schema:
@@ -186,40 +210,93 @@ class TableStore:
         self.write(df, layer, name, "overwrite")
 
     def upsert_history(
-        self, batch: DataFrame, layer: str, name: str, history: History, run_id: str
+        self,
+        batch: DataFrame,
+        layer: str,
+        name: str,
+        history: History,
+        run_id: str,
+        buckets: int | None = None,
+        batch_number: tuple[str, int] | None = None,
     ) -> tuple[int, int]:
         """Fold a batch into a type 2 table; returns (new or changed keys, unchanged keys).
 
-        Only current versions can change, so only they are rewritten: with the newly
-        closed rows beside them, in one write that becomes visible by the switch. The
-        same batch again finds nothing to change.
+        Only current versions can change, and only those in the buckets of changed keys
+        are rewritten: with the newly closed rows beside them, in one write that becomes
+        visible by the switch. The same batch again finds nothing to change. With
+        ``batch_number``, the name of a stream and the number of its batch, a batch that
+        is not above the last one of that stream is passed over, whatever came since.
+
+        The first batch fixes the number of ``buckets``, by default from its keys. When
+        a batch touches all of them, and so rewrites all current rows, the number follows
+        the keys that the table has by then.
         """
         live = self._live(layer, name)
+        batches = {} if live is None else live.batches
+        if batch_number is not None:
+            stream, number = batch_number
+            if batches.get(stream, -1) >= number:
+                return 0, 0
+            batches = {**batches, stream: number}
+        latest = stored(latest_per_key(batch, history), "batch")
+
+        def opened(rows: DataFrame) -> DataFrame:
+            return add_processing_audit(open_versions(rows, history), run_id)
+
         if live is None:
-            rows = checkpointed(add_processing_audit(open_versions(latest_per_key(batch, history), history), run_id))
-            self._write_history(rows, layer, name, _Live(1, rows.schema, True, (IS_CURRENT,)))
-            return rows.count(), 0
-        current = self.read(layer, name).filter(IS_CURRENT)
-        change = find_changes(current, batch, history)
+            total = latest.count()
+            rows, wanted = opened(latest), buckets or _buckets_for(total)
+            target = _Live(1, _nullable(rows.schema), buckets=(1,) * wanted, keys=total, batches=batches)
+            self._write_history(rows, layer, name, target, history)
+            return total, 0
+
+        count = len(live.buckets)
+        bucket = _bucket_of(history.key, count)
+        total, asked = latest.agg(F.count("*"), F.collect_set(bucket)).first()
+        current = self._history_rows(layer, name, live).filter(F.col(IS_CURRENT) & F.col(_BUCKET).isin(asked))
+        change = find_changes(current.drop(_BUCKET), latest, total, history, group=bucket)
         if change.changed == 0:
+            if batches != live.batches:
+                self._switch(layer, name, replace(live, batches=batches))
             return 0, change.unchanged
-        opened = add_processing_audit(open_versions(change.versions, history), run_id)
-        schema = widened(live.schema, opened.schema)
-        rows = close_changed(current, change, history).unionByName(opened, allowMissingColumns=True)
-        self._write_history(rows, layer, name, replace(live, version=live.version + 1, schema=schema))
+        touched = change.groups
+        version, keys = live.version + 1, live.keys + change.new
+        places = tuple(version if b in touched else at for b, at in enumerate(live.buckets))
+        if buckets is None and len(touched) == count:
+            places = (version,) * max(count, _buckets_for(keys))
+        fresh = opened(change.versions)
+        rewritten = close_changed(current.filter(F.col(_BUCKET).isin(sorted(touched))).drop(_BUCKET), change, history)
+        rows = rewritten.unionByName(fresh, allowMissingColumns=True)
+        target = replace(
+            live, version=version, schema=widened(live.schema, fresh.schema), buckets=places, keys=keys,
+            late=live.late or change.late > 0, batches=batches,
+        )
+        self._write_history(rows, layer, name, target, history)
         return change.changed, change.unchanged
 
-    def _write_history(self, rows: DataFrame, layer: str, name: str, live: _Live) -> None:
-        """Closed and current rows as the two partitions of the next snapshot.
+    def _write_history(self, rows: DataFrame, layer: str, name: str, live: _Live, history: History) -> None:
+        """Closed and current rows of the next snapshot by bucket, then the switch.
 
-        Closed rows are few and spread over all tasks, so they are gathered into few files.
+        Small buckets share a task and large ones are split among several.
         """
-        closed = rows.filter(~F.col(IS_CURRENT)).hint("rebalance")
-        for current, part in (("false", closed), ("true", rows.filter(IS_CURRENT))):
-            (
-                part.drop(IS_CURRENT)
-                .write.format(self.file_format)
-                .mode("overwrite")
-                .save(f"{self.path(layer, name)}/{_SNAPSHOT}={live.version}/{IS_CURRENT}={current}")
-            )
+        placed = rows.select(*live.schema.names, _bucket_of(history.key, len(live.buckets))).hint("rebalance", F.col(_BUCKET))
+        (
+            placed.write.format(self.file_format)
+            .mode("overwrite")
+            .partitionBy(IS_CURRENT, _BUCKET)
+            .save(f"{self.path(layer, name)}/{_SNAPSHOT}={live.version}")
+        )
         self._switch(layer, name, live)
+
+
+def _buckets_for(keys: int) -> int:
+    return max(1, min(MAX_BUCKETS, -(-keys // KEYS_PER_BUCKET)))
+
+
+def _bucket_of(key: str, count: int) -> Column:
+    """The bucket of a key; a number that was fixed with the table."""
+    return F.pmod(F.xxhash64(key), F.lit(count)).cast("int").alias(_BUCKET)
+
+
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])

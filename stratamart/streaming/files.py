@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 
 from stratamart.names import SILVER
 from stratamart.operators.projection import add_landing_audit
+from stratamart.sources.paths import read_small_text
 from stratamart.sources.tables import TableStore
 from stratamart.spec import History
 
@@ -32,12 +35,15 @@ def refine_history_stream(
 ) -> None:
     """Fold each batch of the stream into a type 2 table, then stop.
 
-    A batch that is tried again after a failure finds equal hashes and changes nothing.
+    The number of a batch is recorded with the rows it makes, in one switch of the table.
+    A batch that is tried again after a failure is known by its number and passed over,
+    even if its rows were changed since. A stream that starts anew, with another
+    ``progress``, has a new identity and folds all its batches.
     """
 
-    def fold(batch: DataFrame, _: int) -> None:
+    def fold(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
-            store.upsert_history(batch, SILVER, name, history, run_id)
+            store.upsert_history(batch, SILVER, name, history, run_id, batch_number=(stream_id(store, progress), number))
 
     (
         source.writeStream.foreachBatch(fold)
@@ -46,3 +52,11 @@ def refine_history_stream(
         .start()
         .awaitTermination()
     )
+
+
+def stream_id(store: TableStore, progress: str) -> str:
+    """The identity that a stream keeps in its progress folder."""
+    text = read_small_text(store.spark, f"{progress}/metadata")
+    if text is None:
+        raise FileNotFoundError(f"no stream has its progress in {progress}")
+    return json.loads(text)["id"]

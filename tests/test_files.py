@@ -138,3 +138,33 @@ def test_stream_history_survives_a_repeated_batch(spark, store, tmp_path):
         source = spark.readStream.option("header", True).schema("k int, v string, at timestamp").csv(str(raw))
         refine_history_stream(store, source, "t", history, "r", str(tmp_path / progress))
     assert store.read("silver", "t").count() == 1
+
+
+def test_stream_history_over_several_batches_and_a_crash(spark, store, tmp_path, rows, monkeypatch):
+    """A file a batch; the run breaks after the table has switched to the second batch, before the stream knows."""
+    raw, progress, history = tmp_path / "raw", str(tmp_path / "p"), History("k", ("v",), "at")
+    for n, text in enumerate(("1,x,2024-01-01\n2,x,2024-01-01", "1,y,2024-02-01", "1,x,2024-03-01\n3,z,2024-03-01")):
+        put(raw, f"{n}.csv", f"k,v,at\n{text}\n", 1_000_000 + n)
+
+    def run():
+        source = spark.readStream.option("header", True).option("maxFilesPerTrigger", 1)
+        refine_history_stream(store, source.schema("k int, v string, at timestamp").csv(str(raw)), "t", history, "r", progress)
+
+    upsert, calls = store.upsert_history, []
+
+    def breaking(*args, **how):
+        calls.append(how["batch_number"][1])
+        done = upsert(*args, **how)
+        if calls == [0, 1]:
+            raise RuntimeError("lost after the switch")
+        return done
+
+    monkeypatch.setattr(store, "upsert_history", breaking)
+    with pytest.raises(Exception, match="lost after the switch"):
+        run()
+    run()
+    run()
+    assert calls == [0, 1, 1, 2]
+    shown = [(r["k"], r["v"], r["_SCD_EffectiveStartDate"].month, r["_SCD_IsCurrent"]) for r in store.read("silver", "t").collect()]
+    assert sorted(shown) == [(1, "x", 1, False), (1, "x", 3, True), (1, "y", 2, False), (2, "x", 1, True), (3, "z", 3, True)]
+    assert upsert(store.read("silver", "t").limit(0).select("k", "v", "at"), "silver", "t", history, "r") == (0, 0)

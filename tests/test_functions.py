@@ -97,6 +97,16 @@ def test_hash_joins_columns_and_reads_null_as_empty(spark):
     assert df.select(record_hash(["x", "y", "z"])).first()[0] == sha256(b"a||||3").hexdigest()
 
 
+def test_unambiguous_hashes_tell_rows_apart(spark):
+    rows = [("a||b", "c"), ("a", "b||c"), ("a||b||c", ""), ("a", None), ("a", ""), (None, "a"), ("", "a"), ("-", ""), ("1:a", None)]
+    df = spark.createDataFrame(rows, "x string, y string")
+    exact = [r[0] for r in df.select(record_hash(["x", "y"], unambiguous=True)).collect()]
+    assert len(set(exact)) == len(rows)
+    assert exact[0] == sha256(b"4:a||b1:c").hexdigest() and exact[3] == sha256(b"1:a-").hexdigest()
+    plain = [r[0] for r in df.select(record_hash(["x", "y"])).collect()]
+    assert plain[0] == plain[1] and plain[3] == plain[4]
+
+
 def test_calendar_agrees_with_python(spark):
     df = spark.sql("select explode(sequence(date'1999-12-20', date'2005-01-10')) as day")
     for row in df.select("day", *[c.alias(n) for n, c in calendar_columns(F.col("day")).items()]).collect():

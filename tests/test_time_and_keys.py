@@ -115,3 +115,72 @@ def test_keys_are_dense_and_ordered_over_many_partitions(spark, without_coalesci
 
 def test_keys_of_no_rows(spark):
     assert dense_surrogate_key(spark.range(0), ["id"], "sk").count() == 0
+
+
+@pytest.mark.parametrize("days", [None, 1, 7, 400])
+@pytest.mark.parametrize("mark", [None, True])
+def test_point_in_time_agrees_with_a_scan(spark, rows, days, mark):
+    """Spans of a hot key with many versions, gaps, open ends and overlaps, by key alone and by key and period."""
+    draw = random.Random(5)
+    versions = [(1 if n % 3 else n % 4, n, day(a), None if n % 11 == 0 else day(a + draw.randrange(0, 25))) for n in range(60) for a in [draw.randrange(-400, 400)]]
+    facts = [(n, draw.choice([1, 1, 1, 0, 2, 9, None]), day(draw.randrange(-500, 900))) for n in range(400)] + [(999, 1, None)]
+
+    def answer(key, at):
+        held = [(start, -sk) for k, sk, start, end in versions if at is not None and k == key and start <= at and (end is None or at < end)]
+        return -max(held)[1] if held else None
+
+    df = spark.createDataFrame(facts, "n int, k int, at date")
+    history = spark.createDataFrame(versions, "k int, sk int, start date, end date")
+    out = point_in_time_join(df, history, "k", "at", ["sk"], "start", "end", may_overlap=mark, period_days=days)
+    assert out.columns == ["n", "k", "at", "sk"]
+    assert rows(out, "n", "sk") == sorted(((n, answer(k, at)) for n, k, at in facts), key=repr)
+    empty = point_in_time_join(df, history.filter("false"), "k", "at", ["sk"], "start", "end", may_overlap=mark, period_days=days)
+    assert {r["sk"] for r in empty.collect()} == {None} and empty.count() == len(facts)
+
+
+def jobs_of(spark, build):
+    """Jobs that run while ``build`` plans."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    try:
+        out = build()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(tracker.getJobIdsForGroup("planning"))
+
+
+def test_a_marked_history_joins_without_a_job(spark):
+    df = spark.createDataFrame([(1, 1, day(3))], "n int, k int, at date")
+    history = spark.createDataFrame([(1, 10, day(0), None)], "k int, sk int, start date, end date")
+    _, before = jobs_of(spark, lambda: 0)
+    out, after = jobs_of(spark, lambda: point_in_time_join(df, history, "k", "at", ["sk"], "start", "end", may_overlap=False))
+    assert after == before and out.first()["sk"] == 10
+
+
+def test_as_of_beyond_the_broadcast_reads_facts_once(spark, tmp_path, without_coalescing):
+    spark.range(3000).selectExpr("id", "if(id % 3 = 0, 'B', 'A') as c", "date_add(date'2024-01-01', cast(id % 900 as int)) as at").write.parquet(str(tmp_path / "f"))
+    spark.range(1000).selectExpr("'A' as c2", "date_add(date'2024-01-01', cast(id as int)) as on", "id as rate").write.parquet(str(tmp_path / "s"))
+    facts, series = spark.read.parquet(str(tmp_path / "f")), spark.read.parquet(str(tmp_path / "s"))
+    out = as_of_join(facts, series, {"c": "c2"}, "at", "on", ["rate"], 0)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f"{tmp_path}/f") == 1
+    assert out.filter("c = 'A' and rate != id % 900").count() == 0 and out.filter("c = 'B' and rate is not null").count() == 0
+    # A key comes together with others only by its period: the rows of 'A' meet in many places.
+    from stratamart.operators.temporal import _until_next, in_periods
+    rows = series.selectExpr("c2 as _key0", "on as _from", "rate")
+    ended = _until_next(rows, ["_key0"], 64)
+    assert ended.filter("_to is null").count() == 1 and ended.filter("_to = date_add(_from, 1)").count() == 999
+    assert in_periods(ended, 64, F.lit(400)).select("_period").distinct().count() >= 15
+
+
+def test_numbers_come_from_files_in_order(spark):
+    """Many files per task and many tasks: numbers follow the order."""
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "7")
+    try:
+        out = dense_surrogate_key(spark.range(1000).selectExpr("999 - id as v", "cast(id % 3 as string) as w").repartition(9), ["v"], "sk", "bigint")
+        assert [(r["sk"], r["v"]) for r in out.orderBy("v").collect()] == [(n + 1, n) for n in range(1000)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    plan = out.select("sk")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
+    assert dense_surrogate_key(spark.range(0), ["id"], "sk").count() == 0
