@@ -7,20 +7,21 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from stratamart.names import BRONZE, INGEST_DATE, INGESTED_AT, RAW
+from stratamart.names import BRONZE, INGEST_DATE, INGESTED_AT, RAW, SOURCE_FILE
 from stratamart.operators.projection import add_landing_audit
 from stratamart.plans.audit import FAILED, STARTED, SUCCESS, log_event
 from stratamart.sources.files import (
-    is_header_mismatch,
+    csv_headers,
     new_files,
     newest,
     read_csv,
     read_json_documents,
     read_mixed_csv,
     register_files,
+    rows_of,
 )
 from stratamart.sources.tables import TableStore
-from stratamart.session import checkpointed
+from stratamart.session import stored
 from stratamart.spec import REGISTRY, DatasetSpec
 
 
@@ -51,28 +52,44 @@ def _write_bronze(store: TableStore, spec: DatasetSpec, scan: DataFrame, run_id:
 def land_dataset(store: TableStore, spec: DatasetSpec, run_id: str, folder: str | None = None) -> int | None:
     """Land the files that are new; returns rows landed, or None without new files.
 
-    A full-refresh dataset loads only its newest file but registers all new ones. Only
-    file paths reach the driver, which Spark needs to open them.
+    A full-refresh dataset loads only its newest file, whose path is the one that reaches
+    the driver, but registers all new ones. Other datasets scan their folder from the
+    oldest new file on and keep the rows of new files, so paths stay in tables. Files
+    that arrive meanwhile belong to the next run.
     """
-    fresh = checkpointed(new_files(store, spec.name, folder or store.path(RAW, spec.name)))
-    chosen = newest(fresh) if spec.full_refresh else fresh.orderBy("path")
-    paths = [row.path for row in chosen.select("path").collect()]
-    if not paths:
+    spark, raw = store.spark, folder or store.path(RAW, spec.name)
+    fresh = stored(new_files(store, spec.name, raw), "new-files")
+    count, oldest = fresh.agg(F.count("*"), F.unix_micros(F.min("modificationTime"))).first()
+    if not count:
         return None
-    spark = store.spark
-    if spec.raw_format == "json":
-        rows = _write_bronze(store, spec, read_json_documents(spark, paths, spec.raw_schema), run_id)
+    if spec.full_refresh:
+        latest = newest(fresh).first()["path"]
+        scan = (
+            read_json_documents(spark, latest, spec.raw_schema) if spec.raw_format == "json" else read_csv(spark, latest)
+        )
+        rows = _write_bronze(store, spec, scan, run_id)
+    elif spec.raw_format == "json":
+        scan = read_json_documents(spark, raw, spec.raw_schema, recursive=True, oldest=oldest)
+        rows = _write_bronze(store, spec, rows_of(scan, fresh), run_id)
     else:
-        try:
-            rows = _write_bronze(store, spec, read_csv(spark, paths), run_id)
-        except Exception as error:
-            if not is_header_mismatch(error):
-                raise
-            rows = _write_bronze(store, spec, read_mixed_csv(spark, paths), run_id)
+        rows = _land_csv(store, spec, run_id, raw, fresh, oldest)
     register_files(store, spec.name, fresh, run_id)
     return rows
 
 
+def _land_csv(store: TableStore, spec: DatasetSpec, run_id: str, raw: str, fresh: DataFrame, oldest: int) -> int:
+    """Land CSV files by the header of the first one; if that fails and headers differ, by the header of each."""
+    scan = read_csv(store.spark, raw, True, oldest)
+    try:
+        return _write_bronze(store, spec, rows_of(scan, fresh), run_id)
+    except Exception:
+        headers = stored(csv_headers(store.spark, raw, fresh, oldest), "headers")
+        found = [row.header.replace('"', "") for row in headers.select("header").distinct().limit(2).collect()]
+        if found in ([], [",".join(c for c in scan.columns if c != SOURCE_FILE)]):
+            raise
+    return _write_bronze(store, spec, read_mixed_csv(store.spark, raw, fresh, headers, oldest), run_id)
+
+
 def land_all(
     store: TableStore, run_id: str, registry: Mapping[str, DatasetSpec] = REGISTRY
 ) -> dict[str, int]:

@@ -327,6 +327,8 @@ FROM fact_sales LEFT JOIN dim_product USING (ProductSK) GROUP BY 1, 2""",
     "revenue_total": """SELECT CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price,
   CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS total_quantity FROM lineitem""",
     "landed_csv": _ORDERS_BY_YEAR.format("true"),
+    "mixed_headers": """SELECT o_orderkey, o_custkey, CASE WHEN year(o_orderdate) <> 1995 OR o_orderdate IS NULL THEN o_orderpriority END AS o_orderpriority
+FROM orders WHERE o_orderdate IS NULL OR year(o_orderdate) <= 1998""",
     "csv_folder": """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
   CAST(o_totalprice AS VARCHAR) AS o_totalprice, o_orderpriority FROM orders""",
     "unregistered_files": _ORDERS_BY_YEAR.format("year(o_orderdate) > 1997"),

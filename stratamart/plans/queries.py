@@ -55,13 +55,16 @@ from stratamart.session import new_work_folder, stored
 from stratamart.sources.exports import preview, save_to_catalog, write_csv, write_json_documents
 from stratamart.sources.files import (
     above_mark,
+    csv_headers,
     list_files,
     new_files,
     newest,
     read_csv,
     read_csv_folder,
     read_json_documents,
+    read_mixed_csv,
     register_files,
+    rows_of,
 )
 from stratamart.sources.tables import TableStore
 from stratamart.spec import CUSTOMERS, EXCHANGE_RATES, ORDERS, PRODUCTS, History, RefCheck
@@ -381,8 +384,7 @@ def _rows_per_year(raw: DataFrame) -> DataFrame:
 
 def landed_csv(spark: SparkSession, folder: str) -> DataFrame:
     target = _raw_orders_by_year(spark, folder, "true", "csv")
-    paths = [row.path for row in list_files(spark, target).select("path").collect()]
-    return _rows_per_year(read_csv(spark, paths))
+    return _rows_per_year(read_csv(spark, target, recursive=True))
 
 
 def csv_folder(spark: SparkSession, folder: str) -> DataFrame:
@@ -400,8 +402,23 @@ def unregistered_files(spark: SparkSession, folder: str) -> DataFrame:
     write_csv(rows.filter("year <= 1997"), f"{raw}/early", partition_by=["year"])
     register_files(store, "orders", new_files(store, "orders", raw), "run-1")
     write_csv(rows.filter("year > 1997"), f"{raw}/late", partition_by=["year"])
-    fresh = [row.path for row in new_files(store, "orders", raw).select("path").collect()]
-    return _rows_per_year(read_csv(spark, fresh))
+    fresh = stored(new_files(store, "orders", raw), "new-files")
+    oldest = fresh.agg(F.unix_micros(F.min("modificationTime"))).first()[0]
+    return _rows_per_year(rows_of(read_csv(spark, raw, recursive=True, oldest=oldest), fresh))
+
+
+def mixed_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders of each year in another order of columns, one year without priorities, matched by name."""
+    target = new_work_folder(spark, "headers")
+    columns = ["o_orderkey", "o_custkey", "o_orderpriority"]
+    orders = samples.table(spark, folder, "orders").withColumn("year", F.year("o_orderdate"))
+    for k, year in enumerate(range(1992, 1999)):
+        names = columns[k % 3 :] + columns[: k % 3]
+        rows = orders.filter(F.col("year") == year if k else F.col("year").isNull() | (F.col("year") <= year))
+        write_csv(rows.select(names if year != 1995 else [c for c in names if c != "o_orderpriority"]), f"{target}/{year}")
+    files = stored(list_files(spark, target), "files")
+    rows = read_mixed_csv(spark, target, files, csv_headers(spark, target, files))
+    return rows.select(F.col("o_orderkey").cast("long"), F.col("o_custkey").cast("long"), "o_orderpriority")
 
 
 def latest_file(spark: SparkSession, folder: str) -> DataFrame:
@@ -695,6 +712,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         landed_csv,
         csv_folder,
         unregistered_files,
+        mixed_headers,
         latest_file,
         rate_documents,
         upsert_watermark,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,9 +12,10 @@ from pyspark.sql import types as T
 
 from stratamart.names import FILE_REGISTRY, AUDIT, INGESTED_AT, SOURCE_FILE
 from stratamart.operators.projection import all_as_strings
+from stratamart.operators.sizing import broadcast_within
 from stratamart.sources.tables import TableStore
 
-FILE_LISTING = "path string, name string, size bigint, modificationTime timestamp"
+FILE_LISTING = "path string, name string, size bigint, modificationTime timestamp, uri string"
 
 REGISTRY_COLUMNS = ("dataset", "file_path", "file_name", "file_size", "pipeline_run_id", "ingested_at")
 
@@ -21,15 +23,16 @@ REGISTRY_COLUMNS = ("dataset", "file_path", "file_name", "file_size", "pipeline_
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """Files below ``folder`` as rows; hidden names are left out, a missing folder is empty.
 
-    Only the listing is read: the unused ``content`` column keeps the files closed.
+    Only the listing is read: the unused ``content`` column keeps the files closed. ``uri``
+    is what scans give as the file of a row.
     """
     try:
         found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     except AnalysisException:
         return spark.createDataFrame([], FILE_LISTING)
     name = F.substring_index("path", "/", -1)
-    listed = found.where(~name.startswith("_")).withColumns({"name": name, "size": F.col("_metadata.file_size")})
-    return listed.select("path", "name", "size", "modificationTime")
+    more = {"name": name, "size": F.col("_metadata.file_size"), "uri": F.col("_metadata.file_path")}
+    return found.where(~name.startswith("_")).withColumns(more).select("path", "name", "size", "modificationTime", "uri")
 
 
 def not_registered(listing: DataFrame, registry: DataFrame, dataset: str) -> DataFrame:
@@ -69,43 +72,68 @@ def _with_source(df: DataFrame) -> DataFrame:
     return df.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
 
 
-def read_csv(spark: SparkSession, paths: Sequence[str] | str, recursive: bool = False) -> DataFrame:
+def _since(oldest: int | None) -> dict[str, str]:
+    """Reader options that pass over files older than ``oldest``; the option knows whole seconds."""
+    if oldest is None:
+        return {}
+    at = datetime.fromtimestamp(oldest // 1_000_000 - 2, timezone.utc)
+    return {"modifiedAfter": at.strftime("%Y-%m-%dT%H:%M:%S"), "timeZone": "UTC"}
+
+
+def rows_of(scan: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows of a scan whose file is among ``files`` of a listing."""
+    chosen = files.select(F.col("uri").alias("_uri"))
+    return scan.join(broadcast_within(chosen), F.col(SOURCE_FILE) == F.col("_uri"), "left_semi")
+
+
+def read_csv(
+    spark: SparkSession, paths: Sequence[str] | str, recursive: bool = False, oldest: int | None = None
+) -> DataFrame:
     """CSV files of one header as strings, with the file each row came from.
 
     Names come from the first file. A file with another header fails the job instead of
-    being read into the wrong columns; see :func:`read_mixed_csv`.
+    being read into the wrong columns; see :func:`read_mixed_csv`. Files modified before
+    ``oldest``, in microseconds since 1970 UTC, are left out, give or take two seconds.
     """
-    reader = spark.read.option("header", True).option("recursiveFileLookup", recursive)
+    reader = spark.read.option("header", True).option("recursiveFileLookup", recursive).options(**_since(oldest))
     named = T.StructType([T.StructField(c, T.StringType()) for c in reader.csv(paths).columns])
     return _with_source(reader.option("enforceSchema", False).schema(named).csv(paths))
 
 
-# How Spark words its refusal of a header.
-_HEADER_REFUSALS = ("CSV header does not conform to the schema", "Number of column in CSV header is not equal")
-
-
-def is_header_mismatch(error: Exception) -> bool:
-    return any(words in str(error) for words in _HEADER_REFUSALS)
+def csv_headers(spark: SparkSession, folder: str, files: DataFrame, oldest: int | None = None) -> DataFrame:
+    """The first line of each of ``files`` below ``folder``, as (uri, header)."""
+    reader = spark.read.option("recursiveFileLookup", True).options(**_since(oldest))
+    lines = _with_source(reader.text(folder)).select(
+        SOURCE_FILE, "value", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n")
+    )
+    first = F.min_by("value", "n").alias("header")
+    return rows_of(lines.filter("block = 0"), files).groupBy(F.col(SOURCE_FILE).alias("uri")).agg(first)
 
 
-def read_mixed_csv(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """CSV files with differing headers: one scan per distinct header, matched by name.
+def read_mixed_csv(
+    spark: SparkSession, folder: str, files: DataFrame, headers: DataFrame, oldest: int | None = None
+) -> DataFrame:
+    """CSV files with differing headers in one scan, matched by name.
 
-    Finding the headers scans the files once as text, so this is for the case that
-    :func:`read_csv` refused.
+    ``headers`` holds the first line of each file, see :func:`csv_headers`. Every row
+    meets the header of its file and is laid out by it; columns that a file lacks are
+    NULL. Rows that repeat their header word for word are headers. Only the names of all
+    columns reach the driver.
     """
-    lines = spark.read.text(list(paths)).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n")).alias("at"),
-        "value",
+    line = F.col("header")
+    names = F.transform(F.split(line, ","), lambda c: F.regexp_replace(F.trim(c), '^"|"$', ""))
+    named = headers.select(F.col("uri").alias("_uri"), names.alias("_names"))
+    widest, columns = named.agg(F.max(F.size("_names")), F.array_sort(F.collect_set("_names"))).first()
+    places = T.StructType([T.StructField(f"_c{k}", T.StringType()) for k in range(widest or 0)])
+    reader = spark.read.option("recursiveFileLookup", True).options(**_since(oldest))
+    scan = rows_of(_with_source(reader.schema(places).csv(folder)), files)
+    values = F.array(*[F.col(f.name) for f in places.fields])
+    met = scan.join(broadcast_within(named), F.col(SOURCE_FILE) == F.col("_uri")).withColumn("_values", values)
+    is_header = F.slice("_values", 1, F.size("_names")) == F.col("_names")
+    every = list(dict.fromkeys(name for header in columns for name in header))
+    return met.filter(~F.coalesce(is_header, F.lit(False))).select(
+        *[F.get("_values", F.array_position("_names", name).cast("int") - 1).alias(name) for name in every], SOURCE_FILE
     )
-    headers = lines.filter("at.block = 0").groupBy("path").agg(F.min_by("value", "at").alias("header"))
-    groups = headers.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    scans = [read_csv(spark, row.paths) for row in groups.orderBy("header").collect()]
-    result = scans[0]
-    for scan in scans[1:]:
-        result = result.unionByName(scan, allowMissingColumns=True)
-    return result.select(*[c for c in result.columns if c != SOURCE_FILE], SOURCE_FILE)
 
 
 def read_csv_folder(spark: SparkSession, folder: str) -> DataFrame:
@@ -114,7 +142,11 @@ def read_csv_folder(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_json_documents(
-    spark: SparkSession, paths: Sequence[str] | str, schema: T.StructType | str | None = None
+    spark: SparkSession,
+    paths: Sequence[str] | str,
+    schema: T.StructType | str | None = None,
+    recursive: bool = False,
+    oldest: int | None = None,
 ) -> DataFrame:
     """JSON documents that may span lines, with the file each came from.
 
@@ -122,6 +154,7 @@ def read_json_documents(
     next has one type. Give ``schema`` to save the pass over all files that inference takes.
     """
     reader = spark.read.option("multiLine", True).option("primitivesAsString", True)
+    reader = reader.option("recursiveFileLookup", recursive).options(**_since(oldest))
     if schema is not None:
         reader = reader.schema(schema)
     return _with_source(reader.json(paths))

@@ -13,7 +13,7 @@ from stratamart.sources.exports import (
 )
 from stratamart.sources.files import (
     above_mark,
-    is_header_mismatch,
+    csv_headers,
     list_files,
     new_files,
     newest,
@@ -22,6 +22,7 @@ from stratamart.sources.files import (
     read_json_documents,
     read_mixed_csv,
     register_files,
+    rows_of,
 )
 from stratamart.streaming.files import land_stream, refine_history_stream
 from stratamart.spec import History
@@ -71,11 +72,36 @@ def test_csv_is_text_with_its_source(spark, tmp_path):
 
 
 def test_other_headers_are_refused_then_matched_by_name(spark, tmp_path, rows):
-    paths = [put(tmp_path, "a.csv", "A,B\n1,2\n"), put(tmp_path, "b.csv", "B,A\n3,4\n"), put(tmp_path, "c.csv", "A,B,C\n5,6,7\n")]
-    with pytest.raises(Exception) as refused:
-        read_csv(spark, paths).collect()
-    assert is_header_mismatch(refused.value)
-    assert rows(read_mixed_csv(spark, paths), "A", "B", "C") == [("1", "2", None), ("4", "3", None), ("5", "6", "7")]
+    for name, text in (("a.csv", "A,B\n1,2\n"), ("b.csv", 'B,"A"\n3,4\n5,\n'), ("c d.csv", "A,B,C\n5,6,7\n"), ("e.csv", "A,B\n")):
+        put(tmp_path / "raw", name, text)
+    raw = str(tmp_path / "raw")
+    with pytest.raises(Exception):
+        read_csv(spark, raw).collect()
+    files = list_files(spark, raw)
+    headers = csv_headers(spark, raw, files)
+    assert rows(headers.select("header").distinct()) == [("A,B",), ("A,B,C",), ('B,"A"',)]
+    expected = [("1", "2", None), ("4", "3", None), ("5", "6", "7"), (None, "5", None)]
+    mixed = read_mixed_csv(spark, raw, files, headers)
+    assert rows(mixed, "A", "B", "C") == sorted(expected, key=repr) and mixed.columns == ["A", "B", "C", "_SourceFile"]
+    some = files.filter("name != 'c d.csv'")
+    assert rows(read_mixed_csv(spark, raw, some, csv_headers(spark, raw, some)), "A", "B") == sorted((e[:2] for e in expected if not e[2]), key=repr)
+
+
+def test_only_rows_of_new_files_are_read(spark, store, tmp_path, rows):
+    """Registered files drop out, older ones already by their time; names with blanks match."""
+    raw = tmp_path / "raw"
+    for n, name in enumerate(("old.csv", "seen later.csv", "new one.csv", "new.csv")):
+        put(raw, name, f"x\n{n}\n", 1_000_000 + 1000 * n)
+    listing = list_files(spark, str(raw))
+    register_files(store, "t", listing.filter("name like 'old%' or name like 'seen%'"), "r1")
+    os.utime(raw / "seen later.csv", (2_000_000, 2_000_000))
+    fresh = new_files(store, "t", str(raw))
+    oldest = fresh.agg(F.unix_micros(F.min("modificationTime"))).first()[0]
+    scan = read_csv(spark, str(raw), oldest=oldest)
+    assert rows(scan, "x") == [("1",), ("2",), ("3",)]
+    assert rows(rows_of(scan, fresh), "x") == [("2",), ("3",)]
+    plan = rows_of(scan, fresh)._jdf.queryExecution().executedPlan().toString()
+    assert "old.csv" not in "".join(scan.inputFiles()) and "LeftSemi" in plan
 
 
 def test_csv_written_and_read_back(spark, tmp_path, rows):
