@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +18,8 @@ def flatten(df: DataFrame) -> DataFrame:
 
     Arrays are exploded one after another and keep a row when empty, so two sibling
     arrays give one row per pair of their elements. Columns of a level that is being
-    opened move behind the columns that stay.
+    opened move behind the columns that stay. A name that is taken, as ``a_b`` beside a
+    field ``b`` of ``a``, gets the next free number behind it: ``a_b_2``.
     """
     fields = df.schema.fields
     arrays = [f.name for f in fields if isinstance(f.dataType, T.ArrayType)]
@@ -30,8 +31,9 @@ def flatten(df: DataFrame) -> DataFrame:
     if structs:
         opened = {f.name for f in structs}
         kept = [F.col(f"`{name}`") for name in df.columns if name not in opened]
+        taken = {name.lower() for name in df.columns if name not in opened}
         children = [
-            F.col(f"`{f.name}`").getField(child.name).alias(f"{f.name}_{child.name}")
+            F.col(f"`{f.name}`").getField(child.name).alias(_free_name(f"{f.name}_{child.name}", taken))
             for f in structs
             for child in f.dataType.fields
         ]
@@ -39,6 +41,16 @@ def flatten(df: DataFrame) -> DataFrame:
     return flatten(df)
 
 
+def _free_name(name: str, taken: set[str]) -> str:
+    """``name``, numbered if it is taken already, and taken from now on."""
+    free, number = name, 1
+    while free.lower() in taken:
+        number += 1
+        free = f"{name}_{number}"
+    taken.add(free.lower())
+    return free
+
+
 def payload_schema(df: DataFrame, payload: str) -> str | None:
     """Struct type of all JSON objects in a column; None when there is none."""
     found = df.select(F.schema_of_variant_agg(F.try_parse_json(payload))).first()[0]
@@ -60,19 +72,21 @@ def parse_payload(
     renames: Mapping[str, str] | None = None,
     schema: T.StructType | str | None = None,
     payload: str = "raw_payload",
+    keep: Iterable[str] = (),
 ) -> DataFrame | None:
     """JSON text column to flat columns, or None when no row has a payload.
 
     Without ``schema`` one aggregate over all payloads finds it, so no key or value is
     lost where documents differ: numbers of several types become doubles, values of
     several kinds stay as text. Text that is no JSON gives a row of NULLs. A schema saves
-    that pass.
+    that pass. Columns in ``keep`` that exist stay beside the parsed ones.
     """
     if schema is None:
         schema = payload_schema(df, payload)
         if schema is None:
             return None
-    parsed = df.select(F.from_json(payload, schema).alias("data")).select("data.*")
+    kept = [c for c in keep if c in df.columns]
+    parsed = df.select(*kept, F.from_json(payload, schema).alias("data")).select(*kept, "data.*")
     return rename_present(flatten(parsed), renames or {})
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,21 +30,49 @@ def _one_row(spark: SparkSession, values: Mapping[str, Column]) -> DataFrame:
     return spark.range(0, 1, 1, 1).select([value.alias(name) for name, value in values.items()])
 
 
-def log_event(
-    store: TableStore,
-    run_id: str,
-    layer: str,
-    dataset: str,
-    status: str,
-    records_in: int | None = None,
-    records_out: int | None = None,
-    records_rejected: int | None = None,
-    error: str | None = None,
-) -> None:
-    text = error[:MAX_ERROR_CHARS] if error else None
-    given = (run_id, layer, dataset, status, records_in, records_out, records_rejected, text)
-    values = {name: F.lit(value).cast(kind) for value, (name, kind) in zip(given, LOG_COLUMNS.items())}
-    store.write(_one_row(store.spark, {**values, "event_timestamp": F.current_timestamp()}), AUDIT, EXECUTION_LOG)
+class RunLog:
+    """Events of a layer of one run, appended to the execution log in one write.
+
+    Use it as a context: what was gathered is written at the end, also when the layer
+    fails. Events have the time at which they were added.
+    """
+
+    def __init__(self, store: TableStore, run_id: str, layer: str):
+        self.store, self.run_id, self.layer = store, run_id, layer
+        self._events: list[tuple] = []
+
+    def add(
+        self,
+        dataset: str,
+        status: str,
+        records_in: int | None = None,
+        records_out: int | None = None,
+        records_rejected: int | None = None,
+        error: str | None = None,
+    ) -> None:
+        text = error[:MAX_ERROR_CHARS] if error else None
+        micros = time.time_ns() // 1000
+        self._events.append((self.run_id, self.layer, dataset, status, records_in, records_out, records_rejected, text, micros))
+
+    def flush(self) -> None:
+        if not self._events:
+            return
+        columns = ", ".join(f"{name} {kind}" for name, kind in LOG_COLUMNS.items())
+        events = self.store.spark.createDataFrame(self._events, f"{columns}, micros bigint").coalesce(1)
+        self.store.write(events.select(*LOG_COLUMNS, F.timestamp_micros("micros").alias("event_timestamp")), AUDIT, EXECUTION_LOG)
+        self._events = []
+
+    def __enter__(self) -> RunLog:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.flush()
+
+
+def log_event(store: TableStore, run_id: str, layer: str, dataset: str, status: str, *counts: int | None, error: str | None = None) -> None:
+    """Append a single event."""
+    with RunLog(store, run_id, layer) as log:
+        log.add(dataset, status, *counts, error=error)
 
 
 def get_mark(store: TableStore, dataset: str) -> int | None:
@@ -67,7 +96,7 @@ def run_summary(log: DataFrame) -> DataFrame:
     return (
         log.groupBy("pipeline_run_id", "layer", "dataset")
         .agg(
-            F.max_by("status", F.struct("event_timestamp", F.col("status") != STARTED)).alias("final_status"),
+            F.max_by("status", F.struct("event_timestamp", F.col("status") != STARTED, "status")).alias("final_status"),
             F.min("event_timestamp").alias("first"),
             F.max("event_timestamp").alias("last"),
             F.sum("records_in").alias("records_in"),

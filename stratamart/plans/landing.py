@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stratamart.names import BRONZE, INGEST_DATE, INGESTED_AT, RAW, SOURCE_FILE
 from stratamart.operators.projection import add_landing_audit
-from stratamart.plans.audit import FAILED, STARTED, SUCCESS, log_event
+from stratamart.plans.audit import FAILED, STARTED, SUCCESS, RunLog
 from stratamart.sources.files import (
     csv_headers,
     new_files,
@@ -96,13 +96,14 @@ def land_all(
     """Land every dataset; failures are logged and raised together at the end."""
     landed: dict[str, int] = {}
     failures: dict[str, Exception] = {}
-    for name, spec in registry.items():
-        log_event(store, run_id, BRONZE, name, STARTED)
-        try:
-            landed[name] = land_dataset(store, spec, run_id) or 0
-            log_event(store, run_id, BRONZE, name, SUCCESS, landed[name], landed[name])
-        except Exception as error:
-            log_event(store, run_id, BRONZE, name, FAILED, error=str(error))
-            failures[name] = error
+    with RunLog(store, run_id, BRONZE) as log:
+        for name, spec in registry.items():
+            log.add(name, STARTED)
+            try:
+                landed[name] = land_dataset(store, spec, run_id) or 0
+                log.add(name, SUCCESS, landed[name], landed[name])
+            except Exception as error:
+                log.add(name, FAILED, error=str(error))
+                failures[name] = error
     raise_failures(BRONZE, failures)
     return landed

@@ -359,7 +359,7 @@ SELECT e.user_id, e.event_type, {_OPEN_VERSION} FROM latest e""",
     CASE WHEN event_id % 5 = 0 THEN 1 END AS records_rejected, ts AS event_timestamp
   FROM events)
 SELECT pipeline_run_id, layer, dataset,
-  arg_max(status, (event_timestamp, status <> 'STARTED')) AS final_status,
+  arg_max(status, (event_timestamp, status <> 'STARTED', status)) AS final_status,
   CAST(sum(records_in) AS BIGINT) AS records_in, CAST(sum(records_out) AS BIGINT) AS records_out,
   CAST(sum(records_rejected) AS BIGINT) AS records_rejected, count(*) AS events,
   round((epoch_us(max(event_timestamp)) - epoch_us(min(event_timestamp))) / 1e6::DOUBLE, 1) AS duration_seconds

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from stratamart.names import GOLD, GOLD_TABLES
-from stratamart.plans.audit import FAILED, STARTED, SUCCESS, log_event
+from stratamart.plans.audit import FAILED, STARTED, SUCCESS, RunLog
 from stratamart.plans.landing import raise_failures
 from stratamart.sources.exports import JdbcTarget, save_to_catalog, write_jdbc
 from stratamart.sources.tables import TableStore
@@ -21,15 +22,16 @@ def _publish_each(
 ) -> None:
     """Send every table; failures are logged and raised together at the end."""
     failures: dict[str, Exception] = {}
-    for name in tables:
-        log_event(store, run_id, layer, name, STARTED)
-        try:
-            df = store.read(GOLD, name)
-            send(df, name)
-            log_event(store, run_id, layer, name, SUCCESS, records_out=df.count())
-        except Exception as error:
-            log_event(store, run_id, layer, name, FAILED, error=str(error))
-            failures[name] = error
+    with RunLog(store, run_id, layer) as log:
+        for name in tables:
+            log.add(name, STARTED)
+            try:
+                sent = Observation()
+                send(store.read(GOLD, name).observe(sent, F.count(F.lit(1)).alias("rows")), name)
+                log.add(name, SUCCESS, records_out=sent.get["rows"])
+            except Exception as error:
+                log.add(name, FAILED, error=str(error))
+                failures[name] = error
     raise_failures(layer, failures)
 
 

@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stratamart.names import (
@@ -21,8 +20,9 @@ from stratamart.names import (
 from stratamart.operators.nested import flatten, parse_payload, wide_to_long
 from stratamart.operators.projection import add_processing_audit, drop_technical, rename_present
 from stratamart.operators.quality import accepted, clean_and_flag, rejected
-from stratamart.plans.audit import FAILED, STARTED, SUCCESS, get_mark, log_event, set_mark
+from stratamart.plans.audit import FAILED, STARTED, SUCCESS, RunLog, get_mark, set_mark
 from stratamart.plans.landing import raise_failures
+from stratamart.session import stored
 from stratamart.sources.files import above_mark
 from stratamart.sources.tables import TableStore
 from stratamart.spec import REGISTRY, DatasetSpec, RefCheck
@@ -40,7 +40,7 @@ def reshape(bronze: DataFrame, spec: DatasetSpec) -> DataFrame | None:
     if spec.raw_format != "json":
         return drop_technical(bronze)
     if "raw_payload" in bronze.columns:
-        return parse_payload(bronze, spec.renames, spec.raw_schema)
+        return parse_payload(bronze, spec.renames, spec.raw_schema, keep=(SOURCE_FILE, INGESTED_AT))
     flat = flatten(bronze)
     if spec.wide_to_long:
         return wide_to_long(flat, spec.wide_to_long, (SOURCE_FILE, INGESTED_AT))
@@ -71,35 +71,32 @@ def refine_dataset(store: TableStore, spec: DatasetSpec, run_id: str) -> Refined
     """Clean what was landed since the last run and move the high-water mark."""
     if not store.exists(BRONZE, spec.name):
         return Refined()
+    # The scan is fixed here: rows landed while this run works belong to the next one.
     bronze = _not_yet_refined(store, spec)
-    records_in, newest = bronze.agg(F.count(F.lit(1)), F.unix_micros(F.max(INGESTED_AT))).first()
-    if records_in == 0:
+    if bronze.isEmpty():
         return Refined()
-    # Rows landed while this run works belong to the next run.
-    bronze = bronze.filter(F.col(INGESTED_AT) <= F.timestamp_micros(F.lit(newest)))
-    raw = reshape(bronze, spec)
+    taken, kept = Observation(), Observation()
+    landed = bronze.observe(taken, F.count(F.lit(1)).alias("rows"), F.unix_micros(F.max(INGESTED_AT)).alias("newest"))
+    raw = reshape(landed, spec)
     if raw is None:
         return Refined()
 
-    # The flagged rows feed two writes; keeping them saves a second clean, and a lost
-    # block is computed again with the same winners.
-    flagged = clean_and_flag(raw, spec, lookup_in(store)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        bad, good = flagged.agg(F.count_if(REJECTED), F.count_if(~F.col(REJECTED))).first()
-        if bad:
-            store.evolve_and_write(
-                add_processing_audit(rejected(flagged), run_id), SILVER, spec.name + REJECTS_SUFFIX
-            )
-        if spec.history:
-            good, _ = store.upsert_history(accepted(flagged), SILVER, spec.name, spec.history, run_id)
-        else:
-            mode = "overwrite" if spec.full_refresh else "append"
-            store.evolve_and_write(add_processing_audit(accepted(flagged), run_id), SILVER, spec.name, mode)
-    finally:
-        flagged.unpersist()
+    # Flagged rows feed two writes; stored once, they outlive any executor. Counts are
+    # taken on the way.
+    flagged = clean_and_flag(raw, spec, lookup_in(store))
+    counts = [F.count_if(REJECTED).alias("bad"), F.count_if(~F.col(REJECTED)).alias("good")]
+    flagged = stored(flagged.observe(kept, *counts), "flagged")
+    bad, good = kept.get["bad"], kept.get["good"]
+    if bad:
+        store.evolve_and_write(add_processing_audit(rejected(flagged), run_id), SILVER, spec.name + REJECTS_SUFFIX)
+    if spec.history:
+        good, _ = store.upsert_history(accepted(flagged), SILVER, spec.name, spec.history, run_id)
+    else:
+        mode = "overwrite" if spec.full_refresh else "append"
+        store.evolve_and_write(add_processing_audit(accepted(flagged), run_id), SILVER, spec.name, mode)
     if not spec.full_refresh:
-        set_mark(store, spec.name, newest)
-    return Refined(records_in, good, bad)
+        set_mark(store, spec.name, taken.get["newest"])
+    return Refined(taken.get["rows"], good, bad)
 
 
 def refine_all(
@@ -108,15 +105,14 @@ def refine_all(
     """Refine every dataset in registry order; failures are raised together at the end."""
     results: dict[str, Refined] = {}
     failures: dict[str, Exception] = {}
-    for name, spec in registry.items():
-        log_event(store, run_id, SILVER, name, STARTED)
-        try:
-            done = results[name] = refine_dataset(store, spec, run_id)
-            log_event(
-                store, run_id, SILVER, name, SUCCESS, done.records_in, done.records_out, done.records_rejected
-            )
-        except Exception as error:
-            log_event(store, run_id, SILVER, name, FAILED, error=str(error))
-            failures[name] = error
+    with RunLog(store, run_id, SILVER) as log:
+        for name, spec in registry.items():
+            log.add(name, STARTED)
+            try:
+                done = results[name] = refine_dataset(store, spec, run_id)
+                log.add(name, SUCCESS, done.records_in, done.records_out, done.records_rejected)
+            except Exception as error:
+                log.add(name, FAILED, error=str(error))
+                failures[name] = error
     raise_failures(SILVER, failures)
     return results

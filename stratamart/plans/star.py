@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratamart.functions.calendar import calendar_columns, date_key
@@ -24,7 +24,7 @@ from stratamart.operators.keys import dense_surrogate_key
 from stratamart.operators.quality import accepted
 from stratamart.operators.sizing import MAX_BROADCAST_ROWS, broadcast_within
 from stratamart.operators.temporal import as_of_join, point_in_time_join
-from stratamart.plans.audit import FAILED, STARTED, SUCCESS, log_event
+from stratamart.plans.audit import FAILED, STARTED, SUCCESS, RunLog
 from stratamart.sources.tables import TableStore
 
 
@@ -151,47 +151,53 @@ def sales_by_category(fact: DataFrame, dim_product: DataFrame, base: str = BASE_
     )
 
 
-def _publish(store: TableStore, run_id: str, name: str, build) -> None:
-    """Build and overwrite one Gold table; a failure is logged and raised at once."""
-    log_event(store, run_id, GOLD, name, STARTED)
-    try:
-        store.write(build(), GOLD, name, "overwrite")
-        log_event(store, run_id, GOLD, name, SUCCESS, records_out=store.read(GOLD, name).count())
-    except Exception as error:
-        log_event(store, run_id, GOLD, name, FAILED, error=str(error))
-        raise
-
-
-def build_star(store: TableStore, run_id: str) -> None:
-    """Rebuild all Gold tables from Silver, dimensions before facts before aggregates."""
-
-    def silver(name: str) -> DataFrame:
-        return accepted(store.read(SILVER, name))
-
-    def gold(name: str) -> DataFrame:
-        return store.read(GOLD, name)
-
-    _publish(store, run_id, "dim_customer", lambda: build_dim_customer(silver("customers")))
-    _publish(store, run_id, "dim_product", lambda: build_dim_product(silver("products")))
-    _publish(store, run_id, "dim_date", lambda: build_dim_date(silver("orders")))
-    _publish(
-        store,
-        run_id,
-        "fact_sales",
-        lambda: build_fact_sales(
-            silver("orders"), gold("dim_customer"), gold("dim_product"), silver("exchange_rates"),
-            may_overlap=store.may_overlap(SILVER, "customers"),
-        ),
-    )
-    _publish(
-        store,
-        run_id,
-        "agg_daily_sales_by_store",
-        lambda: daily_sales_by_store(gold("fact_sales"), gold("dim_date"), one_row_per_order=True),
-    )
-    _publish(
-        store,
-        run_id,
-        "agg_sales_by_category",
-        lambda: sales_by_category(gold("fact_sales"), gold("dim_product")),
+def _silver(store: TableStore, name: str) -> DataFrame:
+    return accepted(store.read(SILVER, name))
+
+
+def _gold_fact(store: TableStore) -> DataFrame:
+    return build_fact_sales(
+        _silver(store, "orders"),
+        store.read(GOLD, "dim_customer"),
+        store.read(GOLD, "dim_product"),
+        _silver(store, "exchange_rates"),
+        may_overlap=store.may_overlap(SILVER, "customers"),
     )
+
+
+# Gold tables, dimensions before facts before aggregates.
+GOLD_BUILDERS: dict[str, Callable[[TableStore], DataFrame]] = {
+    "dim_customer": lambda store: build_dim_customer(_silver(store, "customers")),
+    "dim_product": lambda store: build_dim_product(_silver(store, "products")),
+    "dim_date": lambda store: build_dim_date(_silver(store, "orders")),
+    "fact_sales": _gold_fact,
+    "agg_daily_sales_by_store": lambda store: daily_sales_by_store(
+        store.read(GOLD, "fact_sales"), store.read(GOLD, "dim_date"), one_row_per_order=True
+    ),
+    "agg_sales_by_category": lambda store: sales_by_category(store.read(GOLD, "fact_sales"), store.read(GOLD, "dim_product")),
+}
+
+
+def build_star(store: TableStore, run_id: str, only: Iterable[str] | None = None) -> dict[str, int]:
+    """Rebuild Gold tables from Silver and return their rows; a failure is logged and raised at once.
+
+    ``only`` names the tables to rebuild; they are built in the order they depend on each
+    other, from those that stand already.
+    """
+    wanted = set(GOLD_BUILDERS if only is None else only)
+    if unknown := wanted.difference(GOLD_BUILDERS):
+        raise KeyError(f"no Gold tables {sorted(unknown)}")
+    rows: dict[str, int] = {}
+    with RunLog(store, run_id, GOLD) as log:
+        for name in [n for n in GOLD_BUILDERS if n in wanted]:
+            log.add(name, STARTED)
+            try:
+                written = Observation()
+                built = GOLD_BUILDERS[name](store).observe(written, F.count(F.lit(1)).alias("rows"))
+                store.write(built, GOLD, name, "overwrite")
+                rows[name] = written.get["rows"]
+                log.add(name, SUCCESS, records_out=rows[name])
+            except Exception as error:
+                log.add(name, FAILED, error=str(error))
+                raise
+    return rows
