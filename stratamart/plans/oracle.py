@@ -396,5 +396,50 @@ LEFT JOIN moved m ON m.CustomerID = c.CustomerID
 GROUP BY 1, 2""",
 }
 
+_PARTIES = f"""{_FLAGGED_PRODUCTS}, {_FLAGGED_CUSTOMERS}, moved_customers AS (
+  SELECT *, (FirstName IS NULL OR LastName IS NULL OR Email IS NULL OR Phone IS NULL OR State IS NULL OR LastUpdated IS NULL) AS _IsRejectedNow
+  FROM cast_customers WHERE CustomerID % 4 = 0),
+versions AS (
+  SELECT c.CustomerID, c.City, 'run-1' AS run, m.CustomerID IS NULL AS is_current, TIMESTAMP '1994-12-31' AS since
+  FROM flagged_customers c LEFT JOIN moved_customers m ON c.CustomerID = m.CustomerID AND NOT m._IsRejectedNow WHERE NOT c._IsRejected
+  UNION ALL
+  SELECT CustomerID, 'MOVED', 'run-2', true, TIMESTAMP '1998-06-15' FROM moved_customers WHERE NOT _IsRejectedNow),
+rejects AS (
+  SELECT 'products' AS dataset, CAST(ProductID AS BIGINT) AS record_key, run
+  FROM flagged_products, (SELECT unnest(['run-1', 'run-2']) AS run) WHERE _IsRejected
+  UNION ALL SELECT 'customers', CustomerID, 'run-1' FROM flagged_customers WHERE _IsRejected
+  UNION ALL SELECT 'customers', CustomerID, 'run-2' FROM moved_customers WHERE _IsRejectedNow),
+done AS (
+  SELECT 'run-1' AS run, 'bronze' AS layer, 'products' AS dataset, count(*) AS n_in, count(*) AS n_out, NULL::BIGINT AS n_bad FROM raw_products
+  UNION ALL SELECT 'run-2', 'bronze', 'products', 0, 0, NULL
+  UNION ALL SELECT 'run-1', 'bronze', 'customers', count(*), count(*), NULL FROM raw_customers
+  UNION ALL SELECT 'run-2', 'bronze', 'customers', count(*), count(*), NULL FROM moved_customers
+  UNION ALL SELECT run, 'silver', 'products', count(*), count(*) FILTER (WHERE NOT _IsRejected), count(*) FILTER (WHERE _IsRejected)
+    FROM flagged_products, (SELECT unnest(['run-1', 'run-2']) AS run) GROUP BY run
+  UNION ALL SELECT 'run-1', 'silver', 'customers', count(*), count(*) FILTER (WHERE NOT _IsRejected), count(*) FILTER (WHERE _IsRejected) FROM flagged_customers
+  UNION ALL SELECT 'run-2', 'silver', 'customers', count(*), count(*) FILTER (WHERE NOT _IsRejectedNow), count(*) FILTER (WHERE _IsRejectedNow) FROM moved_customers),
+log AS (
+  SELECT run AS pipeline_run_id, layer, dataset, 'SUCCESS' AS status, n_in AS records_in, n_out AS records_out, n_bad AS records_rejected FROM done
+  UNION ALL SELECT run, layer, dataset, 'STARTED', NULL, NULL, NULL FROM done)"""
+
+ORACLE_SQL |= {
+    "layer_rejects": f"WITH {_PARTIES} SELECT dataset, record_key, run AS _AdfPipelineRunId FROM rejects",
+    "layer_log": f"WITH {_PARTIES} SELECT * FROM log",
+    "layer_profile": f"""WITH {_PARTIES}
+SELECT 'bronze' AS layer, 'products' AS table_name, count(*) AS row_count FROM raw_products
+UNION ALL SELECT 'bronze', 'customers', (SELECT count(*) FROM raw_customers) + (SELECT count(*) FROM moved_customers)
+UNION ALL SELECT 'silver', 'products', count(*) FROM flagged_products WHERE NOT _IsRejected
+UNION ALL SELECT 'silver', 'customers', count(*) FROM versions
+UNION ALL SELECT 'silver', dataset || '_rejected_records', count(*) FROM rejects GROUP BY dataset
+UNION ALL SELECT 'audit', 'pipeline_execution_log', count(*) FROM log
+UNION ALL SELECT 'audit', 'silver_watermark', 1""",
+    "layer_increment": f"""WITH {_PARTIES}
+SELECT CustomerID, City, run AS _AdfPipelineRunId, is_current AS _SCD_IsCurrent, true AS mark_stands FROM versions""",
+    "published_gold": f"""WITH {_PARTIES}
+SELECT 'customer' AS kind, CAST(row_number() OVER (ORDER BY CustomerID, since) AS INTEGER) AS sk, CustomerID AS id, City AS name, since FROM versions
+UNION ALL
+SELECT 'product', CAST(row_number() OVER (ORDER BY ProductID) AS INTEGER), ProductID, ProductName, NULL FROM flagged_products WHERE NOT _IsRejected""",
+}
+
 # The same results by another way of joining.
 ORACLE_SQL |= {"pit_periods": ORACLE_SQL["pit_customer"], "asof_fx_periods": ORACLE_SQL["asof_fx"]}

@@ -10,12 +10,16 @@ from pyspark.sql import functions as F
 from stratamart.names import (
     AUDIT,
     BASE_CURRENCY,
+    BRONZE,
+    EXECUTION_LOG,
     GOLD,
+    INGESTED_AT,
     IS_CURRENT,
     PROCESSED_AT,
     RAW,
     RECORD_HASH,
     REJECTED,
+    REJECTS_SUFFIX,
     RUN_ID,
     SILVER,
     VALID_FROM,
@@ -40,6 +44,7 @@ from stratamart.operators.scd2 import fold_batch
 from stratamart.operators.temporal import as_of_join, current_version_join, point_in_time_join
 from stratamart.plans import audit, samples
 from stratamart.plans.landing import land_all
+from stratamart.plans.publishing import save_all_to_catalog
 from stratamart.plans.refining import refine_all, reshape
 from stratamart.plans.star import (
     build_dim_customer,
@@ -673,6 +678,68 @@ def layers_city_sales(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_PARTIES = {spec.name: spec for spec in (PRODUCTS, CUSTOMERS)}
+
+
+def _run_parties(spark: SparkSession, folder: str) -> TableStore:
+    """Products and customers through two runs; the second brings customers who moved."""
+    store = TableStore(spark, new_work_folder(spark, "parties"))
+    write_csv(samples.raw_products(spark, folder), f"{store.path(RAW, 'products')}/seed")
+    for batch, name in ((1, "seed"), (2, "moved")):
+        write_csv(samples.raw_customers(spark, folder, batch), f"{store.path(RAW, 'customers')}/{name}")
+        land_all(store, f"run-{batch}", _PARTIES)
+        refine_all(store, f"run-{batch}", _PARTIES)
+    return store
+
+
+def layer_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """What both runs put aside; a full refresh rejects the same products again."""
+    store = _run_parties(spark, folder)
+    parts = [
+        store.read(SILVER, f"{spec.name}{REJECTS_SUFFIX}").select(F.lit(spec.name).alias("dataset"), F.col(key).cast("long").alias("record_key"), RUN_ID)
+        for spec, key in ((PRODUCTS, "ProductID"), (CUSTOMERS, "CustomerID"))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def layer_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The execution log of both runs without its times."""
+    return _run_parties(spark, folder).read(AUDIT, EXECUTION_LOG).drop("event_timestamp", "error_message")
+
+
+def layer_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of the tables after both runs; one of them was never written."""
+    store = _run_parties(spark, folder)
+    tables = [(layer, name) for layer in (BRONZE, SILVER) for name in _PARTIES]
+    tables += [(SILVER, f"{name}{REJECTS_SUFFIX}") for name in _PARTIES]
+    return audit.table_profile(store, [*tables, (AUDIT, EXECUTION_LOG), (AUDIT, WATERMARKS), (SILVER, "orders")])
+
+
+def layer_increment(spark: SparkSession, folder: str) -> DataFrame:
+    """Versions by the run that opened them, and whether the mark stands at the last landing."""
+    store = _run_parties(spark, folder)
+    last = store.read(BRONZE, "customers").agg(F.unix_micros(F.max(INGESTED_AT))).first()[0]
+    stands = audit.get_mark(store, "customers") == last
+    return store.read(SILVER, "customers").select("CustomerID", "City", RUN_ID, IS_CURRENT, F.lit(stands).alias("mark_stands"))
+
+
+def published_gold(spark: SparkSession, folder: str) -> DataFrame:
+    """Two Gold tables rebuilt alone, published to the catalog and read back from there."""
+    store = _run_parties(spark, folder)
+    names = ("dim_customer", "dim_product")
+    build_star(store, "run-2", only=names)
+    database = "gold_" + store.base.rsplit("-", 1)[-1][:12]
+    save_all_to_catalog(store, "run-2", database, names, location=f"{store.base}/catalog")
+    customers, products = (spark.table(f"{database}.{name}") for name in names)
+    return customers.select(
+        F.lit("customer").alias("kind"), F.col("CustomerSK").alias("sk"), F.col("CustomerID").alias("id"), F.col("City").alias("name"),
+        F.col(VALID_FROM).cast(_AS_NTZ).alias("since"),
+    ).unionByName(products.select(
+        F.lit("product").alias("kind"), F.col("ProductSK").alias("sk"), F.col("ProductID").alias("id"), F.col("ProductName").alias("name"),
+        F.lit(None).cast(_AS_NTZ).alias("since"),
+    ))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -734,5 +801,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         product_snapshot,
         key_pool,
         layers_city_sales,
+        layer_rejects,
+        layer_log,
+        layer_profile,
+        layer_increment,
+        published_gold,
     )
 }
