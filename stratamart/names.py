@@ -11,8 +11,9 @@ VALID_FROM = "_SCD_EffectiveStartDate"
 VALID_TO = "_SCD_EffectiveEndDate"
 IS_CURRENT = "_SCD_IsCurrent"
 
-# Partition column of Bronze tables; prunes the incremental scan.
+# Partition columns: of Bronze tables, prunes the incremental scan; of facts, the year and month of the order.
 INGEST_DATE = "_IngestionDate"
+SALES_MONTH = "_SalesMonth"
 
 # Layer names and audit table names.
 RAW, BRONZE, SILVER, GOLD, AUDIT = "raw", "bronze", "silver", "gold", "audit"

@@ -340,6 +340,8 @@ FROM (SELECT 'USD' AS BaseCurrency, *
     "schema_evolve": """SELECT p_partkey, p_name, NULL AS p_brand, NULL AS p_size FROM part WHERE p_size <= 25
 UNION ALL SELECT p_partkey, p_name, p_brand, p_size FROM part WHERE p_size > 25""",
     "partitioned_table": "SELECT o_orderkey, o_orderpriority, o_orderstatus FROM orders",
+    "month_replaced": """SELECT o_orderkey, CASE WHEN month = 199506 AND o_orderkey % 7 <> 0 THEN 0.0::DOUBLE ELSE o_totalprice END AS o_totalprice, month
+FROM (SELECT *, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS month FROM orders)""",
     "evolve_overwrite": "SELECT o_orderkey, o_orderpriority, o_orderstatus FROM orders",
     "incremental_scan": "SELECT event_id, user_id, event_type, value FROM events WHERE ts > TIMESTAMP '2024-01-16'",
     "catalog_preview": """SELECT 'region' AS table_name, least(count(*), 50) AS preview_rows FROM region

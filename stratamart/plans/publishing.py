@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from stratamart.names import GOLD, GOLD_TABLES
+from stratamart.names import GOLD, GOLD_TABLES, SALES_MONTH
 from stratamart.plans.audit import FAILED, STARTED, SUCCESS, RunLog
 from stratamart.plans.landing import raise_failures
 from stratamart.sources.exports import JdbcTarget, save_to_catalog, write_jdbc
@@ -27,7 +27,7 @@ def _publish_each(
             log.add(name, STARTED)
             try:
                 sent = Observation()
-                send(store.read(GOLD, name).observe(sent, F.count(F.lit(1)).alias("rows")), name)
+                send(store.read(GOLD, name).drop(SALES_MONTH).observe(sent, F.count(F.lit(1)).alias("rows")), name)
                 log.add(name, SUCCESS, records_out=sent.get["rows"])
             except Exception as error:
                 log.add(name, FAILED, error=str(error))

@@ -478,6 +478,19 @@ def partitioned_table(spark: SparkSession, folder: str) -> DataFrame:
     return store.read(SILVER, "orders")
 
 
+def month_replaced(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders by month; one month is replaced by corrected rows, then late orders of two months are appended."""
+    store = TableStore(spark, new_work_folder(spark, "months"))
+    day = F.col("o_orderdate")
+    orders = samples.table(spark, folder, "orders").select("o_orderkey", "o_totalprice", (F.year(day) * 100 + F.month(day)).alias("month"))
+    late = (F.col("o_orderkey") % 7 == 0) & F.col("month").isin(199506, 199507)
+    store.write(orders.filter(~F.coalesce(late, F.lit(False))), SILVER, "orders", partition_by=["month"])
+    corrected = store.read(SILVER, "orders").filter("month = 199506").withColumn("o_totalprice", F.lit(0.0))
+    store.replace_partitions(corrected, SILVER, "orders")
+    store.write(orders.filter(late), SILVER, "orders")
+    return store.read(SILVER, "orders")
+
+
 def evolve_overwrite(spark: SparkSession, folder: str) -> DataFrame:
     """A partitioned table overwritten with a new column, then appended to."""
     store = TableStore(spark, new_work_folder(spark, "overwrite"))
@@ -785,6 +798,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         upsert_watermark,
         schema_evolve,
         partitioned_table,
+        month_replaced,
         evolve_overwrite,
         incremental_scan,
         catalog_preview,

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratamart.functions.calendar import calendar_columns, date_key
@@ -14,6 +14,8 @@ from stratamart.names import (
     GOLD,
     IS_CURRENT,
     REJECTED,
+    RUN_ID,
+    SALES_MONTH,
     SILVER,
     STORE_CURRENCY,
     VALID_FROM,
@@ -155,14 +157,23 @@ def _silver(store: TableStore, name: str) -> DataFrame:
     return accepted(store.read(SILVER, name))
 
 
-def _gold_fact(store: TableStore) -> DataFrame:
-    return build_fact_sales(
-        _silver(store, "orders"),
+def _gold_fact(store: TableStore, months: Sequence[int] | None = None) -> DataFrame:
+    """Facts with their month, of all orders or of those of some months."""
+    orders = _silver(store, "orders")
+    if months is not None:
+        orders = orders.filter(_month(F.col("OrderDate")).isin(list(months)))
+    fact = build_fact_sales(
+        orders,
         store.read(GOLD, "dim_customer"),
         store.read(GOLD, "dim_product"),
         _silver(store, "exchange_rates"),
         may_overlap=store.may_overlap(SILVER, "customers"),
     )
+    return fact.withColumn(SALES_MONTH, F.floor(F.col("DateSK") / 100).cast("int"))
+
+
+def _month(day: Column) -> Column:
+    return F.year(day) * 100 + F.month(day)
 
 
 # Gold tables, dimensions before facts before aggregates.
@@ -194,10 +205,33 @@ def build_star(store: TableStore, run_id: str, only: Iterable[str] | None = None
             try:
                 written = Observation()
                 built = GOLD_BUILDERS[name](store).observe(written, F.count(F.lit(1)).alias("rows"))
-                store.write(built, GOLD, name, "overwrite")
+                parts = [SALES_MONTH] if name == "fact_sales" else []
+                store.write(built, GOLD, name, "overwrite", partition_by=parts)
                 rows[name] = written.get["rows"]
                 log.add(name, SUCCESS, records_out=rows[name])
             except Exception as error:
                 log.add(name, FAILED, error=str(error))
                 raise
     return rows
+
+
+def refresh_facts(store: TableStore, run_id: str) -> list[int]:
+    """Rebuild the facts of the months that got orders in this run, against the dimensions that stand; returns the months.
+
+    Facts of other months are not touched. Rebuild all with :func:`build_star` once
+    dimensions were rebuilt, as that numbers their rows anew.
+    """
+    arrived = _silver(store, "orders").filter(F.col(RUN_ID) == run_id)
+    months = sorted(r[0] for r in arrived.select(_month(F.col("OrderDate"))).distinct().collect())
+    with RunLog(store, run_id, GOLD) as log:
+        log.add("fact_sales", STARTED)
+        try:
+            if months:
+                written = Observation()
+                facts = _gold_fact(store, months).observe(written, F.count(F.lit(1)).alias("rows"))
+                store.replace_partitions(facts.hint("rebalance", F.col(SALES_MONTH)), GOLD, "fact_sales")
+            log.add("fact_sales", SUCCESS, records_out=written.get["rows"] if months else 0)
+        except Exception as error:
+            log.add("fact_sales", FAILED, error=str(error))
+            raise
+    return months

@@ -4,7 +4,8 @@ A table folder holds parquet snapshots ``_snapshot=<n>`` and one small ``_live.j
 names the live snapshot and the table's columns. Appends add files to the live
 snapshot; overwrites write the next one and then switch, so a job may read the table
 it replaces and a failed write leaves the old one live. One writer at a time is assumed.
-Columns come from ``_live.json``; reading does not open file footers.
+Columns come from ``_live.json``; reading does not open file footers. Where partitions
+were replaced, ``_live.json`` also names the snapshot of each of these.
 
 History tables keep every version, split by ``_SCD_IsCurrent`` and by buckets of the
 key's hash. ``_live.json`` names for each bucket the snapshot with its current rows, so
@@ -68,6 +69,9 @@ class _Live:
     version: int
     schema: T.StructType
     partition_by: tuple[str, ...] = ()
+    #: Of a table whose partitions were replaced: the snapshot of the others, and of each of these by its value.
+    base: int | None = None
+    parts: dict[str, int] = field(default_factory=dict)
     #: Of a history table: the snapshot of each bucket's current rows, and their number.
     buckets: tuple[int, ...] = ()
     keys: int = 0
@@ -80,6 +84,18 @@ class _Live:
     def history(self) -> bool:
         return bool(self.buckets)
 
+    @property
+    def snapshot(self) -> int:
+        """The snapshot of all rows whose partition was not replaced."""
+        return self.version if self.base is None else self.base
+
+    def snapshot_of(self) -> Column:
+        """The snapshot that a row's partition lives in."""
+        if not self.parts:
+            return F.lit(self.snapshot)
+        known = F.create_map(*[F.lit(x) for pair in self.parts.items() for x in pair])
+        return F.coalesce(F.try_element_at(known, _part_value(self.partition_by[0])), F.lit(self.snapshot))
+
     def to_json(self) -> str:
         return json.dumps({f.name: getattr(self, f.name) for f in fields(self)} | {"schema": self.schema.jsonValue()})
 
@@ -126,7 +142,10 @@ class TableStore:
         path = self.path(layer, name)
         reader = self.spark.read.format(self.file_format)
         if not live.history:
-            return reader.schema(live.schema).load(f"{path}/{_SNAPSHOT}={live.version}").select(*live.schema.names)
+            if not live.parts:
+                return reader.schema(live.schema).load(f"{path}/{_SNAPSHOT}={live.snapshot}").select(*live.schema.names)
+            rows = reader.schema(T.StructType([*live.schema.fields, T.StructField(_SNAPSHOT, T.IntegerType())])).load(path)
+            return rows.filter(F.col(_SNAPSHOT) == live.snapshot_of()).select(*live.schema.names)
         return self._history_rows(layer, name, live).drop(_BUCKET)
 
     def _history_rows(self, layer: str, name: str, live: _Live) -> DataFrame:
@@ -170,22 +189,41 @@ class TableStore:
             if gained and not merge_schema:
                 raise SchemaConflict(f"{layer}.{name} has no columns {gained}")
             schema = widened(live.schema, schema)
-        target = _Live(
-            version=live.version if appending else (live.version + 1 if live else 1),
-            schema=schema,
-            partition_by=live.partition_by if appending else tuple(partition_by),
-        )
+        if appending:
+            target = replace(live, schema=schema)
+        else:
+            target = _Live(live.version + 1 if live else 1, schema, tuple(partition_by))
         self._save(df, layer, name, target, "append" if appending else "overwrite")
         if target != live:
             self._switch(layer, name, target)
         return gained
 
     def _save(self, df: DataFrame, layer: str, name: str, target: _Live, mode: str) -> None:
-        """Write rows to the snapshot of ``target``, partitioned as the table is."""
+        """Write rows to the snapshots of ``target``, partitioned as the table is."""
+        path, keys = f"{self.path(layer, name)}/{_SNAPSHOT}={target.snapshot}", target.partition_by
+        if target.parts:
+            df, path, keys = df.withColumn(_SNAPSHOT, target.snapshot_of()), self.path(layer, name), (_SNAPSHOT, *keys)
         writer = df.write.format(self.file_format).mode(mode)
-        if target.partition_by:
-            writer = writer.partitionBy(*target.partition_by)
-        writer.save(f"{self.path(layer, name)}/{_SNAPSHOT}={target.version}")
+        (writer.partitionBy(*keys) if keys else writer).save(path)
+
+    def replace_partitions(self, df: DataFrame, layer: str, name: str) -> list[str]:
+        """Put ``df`` in place of all rows of the partitions that it has rows of; returns their values.
+
+        For tables partitioned by one column. The new rows become visible by one switch,
+        which names the snapshot of each replaced partition; files of other partitions
+        are neither read nor written, and later appends go where their partition lives.
+        """
+        live = self._require(layer, name)
+        if len(live.partition_by) != 1 or live.history:
+            raise ValueError(f"{layer}.{name} is not partitioned by one column")
+        key, version = live.partition_by[0], live.version + 1
+        target = replace(live, version=version, schema=widened(live.schema, _nullable(df.schema)), base=live.snapshot)
+        path = f"{self.path(layer, name)}/{_SNAPSHOT}={version}"
+        df.write.format(self.file_format).mode("overwrite").partitionBy(key).save(path)
+        written = self.spark.read.format(self.file_format).schema(target.schema).load(path)
+        values = sorted(row[0] for row in written.select(_part_value(key)).distinct().collect())
+        self._switch(layer, name, replace(target, parts={**live.parts, **dict.fromkeys(values, version)}))
+        return values
 
     def evolve_and_write(self, df: DataFrame, layer: str, name: str, mode: str = "append") -> list[str]:
         """Create the table, or add the frame's new columns to it and write.
@@ -197,7 +235,7 @@ class TableStore:
             return self.write(df, layer, name, "overwrite" if live is None else "append")
         gained = [f.name for f in new_columns(live.schema, df.schema)]
         schema = widened(live.schema, df.schema)
-        target = replace(live, version=live.version + 1, schema=schema)
+        target = replace(live, version=live.version + 1, schema=schema, base=None, parts={})
         self._save(df, layer, name, target, "overwrite")
         self._switch(layer, name, target)
         return gained
@@ -298,5 +336,10 @@ def _bucket_of(key: str, count: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(count)).cast("int").alias(_BUCKET)
 
 
+def _part_value(key: str) -> Column:
+    """A partition's value as text; NULL has its own."""
+    return F.coalesce(F.col(key).cast("string"), F.lit("\0"))
+
+
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])

@@ -50,3 +50,9 @@ def without_coalescing(spark):
     spark.conf.set(key, "false")
     yield
     spark.conf.set(key, "true")
+
+
+@pytest.fixture
+def explained(spark):
+    """The formatted plan of a frame, whose long lists are not cut off."""
+    return lambda df: spark.sparkContext._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")

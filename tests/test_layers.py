@@ -1,6 +1,7 @@
 """Two runs over raw files: seed, then an increment."""
 
 import os
+import re
 from datetime import date
 
 import pytest
@@ -11,7 +12,7 @@ from stratamart.plans.audit import get_mark, run_summary
 from stratamart.plans.landing import LayerFailed, land_all
 from stratamart.plans.publishing import save_all_to_catalog
 from stratamart.plans.refining import refine_all
-from stratamart.plans.star import build_star
+from stratamart.plans.star import build_star, refresh_facts
 from stratamart.sources.tables import TableStore
 from stratamart.spec import REGISTRY, DatasetSpec
 
@@ -152,6 +153,36 @@ def test_nothing_new_changes_nothing(lake):
     assert store.read(SILVER, "orders").count() == before
 
 
+def test_gold_tables_one_by_one(lake):
+    store = lake[0]
+    assert build_star(store, "run-4", only=["agg_sales_by_category", "dim_date"]) == {"dim_date": store.read(GOLD, "dim_date").count(), "agg_sales_by_category": 2}
+    with pytest.raises(KeyError, match="no_such"):
+        build_star(store, "run-4", only=["no_such"])
+    log = store.read(AUDIT, "pipeline_execution_log").filter("pipeline_run_id = 'run-4'")
+    assert sorted((r.dataset, r.status) for r in log.collect()) == [
+        (name, status) for name in ("agg_sales_by_category", "dim_date") for status in ("STARTED", "SUCCESS")
+    ]
+
+
+def test_facts_of_changed_months_are_rebuilt(lake, explained):
+    """Runs last, as it adds an order."""
+    store = lake[0]
+
+    def files(month):
+        return {r[0] for r in store.read(GOLD, "fact_sales").filter(f"_SalesMonth = {month}").select(F.input_file_name()).collect()}
+
+    february, july = files(202402), files(202407)
+    assert february and july and refresh_facts(store, "nothing") == []
+    put(store, "orders", "o9.csv", ORDERS + "70,1,1,2024-07-20,3,10.00,ST001\n")
+    land_all(store, "run-9", {"orders": REGISTRY["orders"]})
+    refine_all(store, "run-9", {"orders": REGISTRY["orders"]})
+    assert refresh_facts(store, "run-9") == [202407]
+    assert files(202402) == february and not files(202407) & july
+    assert sorted(r.OrderID for r in store.read(GOLD, "fact_sales").collect()) == [1, 2, 6, 70]
+    plan = explained(store.read(GOLD, "fact_sales").filter("_SalesMonth = 202407"))
+    assert re.search(r"PartitionFilters: .*_SalesMonth#\d+ = 202407", plan) and re.search(r"PartitionFilters: .*_snapshot#\d+ = ", plan)
+
+
 def test_failures_are_collected_and_raised_at_the_end(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     put(store, "bad", "b.csv", "a\n1\n")

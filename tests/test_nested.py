@@ -67,3 +67,9 @@ def test_payloads_that_differ_keep_all_keys_and_values(spark, rows):
     assert sorted((r for r in got if any(v is not None for v in r)), key=repr) == sorted(
         [(1.0, None, None, None), (2.0, 3, None, "t"), (2.5, None, None, None), (None, None, "1", None), (None, None, "one", None)], key=repr
     )
+
+
+def test_taken_names_get_a_number(spark):
+    df = spark.createDataFrame([((1, 2), 3, 4)], "a struct<b: int, B_2: int>, A_b int, a_b_2 int")
+    out = flatten(df)
+    assert out.columns == ["A_b", "a_b_2", "a_b_3", "a_B_2_2"] and tuple(out.first()) == (3, 4, 1, 2)

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +122,39 @@ def test_overwriting_a_partitioned_table_keeps_its_layout(spark, store):
     store.evolve_and_write(df.selectExpr("*", "'x' as more"), "silver", "t", "overwrite")
     store.evolve_and_write(df, "silver", "t")
     assert store.read("silver", "t").count() == 12
+
+
+def files_of(df):
+    return {r[0] for r in df.select(F.input_file_name()).distinct().collect()}
+
+
+def test_replacing_a_partition_leaves_the_others(spark, store, rows, explained):
+    df = spark.createDataFrame([(k, k % 3) for k in range(9)] + [(9, None)], "id int, p int")
+    store.write(df, SILVER, "t", partition_by=["p"])
+    before = files_of(store.read(SILVER, "t").filter("p = 0 or p is null"))
+    assert store.replace_partitions(spark.createDataFrame([(100, 1), (101, 7)], "id int, p int"), SILVER, "t") == ["1", "7"]
+    expected = [(100, 1), (101, 7), (9, None)] + [(k, k % 3) for k in range(9) if k % 3 != 1]
+    assert rows(store.read(SILVER, "t")) == sorted(expected, key=repr)
+    assert files_of(store.read(SILVER, "t").filter("p = 0 or p is null")) == before
+    # Appends reach replaced, old and new partitions; a second replacement wins over both.
+    store.write(spark.createDataFrame([(1, 1), (2, 2), (3, 50), (4, None)], "id int, p int"), SILVER, "t")
+    expected += [(1, 1), (2, 2), (3, 50), (4, None)]
+    assert rows(store.read(SILVER, "t")) == sorted(expected, key=repr)
+    store.replace_partitions(spark.createDataFrame([(5, 1, "x"), (6, None, "y")], "id int, p int, more string"), SILVER, "t")
+    expected = [(*r, None) for r in expected if r[1] not in (1, None)] + [(5, 1, "x"), (6, None, "y")]
+    assert rows(store.read(SILVER, "t"), "id", "p", "more") == sorted(expected, key=repr)
+    part = store.read(SILVER, "t").filter("p = 1")
+    assert re.search(r"PartitionFilters: .*p#\d+ = 1", explained(part)) and part.count() == 1
+    store.write(df, SILVER, "t", "overwrite", partition_by=["p"])
+    assert store.read(SILVER, "t").count() == 10
+    store.write(df, SILVER, "plain")
+    with pytest.raises(ValueError, match="partitioned"):
+        store.replace_partitions(df, SILVER, "plain")
+
+
+def test_a_partition_may_be_replaced_from_itself(spark, store, rows):
+    df = spark.range(6).selectExpr("id", "cast(id % 2 as int) as p")
+    store.write(df, SILVER, "t", partition_by=["p"])
+    for _ in range(3):
+        store.replace_partitions(store.read(SILVER, "t").filter("p = 1").withColumn("id", F.col("id") + 10), SILVER, "t")
+    assert rows(store.read(SILVER, "t"), "id") == sorted([(0,), (2,), (4,), (31,), (33,), (35,)], key=repr)
