@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.session import stored
@@ -23,14 +24,19 @@ def dense_surrogate_key(
     rows = stored(df.orderBy(*order), "ordered").select(
         "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_place")
     )
-    # Writers number their files; a task that fills several numbers these as well.
-    number = [F.regexp_extract("_file", pattern, 1).try_cast("long") for pattern in (r"^part-(\d+)", r"-c(\d+)[.]")]
-    earlier = Window.orderBy(*number, "_file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        rows.groupBy("_file")
-        .agg(F.count("*").alias("_rows"))
-        .select("_file", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
-    )
-    return rows.join(F.broadcast(starts), "_file").select(
+    # One number per file, so no more of them than the sort had ranges.
+    counts = {r["_file"]: r["count"] for r in rows.groupBy("_file").count().collect()}
+    starts, before = [], 0
+    for file in sorted(counts, key=_file_number):
+        starts.append((file, before))
+        before += counts[file]
+    first = df.sparkSession.createDataFrame(starts, "_file string, _start bigint")
+    return rows.join(F.broadcast(first), "_file").select(
         (F.col("_start") + F.col("_place") + 1).cast(key_type).alias(name), *df.columns
     )
+
+
+def _file_number(name: str) -> tuple[int, int]:
+    """Writers number their files; a task that fills several numbers these as well."""
+    task, part = re.match(r"part-(\d+)", name), re.search(r"-c(\d+)[.]", name)
+    return int(task[1]) if task else 0, int(part[1]) if part else 0

@@ -341,6 +341,7 @@ def _sales(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
         products,
         samples.exchange_rates(spark, folder),
         may_overlap=False,
+        repeats=False,
     )
     return fact, products
 

@@ -89,16 +89,16 @@ def keyed_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """One raw order per OrderID."""
+    """One raw order per OrderID; what groups by it next finds the rows together already."""
     key = F.col("id")
-    lines = first_per_key(keyed_lines(spark, folder), ["id"], [F.col(c).asc() for c in LINE_ORDER])
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = keyed_lines(spark, folder).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = first_per_key(lines.withColumn("OrderID", key.cast("string")), ["OrderID"], [F.col(c).asc() for c in LINE_ORDER])
     customer = F.when(_every(key, 23, 1), F.col("o_custkey") + NOWHERE).otherwise(F.col("o_custkey"))
     product = F.when(_every(key, 29, 2), F.col("l_partkey") + NOWHERE).otherwise(F.col("l_partkey"))
     store = F.concat(F.lit("ST"), F.lpad((F.col("l_suppkey") % 10 + 1).cast("string"), 3, "0"))
     return lines.select(
-        key.cast("string").alias("OrderID"),
+        "OrderID",
         customer.cast("string").alias("CustomerID"),
         product.cast("string").alias("ProductID"),
         F.when(_every(key, 43, 3), "1998-13-01").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("OrderDate"),

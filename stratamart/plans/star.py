@@ -76,23 +76,29 @@ def build_fact_sales(
     base: str = BASE_CURRENCY,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     may_overlap: bool | None = None,
+    repeats: bool = True,
 ) -> DataFrame:
     """One row per order: versions that held on its date, last rate by then, measures.
 
-    Orders repeated across batches are settled first, so no later step has to. Sides
+    Orders repeated across batches are settled first, so no later step has to; orders of
+    a single batch have none, say so by ``repeats``. Sides
     below Spark's broadcast threshold are broadcast, and then orders that do not repeat
     are not shuffled at all; ``max_broadcast_rows`` bounds the repeated keys, stores and
     rates that are. Pass stored orders, as they are scanned more than once, and as
     ``may_overlap`` what the history behind the customers says of its versions.
     """
-    currencies = store_currencies(orders.sparkSession) if currencies is None else currencies
+    if currencies is None:
+        currencies = F.broadcast(store_currencies(orders.sparkSession))
+    else:
+        currencies = broadcast_within(currencies, max_broadcast_rows)
     products = dim_product.select("ProductID", "ProductSK", "CostPrice")
-    rows = settle_repeats(orders.drop(REJECTED), ["OrderID"], max_broadcast_rows).select(
-        "OrderID", "CustomerID", "ProductID", "OrderDate", "Quantity", "UnitPrice", "StoreCode"
-    )
+    rows = orders.drop(REJECTED)
+    if repeats:
+        rows = settle_repeats(rows, ["OrderID"], max_broadcast_rows)
+    rows = rows.select("OrderID", "CustomerID", "ProductID", "OrderDate", "Quantity", "UnitPrice", "StoreCode")
     rows = point_in_time_join(rows, dim_customer, "CustomerID", "OrderDate", ["CustomerSK"], may_overlap=may_overlap)
     rows = rows.join(products, "ProductID", "left")
-    rows = rows.join(broadcast_within(currencies, max_broadcast_rows), "StoreCode", "left")
+    rows = rows.join(currencies, "StoreCode", "left")
     rows = rows.withColumn("LocalCurrency", F.coalesce("LocalCurrency", F.lit(base)))
     rows = as_of_join(
         rows, latest_rates(rates, base), {"LocalCurrency": "TargetCurrency"}, "OrderDate", "RateDate",
