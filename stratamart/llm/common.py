@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from itertools import count
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratamart.session import new_work_folder
 
@@ -41,6 +45,29 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def apart(docs: DataFrame, needed: Sequence[str], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``work`` makes of ``docs``, whose columns but the ``needed`` ones it sees as one.
+
+    ``work`` filters or changes rows and keeps that one column, so whatever the others
+    are named, they meet no column of its own and come back as they were. Columns that
+    ``work`` adds follow those of ``docs``; a name that is taken gets a number.
+    """
+    wanted = {name.lower() for name in needed}
+    named = [c for c in docs.columns if c.lower() in wanted]
+    others = [c for c in docs.columns if c.lower() not in wanted]
+    if not others:
+        return work(docs)
+    packed = docs.select(*named, F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(others)]).alias("_packed"))
+    made = work(packed)
+    taken, added = {c.lower() for c in docs.columns}, []
+    for c in made.columns:
+        if c not in named and c != "_packed":
+            free = next(n for k in count(1) if (n := c if k == 1 else f"{c}_{k}").lower() not in taken)
+            taken.add(free.lower())
+            added.append(F.col(f"`{c}`").alias(free))
+    return made.select(*[F.col(f"`{c}`") if c in named else F.col("_packed")[f"c{others.index(c)}"].alias(c) for c in docs.columns], *added)
+
+
 def framed(rows: list[tuple], *names: str) -> pd.DataFrame:
     """Rows of plain values as a frame whose columns keep their types, None and lists included."""
     return pd.DataFrame(rows, columns=list(names), dtype=object)

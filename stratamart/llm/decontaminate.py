@@ -92,12 +92,16 @@ class Items:
         self.tokens = [token_hashes(text) for _, text in rows]
         self.shortest = shortest
         hashes, owners, at = [], [], []
+        #: An item shorter than a tile is one run of its own length: hash to items, by length.
+        self.short: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
         for k, tokens in enumerate(self.tokens):
-            # An item shorter than a tile is one run of its own length.
+            if 0 < len(tokens) < shortest:
+                self.short[len(tokens)][int(windows(tokens, len(tokens))[0])].append(k)
             for i, h in enumerate(windows(tokens, shortest).tolist()):
                 hashes.append(h)
                 owners.append(k)
                 at.append(i)
+        self.short = {length: dict(runs) for length, runs in self.short.items()}
         order = np.argsort(np.array(hashes, np.uint64), kind="stable")
         self.hashes = np.array(hashes, np.uint64)[order]
         self.owners, self.at = np.array(owners, np.int64)[order], np.array(at, np.int64)[order]
@@ -105,9 +109,13 @@ class Items:
     def covered(self, text: str | None, cover: float) -> list[tuple[int | None, int, int, float]]:
         """(item, tiles, tokens tiled, share) of every item that ``text`` covers enough of."""
         doc = token_hashes(text)
+        out = []
+        for length, runs in self.short.items():
+            met = np.intersect1d(windows(doc, length), np.fromiter(runs, np.uint64, len(runs)))
+            out += [(self.ids[k], 1, length, 1.0) for h in met.tolist() for k in runs[h]]
         seen = windows(doc, self.shortest)
         if not len(seen) or not len(self.hashes):
-            return []
+            return out
         first = np.searchsorted(self.hashes, seen)
         hit = np.flatnonzero(self.hashes[np.minimum(first, len(self.hashes) - 1)] == seen)
         found: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
@@ -115,7 +123,6 @@ class Items:
         for d, lo, hi in zip(hit.tolist(), first[hit].tolist(), last.tolist(), strict=True):
             for k in range(lo, hi):
                 found[int(self.owners[k])][d - int(self.at[k])].append(int(self.at[k]))
-        out = []
         for k, seeds in sorted(found.items()):
             item = self.tokens[k]
             # Seeds bound what tiles can cover, so most chance hits need no tiling.
@@ -150,8 +157,9 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, cover: float = COVER,
     """Pairs of documents and items: doc_id, item_id, n_tiles, n_tokens, coverage.
 
     ``coverage`` is the share of the item's tokens that the tiles hold, at least
-    ``cover``. Items with fewer than ``shortest`` words, empty and null ones are never
-    found, nor are null and empty documents. Repeated documents each give their rows;
+    ``cover``. An item with fewer than ``shortest`` words is one tile, found where all its
+    words stand in a row. Items without words are never found, nor are null and empty
+    documents. Repeated documents each give their rows;
     repeated items count once. Ids may be null. Other columns are not read; an empty
     table on either side gives no rows. The benchmark meets all documents block by
     block, each block of a bounded size sent to the tasks; nothing is shuffled.

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import framed, mixed, shingles, small_batches, stored
+from .common import apart, framed, mixed, shingles, small_batches, stored
 
 #: Two sets link when ``100 * common >= PERCENT * union``.
 PERCENT = 80
@@ -197,9 +197,13 @@ def near_classes(docs: DataFrame) -> DataFrame:
 def representatives(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each class of linked texts: the smallest id, null last, then by a hash of the text.
 
-    Rows without words link with nothing and stay. All columns are kept. Texts are
-    shuffled once, to meet the rows that stay.
+    Rows without words link with nothing and stay. All columns are kept as they are,
+    whatever their names. Texts are shuffled once, to meet the rows that stay.
     """
+    return apart(docs, ("doc_id", "text"), _representatives)
+
+
+def _representatives(docs: DataFrame) -> DataFrame:
     classes = near_classes(docs)
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
     kept = classes.where("class is not null").groupBy("class").agg(best.alias("best"))

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import apart
+
 # The patterns of the base spans, in the order of their kinds.
 ASSIGN = "(?i)(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 ACCESS = "AKIA[A-Z0-9]{12,}"
@@ -248,7 +250,15 @@ def scan_secrets(docs: DataFrame, rate: float = RATE) -> DataFrame:
 
 
 def redacted(docs: DataFrame, mark: str = "[SECRET]", rate: float = RATE) -> DataFrame:
-    """``docs`` with every span of its texts replaced by ``mark``; overlapping spans become one mark."""
+    """``docs`` with every span of its texts replaced by ``mark``; overlapping spans become one mark.
+
+    ``n_chars``, if there is such a column, follows the text; all other columns stay as
+    they are, whatever their names.
+    """
+    return apart(docs, ("text", "n_chars"), lambda rows: _redacted(rows, mark, rate))
+
+
+def _redacted(docs: DataFrame, mark: str, rate: float) -> DataFrame:
     text = F.col("text")
 
     def cut(done, s):

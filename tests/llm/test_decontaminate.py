@@ -62,3 +62,13 @@ def test_edges(spark, documents):
     assert contaminations(documents(EDGES).limit(0), items).count() == 0
     assert without_leaks(documents(EDGES), items).count() == len(EDGES)
     assert len(token_hashes(None)) == 0
+
+
+def test_short_items_are_one_run(spark, documents):
+    """Items of 1 to 4 words, alone, inside a text and in another order, in texts shorter than a tile as well."""
+    items = spark.createDataFrame([(1, "Zebra"), (2, "red fox"), (3, "red fox runs"), (4, "a red fox runs"), (5, "!! ."), (6, "")], "item_id long, text string")
+    rows = [(10, "a red fox runs"), (11, "the red fox, the zebra and others of that kind"), (12, "fox red"), (13, "zebra"), (14, "runs red fox runs"), (15, ""), (16, None)]
+    got = sorted((r["doc_id"], r["item_id"], r["n_tiles"], r["n_tokens"], r["coverage"]) for r in contaminations(documents(rows), items).collect())
+    pairs = [(10, 2, 2), (10, 3, 3), (10, 4, 4), (11, 1, 1), (11, 2, 2), (13, 1, 1), (14, 2, 2), (14, 3, 3)]
+    assert got == [(d, k, 1, n, 1.0) for d, k, n in pairs]
+    assert sorted(r["doc_id"] for r in without_leaks(documents(rows), items).collect()) == [12, 15, 16]
