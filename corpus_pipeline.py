@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import stored, table
+from stratamart.llm.common import apart, stored, table
 from stratamart.llm.decontaminate import without_leaks
 from stratamart.llm.jaccard import representatives
 from stratamart.llm.language import UNKNOWN, fit, identify
@@ -24,8 +24,13 @@ LEAST_SCORE = 0.4
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; those without letters or with an unclear language go."""
-    rows = identify(docs, fit(docs)).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return rows.select(*docs.columns)
+    model = fit(docs)
+
+    def recognised(rows: DataFrame) -> DataFrame:
+        known = identify(rows, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+        return known.drop("lang_pred", "score")
+
+    return apart(docs, ("text",), recognised).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +50,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as its source's target asks for, with its number among its copies."""
-    return emitted(mix(docs)).select(*docs.columns, "size", "copy")
+    needed = ("doc_id", "source", "text")
+    return apart(docs, needed, lambda rows: emitted(mix(rows)).drop("source_size", "target", "copies", "taken"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -56,7 +62,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("source_mix", source_mix),
 ]
 
-#: Two stages cannot be stated in SQL; tests compare all of them with plain versions.
+#: Two stages cannot be stated in SQL; tests/llm/test_pipeline.py tests the stages and their chain on a small corpus.
 ORACLE_SQL = None
 
 
