@@ -437,6 +437,13 @@ UNION ALL SELECT 'audit', 'pipeline_execution_log', count(*) FROM log
 UNION ALL SELECT 'audit', 'silver_watermark', 1""",
     "layer_increment": f"""WITH {_PARTIES}
 SELECT CustomerID, City, run AS _AdfPipelineRunId, is_current AS _SCD_IsCurrent, true AS mark_stands FROM versions""",
+    "failed_dataset": """SELECT dataset, status, CASE WHEN status = 'SUCCESS' THEN (SELECT count(*) FROM part) END AS records_in,
+  CASE WHEN status = 'FAILED' THEN 2000 END::INTEGER AS error_chars, 'silver failed for 1 dataset(s)' AS raised
+FROM (VALUES ('broken', 'STARTED'), ('broken', 'FAILED'), ('sound', 'STARTED'), ('sound', 'SUCCESS')) v(dataset, status)""",
+    "audit_columns": """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate,
+  CAST(NULL AS DECIMAL(10,2)) AS o_discount, 'orders.csv' AS _SourceFile, 'run-2' AS _AdfPipelineRunId, true AS stamped,
+  11 AS n_columns
+FROM orders""",
     "published_gold": f"""WITH {_PARTIES}
 SELECT 'customer' AS kind, CAST(row_number() OVER (ORDER BY CustomerID, since) AS INTEGER) AS sk, CustomerID AS id, City AS name, since FROM versions
 UNION ALL

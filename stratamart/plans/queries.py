@@ -22,6 +22,7 @@ from stratamart.names import (
     REJECTS_SUFFIX,
     RUN_ID,
     SILVER,
+    SOURCE_FILE,
     VALID_FROM,
     VALID_TO,
     WATERMARKS,
@@ -32,6 +33,13 @@ from stratamart.functions.measures import exact_sum
 from stratamart.operators import change_batches
 from stratamart.operators.dedupe import drop_repeats
 from stratamart.operators.nested import flatten, parse_payload, wide_to_long
+from stratamart.operators.projection import (
+    add_landing_audit,
+    add_missing,
+    add_processing_audit,
+    all_as_strings,
+    drop_technical,
+)
 from stratamart.operators.quality import (
     accepted,
     cast_columns,
@@ -43,7 +51,7 @@ from stratamart.operators.quality import (
 from stratamart.operators.scd2 import fold_batch
 from stratamart.operators.temporal import as_of_join, current_version_join, point_in_time_join
 from stratamart.plans import audit, samples
-from stratamart.plans.landing import land_all
+from stratamart.plans.landing import LayerFailed, land_all
 from stratamart.plans.publishing import save_all_to_catalog
 from stratamart.plans.refining import refine_all, reshape
 from stratamart.plans.star import (
@@ -72,7 +80,7 @@ from stratamart.sources.files import (
     rows_of,
 )
 from stratamart.sources.tables import TableStore
-from stratamart.spec import CUSTOMERS, EXCHANGE_RATES, ORDERS, PRODUCTS, History, RefCheck
+from stratamart.spec import CUSTOMERS, EXCHANGE_RATES, ORDERS, PRODUCTS, DatasetSpec, History, RefCheck
 from stratamart.streaming.files import land_stream, refine_history_stream
 
 USER_HISTORY = History(key="user_id", tracked=("event_type",), effective="ts")
@@ -737,6 +745,33 @@ def layer_increment(spark: SparkSession, folder: str) -> DataFrame:
     return store.read(SILVER, "customers").select("CustomerID", "City", RUN_ID, IS_CURRENT, F.lit(stands).alias("mark_stands"))
 
 
+def failed_dataset(spark: SparkSession, folder: str) -> DataFrame:
+    """One dataset breaks with a very long message; the other is refined, and the log tells of both."""
+    store = TableStore(spark, new_work_folder(spark, "failing"))
+    columns = {"p_partkey": "int", "p_name": "string", "p_brand": "string"}
+    breaks = "raise_error(repeat('x', 3000)) IS NULL"
+    registry = {"broken": DatasetSpec("broken", columns, reject_when=(breaks,)), "sound": DatasetSpec("sound", columns)}
+    for name in registry:
+        write_csv(samples.table(spark, folder, "part").select(*columns), f"{store.path(RAW, name)}/seed")
+    land_all(store, "run-1", registry)
+    try:
+        refine_all(store, "run-1", registry)
+    except LayerFailed as failure:
+        failed = str(failure).partition(":")[0]
+    log = store.read(AUDIT, EXECUTION_LOG).filter(F.col("layer") == SILVER)
+    return log.select("dataset", "status", "records_in", F.length("error_message").alias("error_chars"), F.lit(failed).alias("raised"))
+
+
+def audit_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as text with the columns of a landing, then without all but two of these, completed and stamped by cleaning."""
+    landed = add_landing_audit(all_as_strings(samples.table(spark, folder, "orders")), "run-1")
+    landed = landed.withColumns({SOURCE_FILE: F.lit("orders.csv"), "_Checked": F.lit(True)})
+    plain = add_missing(drop_technical(landed), {"o_orderkey": "bigint", "o_discount": "decimal(10,2)"})
+    done = add_processing_audit(plain, "run-2")
+    stamped = F.col(INGESTED_AT).isNotNull() & (F.col(INGESTED_AT) <= F.col(PROCESSED_AT))
+    return done.select("o_orderkey", "o_orderdate", "o_discount", SOURCE_FILE, RUN_ID, stamped.alias("stamped"), F.lit(len(done.columns)).alias("n_columns"))
+
+
 def published_gold(spark: SparkSession, folder: str) -> DataFrame:
     """Two Gold tables rebuilt alone, published to the catalog and read back from there."""
     store = _run_parties(spark, folder)
@@ -820,6 +855,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         layer_log,
         layer_profile,
         layer_increment,
+        failed_dataset,
+        audit_columns,
         published_gold,
     )
 }
