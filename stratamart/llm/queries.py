@@ -63,10 +63,12 @@ def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_warc_index(spark: SparkSession, folder: str) -> DataFrame:
-    path = new_work_folder(spark, "warc")
-    warc.write_archives(table(spark, folder, "pages"), f"{path}/archives")
+    path, pages = new_work_folder(spark, "warc"), table(spark, folder, "pages")
+    warc.write_archives(pages, f"{path}/archives")
     warc.write_index(spark, f"{path}/archives", f"{path}/index")
-    rows = warc.read_all(spark, f"{path}/archives", f"{path}/index")
+    # All pages are looked up; a null url was written as an empty one.
+    urls = pages.select(F.coalesce("url", F.lit("")).alias("url"))
+    rows = warc.look_up(urls, f"{path}/archives", f"{path}/index", payloads=False)
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

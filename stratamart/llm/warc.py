@@ -3,19 +3,21 @@
 Pages become gzip members of WARC files. The index keeps one line per record, sorted by
 reversed-host URL keys and cut into compressed blocks; a sparse directory has the first
 and last key of each block. A look-up searches the directory by bisection, opens the few
-blocks that can hold its keys, and cuts the records' byte ranges out of the archives.
+blocks that can hold its keys, and reads the records' byte ranges from the archives.
 """
 
 from __future__ import annotations
 
 import bisect
 import json
+import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from hashlib import sha256
 from urllib.parse import quote
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,19 +29,32 @@ LEAST_REVISIT = 100
 ARCHIVE_BYTES = 8_000_000
 #: Index lines per compressed block.
 BLOCK_LINES = 500
-#: Directory rows that a task searches at once; larger directories are searched in parts.
-DIRECTORY_ROWS = 200_000
+#: Blocks per shard of the directory. The driver sees two keys a shard, so two per 100,000 lines.
+SHARD_BLOCKS = 200
+#: Bytes that one positioned read takes at most unless a record is larger, and the gap between ranges that it reads over.
+READ_BYTES, GAP = 4 << 20, 64 << 10
+#: Bytes of records that a task reads where there are more tasks than cores anyway.
+TASK_BYTES = 128 << 20
 # Form of records.
 VERSION, PROFILE = "WARC/1.1", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
 
+DIRECTORY = "shard string, block string, first string, last string"
 LINE = "key string, page_id long, path string, offset long, length long"
 RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
+def header_url(url: str | None) -> str:
+    """A URL as its record names it: controls, blanks and letters beyond ASCII, which would break the header, are escaped."""
+    return quote(url if isinstance(url, str) else "", safe="".join(map(chr, range(33, 127))))
+
+
 def url_key(url: str | None) -> str:
-    """Sort key of a URL: host labels in reverse, then path and query; scheme, user, port, ``www`` and fragment do not matter."""
-    rest = (url if isinstance(url, str) else "").strip().partition("#")[0]
+    """Sort key of a URL: host labels in reverse, then path and query; scheme, user, port, ``www`` and fragment do not matter.
+
+    The key of an escaped URL is that of the URL.
+    """
+    rest = header_url(url).partition("#")[0]
     rest = rest.partition("://")[2] or rest
     host, slash, path = rest.partition("/")
     host, ask, query = host.partition("?")
@@ -63,9 +78,7 @@ def record(page_id: int | None, url: str | None, html: str | None, digest: str,
     name = "null" if page_id is None else str(page_id)
     head = [
         VERSION, f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <urn:page:{name}>", f"WARC-Date: {DATE}",
-        # Controls and blanks would break the header.
-        f"WARC-Target-URI: {quote(url if isinstance(url, str) else '', safe=''.join(map(chr, range(33, 127))))}", f"WARC-Payload-Digest: sha256:{digest}",
-        f"X-Payload-Length: {size}",
+        f"WARC-Target-URI: {header_url(url)}", f"WARC-Payload-Digest: sha256:{digest}", f"X-Payload-Length: {size}",
     ]
     if revisit:
         head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <urn:page:{'null' if refers_to is None else refers_to}>"]
@@ -101,13 +114,14 @@ def members(content: bytes, step: int = 1 << 16) -> Iterator[tuple[int, int, byt
         yield begin, at - begin, b"".join(out)
 
 
-def described(raw: bytes) -> tuple:
-    """One row of :data:`RECORD`; sizes and digests of responses are those of the payload that was read."""
+def described(raw: bytes) -> tuple[tuple, bytes]:
+    """One row of :data:`RECORD` and the payload; sizes and digests of responses are those of the payload that was read."""
     fields, payload = parsed(raw)
     revisit = fields["WARC-Type"] == "revisit"
     digest = fields["WARC-Payload-Digest"].removeprefix("sha256:") if revisit else sha256(payload).hexdigest()
     size = int(fields["X-Payload-Length"]) if revisit else len(payload)
-    return numbered(fields["WARC-Record-ID"]), fields["WARC-Target-URI"], size, digest, fields["WARC-Type"], numbered(fields.get("WARC-Refers-To"))
+    row = numbered(fields["WARC-Record-ID"]), fields["WARC-Target-URI"], size, digest, fields["WARC-Type"], numbered(fields.get("WARC-Refers-To"))
+    return row, payload
 
 
 def named(schema: str) -> list[str]:
@@ -172,22 +186,26 @@ def write_index(spark: SparkSession, path: str, index: str) -> None:
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple] = []
+        shard: list = ["", SHARD_BLOCKS]
         for batch in batches:
             held += [(k, None if pd.isna(i) else int(i), p, int(o), int(n)) for k, i, p, o, n in batch.itertuples(index=False)]
             while len(held) >= BLOCK_LINES:
-                yield block(held[:BLOCK_LINES])
+                yield block(held[:BLOCK_LINES], shard)
                 held = held[BLOCK_LINES:]
         if held:
-            yield block(held)
+            yield block(held, shard)
 
-    def block(rows: list[tuple]) -> pd.DataFrame:
+    def block(rows: list[tuple], shard: list) -> pd.DataFrame:
         name = sha256(json.dumps([rows[0], rows[-1]]).encode()).hexdigest()[:32]
-        return pd.DataFrame({"block": [name], "first": [rows[0][0]], "last": [rows[-1][0]], "data": [zlib.compress(json.dumps(rows).encode(), 6)]})
+        # A shard is named after its first block.
+        shard[:] = (name, 1) if shard[1] >= SHARD_BLOCKS else (shard[0], shard[1] + 1)
+        row = {"shard": shard[0], "block": name, "first": rows[0][0], "last": rows[-1][0], "data": zlib.compress(json.dumps(rows).encode(), 6)}
+        return pd.DataFrame([row])
 
     found = stored(archives(spark, path).select("path", "content").mapInPandas(lines, LINE), "warc-lines")
     ordered = found.repartitionByRange("key", "page_id", "path", "offset").sortWithinPartitions("key", "page_id", "path", "offset")
-    ordered.mapInPandas(cut, "block string, first string, last string, data binary").write.parquet(f"{index}/blocks")
-    spark.read.parquet(f"{index}/blocks").select("block", "first", "last").write.parquet(f"{index}/directory")
+    ordered.mapInPandas(cut, DIRECTORY + ", data binary").write.parquet(f"{index}/blocks")
+    spark.read.parquet(f"{index}/blocks").select(*named(DIRECTORY)).write.parquet(f"{index}/directory")
 
 
 def opened(blocks: DataFrame) -> DataFrame:
@@ -201,23 +219,84 @@ def opened(blocks: DataFrame) -> DataFrame:
     return blocks.select("data").mapInPandas(lines, LINE)
 
 
-def ranges(spark: SparkSession, path: str, lines: DataFrame) -> DataFrame:
-    """Records that ``lines`` point to: :data:`RECORD` and the payload, read by their byte ranges."""
+def store_of(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path as Spark writes it, and the path within it."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme:
+        return fs.LocalFileSystem(), path
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    rest = rest if rest.startswith("//") else "//" + rest
+    return fs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + ":" + quote(rest, safe="/@:"))
+
+
+def positioned(path: str) -> bool:
+    """Whether tasks can open files below ``path`` at an offset."""
+    try:
+        store, place = store_of(path)
+        return store.get_file_info(place).type != fs.FileType.NotFound
+    except (OSError, ValueError, NotImplementedError):
+        return False
+
+
+def stretches(spans: Iterable[tuple[int, int]]) -> Iterator[list[tuple[int, int]]]:
+    """(offset, length) in order, in runs that one read covers."""
+    run: list[tuple[int, int]] = []
+    for offset, length in sorted(spans):
+        if run and (offset - sum(run[-1]) > GAP or offset + length - run[0][0] > READ_BYTES):
+            yield run
+            run = []
+        run.append((offset, length))
+    if run:
+        yield run
+
+
+def ranges(spark: SparkSession, path: str, lines: DataFrame, payloads: bool = True) -> DataFrame:
+    """Records that ``lines`` point to: :data:`RECORD` and, if asked for, the payload.
+
+    Tasks open the archives at the records' offsets; what is shuffled are offsets and
+    lengths, an archive's in one row, which its size bounds. Where only Spark can open
+    the files, it reads the archives that are asked for as a whole and they are joined
+    with the offsets.
+    """
+    schema = RECORD + (", payload binary" if payloads else "")
+
+    def records(read: Callable[[int, int], bytes], spans) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+        for run in stretches((s["offset"], s["length"]) for s in spans):
+            begin = run[0][0]
+            data = read(begin, sum(run[-1]) - begin)
+            for offset, length in run:
+                row, payload = described(zlib.decompress(data[offset - begin : offset - begin + length], 31))
+                held.append((*row, payload) if payloads else row)
+                size += len(payload)
+                if size >= READ_BYTES or len(held) >= 2000:
+                    yield framed(held, *named(schema))
+                    held, size = [], 0
+        if held:
+            yield framed(held, *named(schema))
+
+    def at_offsets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name, spans in zip(batch["path"], batch["spans"], strict=True):
+                store, place = store_of(name)
+                with store.open_input_file(place) as file:
+                    yield from records(lambda at, n, file=file: file.read_at(n, at), spans)
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def of_contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for content, spans in zip(batch["content"], batch["spans"], strict=True):
-                content = bytes(content)
-                for k in range(0, len(spans), 200):
-                    rows = []
-                    for span in spans[k : k + 200]:
-                        raw = zlib.decompress(content[span["offset"] : span["offset"] + span["length"]], 31)
-                        rows.append((*described(raw), parsed(raw)[1]))
-                    yield framed(rows, *named(RECORD), "payload")
+                yield from records(lambda at, n, content=content: bytes(content[at : at + n]), spans)
 
-    # An archive has a bounded size, and so has the list of its spans.
-    spans = lines.groupBy("path").agg(F.collect_list(F.struct("offset", "length")).alias("spans"))
-    return archives(spark, path).select("path", "content").join(spans, "path").select("content", "spans").mapInPandas(read, RECORD + ", payload binary")
+    spans = lines.groupBy("path").agg(F.collect_list(F.struct("offset", "length")).alias("spans"), F.sum("length").alias("bytes"))
+    spans = stored(spans, "warc-spans")
+    if not positioned(path):
+        both = archives(spark, path).select("path", "content").join(spans, "path")
+        return both.select("content", "spans").mapInPandas(of_contents, schema)
+    # A few bytes a row stand for a whole archive, so tasks are dealt by what they will read.
+    n, size = spans.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    tasks = max(1, min(n, 4 * spark.sparkContext.defaultParallelism), math.ceil(size / TASK_BYTES))
+    return spans.select("path", "spans").repartition(tasks).mapInPandas(at_offsets, schema)
 
 
 def read_all(spark: SparkSession, path: str, index: str) -> DataFrame:
@@ -225,45 +304,35 @@ def read_all(spark: SparkSession, path: str, index: str) -> DataFrame:
     return ranges(spark, path, opened(spark.read.parquet(f"{index}/blocks")))
 
 
-def look_up(urls: DataFrame, path: str, index: str) -> DataFrame:
+def look_up(urls: DataFrame, path: str, index: str, payloads: bool = True) -> DataFrame:
     """Records of the distinct, non-null ``url`` of ``urls``, whatever their scheme, port or fragment.
 
-    The directory travels with the tasks in parts of at most :data:`DIRECTORY_ROWS` rows.
+    Keys find their shards of the directory by bisection of the shards' bounds, and in
+    a shard their blocks by bisection of the blocks' bounds. A key that runs on over many
+    blocks or shards gets them all. Only blocks that may hold a key are opened and only
+    ranges of lines whose key is asked for are read.
     """
     spark = urls.sparkSession
+    directory = spark.read.parquet(f"{index}/directory")
+    bounds = directory.groupBy("shard").agg(F.min("first").alias("first"), F.max("last").alias("last")).collect()
+    bounds = sorted((r["first"], r["last"], r["shard"]) for r in bounds)
+    firsts, lasts, shards = ([b[k] for b in bounds] for k in range(3))
 
-    def keyed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield batch.map(url_key)
-
-    keys = urls.where("url is not null").select(F.pandas_udf(keyed, "string")("url").alias("key")).distinct()
-    keys = stored(keys, "warc-keys")
-
-    def searching(part: list[tuple[str, str, str]]):
-        firsts, lasts = [first for first, _, _ in part], [last for _, last, _ in part]
+    def within(firsts: list[str], lasts: list[str], key: str) -> range:
+        return range(bisect.bisect_left(lasts, key), bisect.bisect_right(firsts, key))
 
-        def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                rows = []
-                for key in batch["key"]:
-                    # A key may run on over several blocks.
-                    for k in range(bisect.bisect_left(lasts, key), bisect.bisect_right(firsts, key)):
-                        rows.append((key, part[k][2]))
-                yield framed(rows, "key", "block")
-
-        return search
-
-    asked, part = None, []
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keys = {url_key(url) for url in batch["url"]}
+            yield framed([(key, shards[k]) for key in sorted(keys) for k in within(firsts, lasts, key)], "key", "shard")
 
-    def add(asked, part):
-        got = keys.mapInPandas(searching(part), "key string, block string")
-        return got if asked is None else asked.unionByName(got)
+    def search(keys: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["first", "last"])
+        firsts, lasts, blocks = part["first"].tolist(), part["last"].tolist(), part["block"].tolist()
+        return framed([(key, blocks[k]) for key in keys["key"] for k in within(firsts, lasts, key)], "key", "block")
 
-    for row in spark.read.parquet(f"{index}/directory").orderBy("first", "last").toLocalIterator():
-        part.append((row["first"], row["last"], row["block"]))
-        if len(part) == DIRECTORY_ROWS:
-            asked, part = add(asked, part), []
-    asked = add(asked, part) if part or asked is None else asked
+    keys = small_batches(urls).where("url is not null").select("url").mapInPandas(place, "key string, shard string").distinct()
+    asked = keys.groupBy("shard").cogroup(directory.groupBy("shard")).applyInPandas(search, "key string, block string")
     asked = stored(asked, "warc-asked")
     lines = opened(spark.read.parquet(f"{index}/blocks").join(asked.select("block").distinct(), "block", "left_semi"))
-    return ranges(spark, path, lines.join(asked.select("key").distinct(), "key", "left_semi"))
+    return ranges(spark, path, lines.join(asked.select("key").distinct(), "key", "left_semi"), payloads)
