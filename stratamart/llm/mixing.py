@@ -1,8 +1,8 @@
 """Mixing sources to target weights.
 
 Tokens are added up per source, targets follow from weights, and every document is
-taken ``floor(rate)`` times plus one more with the probability of the fraction, drawn
-from a hash of its id.
+taken ``floor(rate)`` times plus one more with the probability of the fraction: one
+Bernoulli draw, seeded by a hash of its id and text.
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ from stratamart.operators.keys import dense_surrogate_key
 from .common import stored
 
 WORD = "[^\\x20\\x09-\\x0D]+"
-#: Independent draws per document; a source uses the one that brings it nearest its target.
-DRAWS = 8
+#: Seed of the draws, and the hex digits of a hash that make one (52 bits, which a double holds exactly).
+SEED, DIGITS = 0, 13
 
 
 def word_count(text: Column) -> Column:
@@ -59,47 +59,38 @@ def source_targets(
     )
 
 
-def draws(doc_id: Column) -> Column:
-    """Hex digits of which four each make one draw."""
-    return F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+def chance(doc_id: Column, text: Column, seed: int = SEED) -> Column:
+    """A number in [0, 1) that only the seed, the id and the text decide; nulls count as empty."""
+    seen = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    mark = F.concat_ws(":", F.lit(str(seed)), F.coalesce(doc_id.cast("string"), F.lit("")), seen)
+    return F.conv(F.substr(F.md5(mark.cast("binary")), F.lit(1), F.lit(DIGITS)), 16, 10).cast("double") / float(16**DIGITS)
 
 
-def copies(draw: Column | int) -> Column:
-    """How often a document of a row with target, source_size and _draws is taken."""
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    hexes = F.substr(F.col("_draws"), F.lit(1) + F.lit(4) * draw, F.lit(4))
-    chance = F.conv(hexes, 16, 10).cast("double") / 65536
-    return F.floor(rate) + (chance < rate - F.floor(rate)).cast("long")
-
-
-def mix(docs: DataFrame, weights=(3, 1, 2), share=(3, 2), most: int = 2) -> DataFrame:
+def mix(docs: DataFrame, weights=(3, 1, 2), share=(3, 2), most: int = 2, seed: int = SEED) -> DataFrame:
     """``docs`` with size, source_size, target, copies and taken.
 
     ``docs`` needs doc_id, source and text; other columns of it stay unless they bear
     one of the names given here, which are replaced. Null texts have size 0, null
-    sources are one source, sources without words get target 0 and no copies, repeated
-    rows are counted and drawn like any others, rows without an id share one draw. An
+    sources are one source, sources without words get target 0 and no copies. Repeated
+    rows are counted like any others; rows equal in id and text share their draw, others
+    have draws of their own, with or without an id. A source's taken words have its
+    target as their mean; how near they come follows from its number of documents. An
     empty table gives an empty one. The corpus is read twice and never shuffled unless
     there are more sources than a broadcast holds.
     """
-    kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies", "taken", "_draws", "_pick", "_source")]
-    slim = stored(
-        docs.select("source", word_count(F.col("text")).alias("size"), draws(F.col("doc_id")).alias("_draws")), "mix-sizes"
-    )
-    targets = source_targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
-    sizes = slim.withColumnRenamed("source", "_source")
-    met = sizes.join(targets, F.col("_source").eqNullSafe(F.col("source")))
-    sums = met.groupBy("source", "source_size", "target").agg(
-        *(F.sum(F.col("size") * copies(F.lit(k))).alias(f"_sum{k}") for k in range(DRAWS))
-    )
-    nearest = F.array_min(
-        F.array(*(F.struct(F.abs(F.col(f"_sum{k}") - F.col("target")).alias("off"), F.lit(k).alias("k")) for k in range(DRAWS)))
-    )
-    picked = stored(sums.select(F.col("source").alias("_source"), "source_size", "target", nearest["k"].alias("_pick")), "mix-picked")
-    out = docs.select(*kept).withColumns({"size": word_count(F.col("text")), "_draws": draws(F.col("doc_id"))})
-    out = out.join(picked, F.col("source").eqNullSafe(F.col("_source")))
-    out = out.withColumn("copies", copies(F.col("_pick")))
-    return out.select(*kept, "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+    made = ("size", "source_size", "target", "copies", "taken")
+    kept = [c for c in docs.columns if c.lower() not in made]
+    size = word_count(F.col("text"))
+    totals = stored(docs.groupBy("source").agg(F.sum(size).alias("source_size")), "mix-totals")
+    targets = source_targets(totals, weights, share, most).withColumnRenamed("source", "_of")
+    rate = F.when(F.col("m.source_size") > 0, F.col("m.target") / F.col("m.source_size")).otherwise(0.0)
+    more = chance(F.col("d.doc_id"), F.col("d.text"), seed) < rate - F.floor(rate)
+    out = docs.alias("d").join(targets.alias("m"), F.col("d.source").eqNullSafe(F.col("m._of")))
+    out = out.select(
+        *(F.col(f"d.`{c}`") for c in kept), word_count(F.col("d.text")).alias("size"), "m.source_size", "m.target",
+        (F.floor(rate) + more.cast("long")).alias("copies"),
+    )
+    return out.select(*(F.col(f"`{c}`") for c in kept), "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def emitted(mixture: DataFrame) -> DataFrame:

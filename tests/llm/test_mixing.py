@@ -1,6 +1,9 @@
+from hashlib import md5
+
 import pytest
+from pyspark.sql import functions as F
 
-from stratamart.llm.mixing import emitted, mix, source_targets
+from stratamart.llm.mixing import chance, emitted, mix, source_targets
 
 from .conftest import EDGES, words
 
@@ -28,15 +31,35 @@ def test_targets(spark, sizes):
 
 
 def test_mix_comes_near_targets_and_repeats(spark, documents):
-    rows = [(k, " ".join(words(5 + k % 40, k)), None, ("a", "b", None, "d")[k % 4]) for k in range(400)]
+    rows = [(k, " ".join(words(5 + k % 40, k)), None, ("a", "b", None, "d")[k % 4]) for k in range(1200)]
     got = mix(documents(rows)).collect()
     assert {(r["doc_id"], r["taken"]) for r in got} == {(r["doc_id"], r["taken"]) for r in mix(documents(rows[::-1])).collect()}
     for source in ("a", "b", None, "d"):
         part = [r for r in got if r["source"] == source]
         assert sum(r["size"] for r in part) == part[0]["source_size"]
-        assert sum(r["taken"] for r in part) == pytest.approx(part[0]["target"], rel=0.1)
+        assert sum(r["taken"] for r in part) == pytest.approx(part[0]["target"], rel=0.15)
+        rate = part[0]["target"] / part[0]["source_size"]
+        assert {r["copies"] for r in part} <= {int(rate), int(rate) + (rate > int(rate))}
     assert all(r["taken"] == r["copies"] * r["size"] <= 2 * r["size"] for r in got)
     assert emitted(mix(documents(rows))).count() == sum(r["copies"] for r in got)
+    assert {r["taken"] for r in mix(documents(rows), seed=1).collect()} and [r["copies"] for r in mix(documents(rows), seed=1).orderBy("doc_id").collect()] != [
+        r["copies"] for r in mix(documents(rows)).orderBy("doc_id").collect()
+    ]
+
+
+def plain_chance(doc_id, text, seed=0):
+    mark = f"{seed}:{'' if doc_id is None else doc_id}:{md5((text or '').encode()).hexdigest()}"
+    return int(md5(mark.encode()).hexdigest()[:13], 16) / 16**13
+
+
+def test_draws_are_even_and_independent_of_ids(spark, documents):
+    rows = [(k, "t") for k in range(4000)] + [(None, f"t {k}") for k in range(4000)] + [(1, None), (1, "")]
+    got = [(r["doc_id"], r["text"], r["p"]) for r in documents(rows).withColumn("p", chance(F.col("doc_id"), F.col("text"))).collect()]
+    assert all(p == plain_chance(doc_id, text) for doc_id, text, p in got)
+    # Documents without an id, or with one id, are drawn each for itself; a thousandth part is met as it should be.
+    for part in ([p for i, _, p in got if i is not None], [p for i, _, p in got if i is None]):
+        for share in (0.05, 0.5, 0.9):
+            assert sum(p < share for p in part) == pytest.approx(share * len(part), abs=4 * (len(part) * share * (1 - share)) ** 0.5)
 
 
 def test_edges(spark, documents):
