@@ -23,8 +23,6 @@ BITS = 16
 ORDERS = (1, 2, 3)
 #: Labelled documents per language that the regression is fitted on; a quarter of them sets the temperature.
 PER_LABEL = 600
-#: Languages that the model can tell apart, the most frequent ones.
-MAX_LABELS = 200
 #: FTRL-proximal: learning rate, its smoothing, L1 and L2 penalties, passes over the sample.
 ALPHA, BETA, L1, L2, PASSES = 0.3, 1.0, 2e-4, 1e-4, 3
 UNKNOWN = "und"
@@ -104,19 +102,31 @@ def vector(found: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
-    """A fitted model: labels, inverse document frequencies, weights by feature and label, temperature."""
+    """A fitted model: labels, inverse document frequencies, the weights that are not 0, temperature.
+
+    The weights of feature f are ``values[ends[f - 1] : ends[f]]`` for the labels at
+    ``at`` in the same places.
+    """
 
     labels: list[str]
     idf: np.ndarray
-    weights: np.ndarray
+    ends: np.ndarray
+    at: np.ndarray
+    values: np.ndarray
     temperature: float
 
+    def logits(self, features: np.ndarray, x: np.ndarray) -> np.ndarray:
+        begins = np.where(features > 0, self.ends[features - 1], 0)
+        sizes = self.ends[features] - begins
+        upto = np.cumsum(sizes)
+        places = np.arange(upto[-1]) + np.repeat(begins - upto + sizes, sizes)
+        return np.bincount(self.at[places], weights=np.repeat(x, sizes) * self.values[places], minlength=len(self.labels))
+
     def predict(self, text: str | None) -> tuple[str, float]:
         found = features_of(text)
         if found is None or not self.labels:
             return UNKNOWN, 0.0
-        at, x = vector(found, self.idf)
-        p = softmax(x @ self.weights[at] / self.temperature)
+        p = softmax(self.logits(*vector(found, self.idf)) / self.temperature)
         best = int(p.argmax())
         return self.labels[best], float(p[best])
 
@@ -127,8 +137,8 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 
 def follow_the_leader(rows: list[tuple[np.ndarray, np.ndarray]], targets: list[int], labels: int, features: int) -> np.ndarray:
-    """FTRL-proximal over ``rows`` with per-coordinate rates, L1 and L2."""
-    z, n = np.zeros((features, labels)), np.zeros((features, labels))
+    """Weights by feature and label of FTRL-proximal over ``rows``, with per-coordinate rates, L1 and L2."""
+    z, n = np.zeros((features, labels), np.float32), np.zeros((features, labels), np.float32)
 
     def weights(at):
         zs, ns = z[at], n[at]
@@ -157,20 +167,28 @@ def temperature_of(logits: np.ndarray, targets: np.ndarray) -> float:
 def fit(docs: DataFrame, per_label: int = PER_LABEL) -> Model:
     """A model of the rows that :func:`held_out` does not keep.
 
-    Document frequencies cover all their texts. The regression sees ``per_label``
-    documents of each label, the first by a hash of their id and text, and is fitted in
-    one task: at most ``per_label * MAX_LABELS`` sparse rows of at most ``2 ** BITS``
-    features each.
+    Document frequencies cover all their texts. The regression knows all languages and
+    sees ``per_label`` documents of each, the first by a hash of their id and text; rows
+    equal in both count once. It is fitted in one task, which holds these documents' at
+    most ``2 ** BITS`` features each and two 32-bit numbers per language and feature:
+    half a megabyte a language.
+
+    Null ids and repeated rows are learned from like others, null languages and texts
+    and texts without a letter are not; with nothing to learn from the model has no
+    labels. Other columns are not read.
     """
     learn = small_batches(docs).select("doc_id", "text", "lang").where(~held_out(F.col("doc_id")))
     total, counts = document_frequencies(learn)
     idf = np.log((1 + total) / (1 + counts)) + 1
-    named = learn.where("lang is not null and text is not null").select("doc_id", "lang", F.xxhash64("doc_id", "text").alias("_h"))
-    frequent = [r["lang"] for r in named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LABELS).collect()]
-    labels = sorted(frequent)
-    by_hash = Window.partitionBy("lang").orderBy("_h", F.col("doc_id").asc_nulls_first())
-    chosen = named.where(F.col("lang").isin(labels)).withColumn("_n", F.row_number().over(by_hash)).where(F.col("_n") <= per_label)
-    chosen = stored(chosen.select("lang", "_h").distinct(), "language-sample")  # at most per_label rows a label
+    named = learn.where("lang is not null and text is not null").select("lang", F.xxhash64("doc_id", "text").alias("_h"))
+    # One row per language. A share of its hashes that holds twice the sample goes on to be ranked.
+    sizes = stored(named.groupBy("lang").agg(F.approx_count_distinct("_h").alias("_of")), "language-sizes")
+    labels = sorted(r["lang"] for r in sizes.select("lang").collect())
+    place = F.shiftrightunsigned("_h", 11).cast("double") / float(1 << 53)
+    near = named.join(F.broadcast(sizes), "lang").where(place * F.col("_of") < 2 * per_label + 50).select("lang", "_h").distinct()
+    by_hash = Window.partitionBy("lang").orderBy(place, "_h")
+    chosen = near.withColumn("_n", F.row_number().over(by_hash)).where(F.col("_n") <= per_label)
+    chosen = stored(chosen.select("lang", "_h"), "language-sample")  # at most per_label rows a label
     hashed = learn.withColumn("_h", F.xxhash64("doc_id", "text"))
     sample = hashed.join(F.broadcast(chosen), ["lang", "_h"], "left_semi").dropDuplicates(["lang", "_h"])
 
@@ -187,22 +205,29 @@ def fit(docs: DataFrame, per_label: int = PER_LABEL) -> Model:
     def train(table: pd.DataFrame) -> pd.DataFrame:
         table = table.sort_values(["h", "lang"], kind="stable").reset_index(drop=True)
         rows = [(np.frombuffer(a, np.int32), np.frombuffer(x, np.float32).astype(float)) for a, x in zip(table["at"], table["x"], strict=True)]
-        targets = [labels.index(lang) for lang in table["lang"]]
+        number = {lang: k for k, lang in enumerate(labels)}
+        targets = [number[lang] for lang in table["lang"]]
+        # Features of the sample, numbered among themselves.
+        seen = np.unique(np.concatenate([at for at, _ in rows])) if rows else np.empty(0, np.int32)
+        rows = [(np.searchsorted(seen, at), x) for at, x in rows]
         aside = [k for k in range(len(rows)) if k % 4 == 3]
         used = [k for k in range(len(rows)) if k % 4 != 3]
-        weights = follow_the_leader([rows[k] for k in used], [targets[k] for k in used], len(labels), len(idf))
+        weights = follow_the_leader([rows[k] for k in used], [targets[k] for k in used], len(labels), len(seen))
         logits = np.array([rows[k][1] @ weights[rows[k][0]] for k in aside]).reshape(len(aside), len(labels))
         best = temperature_of(logits, np.array([targets[k] for k in aside], int))
-        return pd.DataFrame({"weights": [weights.tobytes()], "temperature": [best]})
+        by, at = np.nonzero(weights)
+        ends = np.cumsum(np.bincount(seen[by], minlength=len(idf)))
+        parts = (ends.astype(np.int64), at.astype(np.int32), weights[by, at].astype(np.float32))
+        return pd.DataFrame([{name: x for name, x in zip(("ends", "at", "values"), (p.tobytes() for p in parts), strict=True)} | {"temperature": best}])
 
     fitted = (
         sample.select("lang", "_h", "text").mapInPandas(vectors, "lang string, h long, at binary, x binary")
-        .groupBy().applyInPandas(train, "weights binary, temperature double").first()
+        .groupBy().applyInPandas(train, "ends binary, at binary, values binary, temperature double").first()
     )
     if fitted is None:
-        return Model([], idf, np.zeros((len(idf), 0), np.float32), 1.0)
-    weights = np.frombuffer(bytes(fitted["weights"]), np.float32).reshape(len(idf), len(labels))
-    return Model(labels, idf, weights, fitted["temperature"])
+        return Model([], idf, np.zeros(len(idf), np.int64), np.empty(0, np.int32), np.empty(0, np.float32), 1.0)
+    ends, at, values = (np.frombuffer(bytes(fitted[name]), kind) for name, kind in (("ends", np.int64), ("at", np.int32), ("values", np.float32)))
+    return Model(labels, idf, ends, at, values, fitted["temperature"])
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
