@@ -46,16 +46,20 @@ PLACES = "array<struct<start:int,end:int,hit:string,part:string>>"
 def places(text: Column, pattern: str, group: int = 0) -> Column:
     """Matches of ``pattern``, leftmost without overlap, as (start, end, hit, part) in code points.
 
-    Gaps between matches and matches alternate, so their lengths add up to places.
+    Gaps between matches and matches alternate, so their lengths add up to places. They
+    are added up in blocks, whose number is about that of the matches in one: each step
+    copies what its block has found so far, not what the text has.
     ``part`` is group ``group`` of the match.
     """
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     parts = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     both = F.zip_with(hits, parts, lambda hit, part: F.struct(hit.alias("hit"), part.alias("part")))
-    rows = F.zip_with(
-        F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits)), both,
-        lambda gap, m: F.struct(F.length(gap).alias("gap"), m["hit"].alias("hit"), m["part"].alias("part")),
-    )
+
+    def gaps(both):
+        return F.zip_with(
+            F.slice(F.split(text, pattern, -1), F.lit(1), F.size(both)), both,
+            lambda gap, m: F.struct(F.length(gap).alias("gap"), m["hit"].alias("hit"), m["part"].alias("part")),
+        )
 
     def add(done, m):
         begin = done["at"] + m["gap"]
@@ -63,8 +67,25 @@ def places(text: Column, pattern: str, group: int = 0) -> Column:
         one = F.struct(begin.alias("start"), end.alias("end"), m["hit"].alias("hit"), m["part"].alias("part"))
         return F.struct(end.alias("at"), F.concat(done["found"], F.array(one)).alias("found"))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(PLACES).alias("found"))
-    return F.aggregate(rows, start, add, lambda done: done["found"])
+    def in_block(block, at):
+        start = F.struct(at.alias("at"), F.array().cast(PLACES).alias("found"))
+        return F.aggregate(block, start, add, lambda done: done["found"])
+
+    def blocks_of(rows):
+        width = F.ceil(F.sqrt(F.greatest(F.size(rows), F.lit(1)))).cast("int")
+        firsts = F.sequence(F.lit(1), F.greatest(F.size(rows), F.lit(1)), width)
+        return F.transform(firsts, lambda k: F.slice(rows, k, width))
+
+    def begins(blocks):
+        lengths = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda n, m: n + m["gap"] + F.length(m["hit"])))
+        return F.aggregate(
+            lengths, F.array(F.lit(0)), lambda done, n: F.concat(done, F.array(F.element_at(done, -1) + n))
+        )
+
+    def joined(blocks):
+        return F.flatten(F.zip_with(blocks, F.slice(begins(blocks), F.lit(1), F.size(blocks)), in_block))
+
+    return let(let(let(both, gaps), blocks_of), joined)
 
 
 def found_where(may: Column, text: Column, pattern: str, group: int = 0) -> Column:
@@ -95,12 +116,14 @@ def encoding_of(token: Column) -> Column:
 
 def upper_tail(z: Column) -> Column:
     """Chance that a standard normal exceeds ``z`` (Abramowitz and Stegun 26.2.17)."""
-    x = F.abs(z)
-    t = 1 / (1 + 0.2316419 * x)
-    # Coefficients of the approximation.
-    series = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
-    tail = F.exp(-x * x / 2) / 2.5066282746310002 * series
-    return F.greatest(F.when(z >= 0, tail).otherwise(1 - tail), F.lit(10.0**-LEAST))
+
+    def of(z, t):
+        # Coefficients of the approximation.
+        series = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
+        tail = F.exp(-z * z / 2) / 2.5066282746310002 * series
+        return F.greatest(F.when(z >= 0, tail).otherwise(1 - tail), F.lit(10.0**-LEAST))
+
+    return let(z, lambda z: let(1 / (1 + 0.2316419 * F.abs(z)), lambda t: of(z, t)))
 
 
 def total(values: Column) -> Column:
@@ -119,32 +142,35 @@ def p_random(token: Column, encoding: Column) -> Column:
     * serial correlation of neighbouring codes, two-sided.
 
     The three are combined by Fisher's method; the tail of chi-squared with six degrees
-    of freedom has a closed form.
+    of freedom has a closed form. The work grows with the length of the token.
     """
-    letters = by_encoding(encoding, ALPHABETS)
-    k = by_encoding(encoding, {name: float(len(a)) for name, a in ALPHABETS.items()})
-    codes_of = F.transform(F.filter(F.split(token, ""), lambda c: c != ""), lambda c: F.position(c, letters).cast("double") - 1)
+    characters = lambda x: F.filter(F.split(x, ""), lambda c: c != "")
+    two_sided = lambda z: F.least(2 * upper_tail(z), F.lit(1.0))
 
-    def of_codes(codes):
-        n = F.size(codes).cast("double")
+    def of_codes(codes, letters):
+        n, k = F.length(token).cast("double"), F.length(letters).cast("double")
         tail_of = lambda x: F.slice(x, F.lit(2), F.size(x) - 1)
         head_of = lambda x: F.slice(x, F.lit(1), F.size(x) - 1)
-        equal = total(F.transform(codes, lambda c: F.size(F.filter(codes, lambda x: x == c)).cast("double")))
-        ups = F.transform(codes, lambda c: F.when(c * 2 >= k, 1.0).otherwise(0.0))
-        runs = 1 + total(F.zip_with(head_of(ups), tail_of(ups), lambda a, b: F.abs(a - b)))
-        mean = total(codes) / n
+        # How often each letter occurs, by its removal: one pass a letter.
+        counts = F.transform(characters(letters), lambda c: n - F.length(F.replace(token, c, F.lit(""))))
+        equal = total(F.transform(counts, lambda x: x * x))
         free = k - 1
         z_chi = (F.pow(F.greatest(equal * k / n - n, F.lit(0.0)) / free, F.lit(1 / 3)) - (1 - 2 / (9 * free))) / F.sqrt(2 / (9 * free))
-        z_runs = let(F.struct(total(ups).alias("up"), runs.alias("runs")), lambda u: wald_wolfowitz(u["up"], n - u["up"], u["runs"]))
-        z_serial = let(mean, lambda m: serial(
+        ups = F.transform(codes, lambda c: F.when(c * 2 >= k, 1.0).otherwise(0.0))
+        changes = lambda u: total(F.zip_with(head_of(u), tail_of(u), lambda a, b: F.abs(a - b)))
+        sides = let(ups, lambda u: F.struct(total(u).alias("up"), (1 + changes(u)).alias("runs")))
+        z_runs = let(sides, lambda u: wald_wolfowitz(u["up"], n - u["up"], u["runs"]))
+        z_serial = let(total(codes) / n, lambda m: serial(
             total(F.zip_with(head_of(codes), tail_of(codes), lambda a, b: (a - m) * (b - m))),
             total(F.transform(codes, lambda c: (c - m) * (c - m))), n,
         ))
-        two_sided = lambda z: F.least(2 * upper_tail(z), F.lit(1.0))
         half = -(F.log(upper_tail(z_chi)) + F.log(two_sided(z_runs)) + F.log(two_sided(z_serial)))
         return let(half, lambda h: F.least(F.exp(-h) * (1 + h + h * h / 2), F.lit(1.0)))
 
-    return let(codes_of, of_codes)
+    def of_letters(letters):
+        return let(F.transform(characters(token), lambda c: F.position(c, letters).cast("double") - 1), lambda codes: of_codes(codes, letters))
+
+    return let(by_encoding(encoding, ALPHABETS), of_letters)
 
 
 def wald_wolfowitz(up: Column, down: Column, runs: Column) -> Column:

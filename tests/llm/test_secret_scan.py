@@ -1,8 +1,13 @@
 import random
 import re
+import time
 from hashlib import sha256
+from math import erfc, exp, log, sqrt
 
-from stratamart.llm.secret_scan import redacted, scan_secrets, with_spans
+import pytest
+from pyspark.sql import functions as F
+
+from stratamart.llm.secret_scan import ALPHABETS, TOKEN, encoding_of, p_random, places, redacted, scan_secrets, with_spans
 
 from .conftest import EDGES
 
@@ -58,3 +63,54 @@ def test_edges(spark, documents):
 def test_main_path_has_no_python(spark, documents):
     plan = scan_secrets(documents(EDGES))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "NestedLoop" not in plan
+
+
+def plain_p(token, letters):
+    """The battery's p-value with the normal tail of the mathematics library."""
+    codes, n, k = [letters.index(c) for c in token], len(token), len(letters)
+    tail = lambda z: max(erfc(z / sqrt(2)) / 2, 1e-12)
+    chi = sum(codes.count(c) ** 2 for c in range(k)) * k / n - n
+    z_chi = ((chi / (k - 1)) ** (1 / 3) - (1 - 2 / (9 * (k - 1)))) / sqrt(2 / (9 * (k - 1)))
+    ups = [c * 2 >= k for c in codes]
+    up, runs = sum(ups), 1 + sum(a != b for a, b in zip(ups, ups[1:], strict=False))
+    mean = 1 + 2 * up * (n - up) / n
+    z_runs = 8.0 if up in (0, n) else abs(runs - mean) / sqrt(max((mean - 1) * (mean - 2) / (n - 1), 1e-9))
+    m = sum(codes) / n
+    var = sum((c - m) ** 2 for c in codes)
+    z_serial = 8.0 if not var else abs(sum((a - m) * (b - m) for a, b in zip(codes, codes[1:], strict=False)) / var + 1 / n) * sqrt(n)
+    half = -(log(tail(z_chi)) + log(min(2 * tail(z_runs), 1.0)) + log(min(2 * tail(z_serial), 1.0)))
+    return min(exp(-half) * (1 + half + half * half / 2), 1.0)
+
+
+def test_p_values_equal_a_plain_version(spark):
+    pick, rows = random.Random(11), []
+    for name, letters in ALPHABETS.items():
+        for k in range(12):
+            some = letters if k % 3 else letters[: len(letters) // 2 + 1]
+            rows.append((name, "".join(pick.choices(some, k=20 + 7 * k))))
+    rows.append(("base62", "a1B" * 30))
+    frame = spark.createDataFrame(rows, "name string, token string")
+    got = frame.select("name", "token", encoding_of(F.col("token")).alias("e"), p_random(F.col("token"), F.col("name")).alias("p")).collect()
+    assert len({r["e"] for r in got}) >= 6
+    for r in got:
+        assert r["p"] == pytest.approx(plain_p(r["token"], ALPHABETS[r["name"]]), rel=1e-3, abs=1e-6), r
+
+
+def test_places_of_many_matches(spark):
+    text = "".join(f"{'é' * (k % 5)}<{k}>" for k in range(3000)) + "tail"
+    frame = spark.createDataFrame([(text,), ("none",), ("",), ("<1>",)], "text string")
+    got = frame.select(places(F.col("text"), "<([0-9]+)>", 1).alias("found")).collect()
+    for r, t in zip(got, (text, "none", "", "<1>"), strict=True):
+        assert [tuple(m) for m in r["found"]] == [(m.start(), m.end(), m[0], m[1]) for m in re.finditer("<([0-9]+)>", t)]
+
+
+def test_a_token_of_a_megabyte_and_a_text_of_many_tokens(spark, documents):
+    pick = random.Random(2)
+    letters = ALPHABETS["base64"]
+    huge = "".join(pick.choices(letters, k=1_000_000))
+    many = " ".join("".join(pick.choices(letters, k=24)) for _ in range(20_000))
+    begun = time.time()
+    got = {r["doc_id"]: r for r in scan_secrets(documents([(1, huge), (2, many), (3, "a" * 19 + "1")])).collect()}
+    assert got[1]["spans"] == f"random:0:{len(huge)}" and got[2]["n_random"] > 15_000 and got[3]["spans"] == ""
+    assert len(re.findall(TOKEN, many)) >= got[2]["n_random"]
+    assert time.time() - begun < 120
