@@ -1,8 +1,10 @@
 import random
 
 import numpy as np
+import pytest
 
-from stratamart.llm.decontaminate import blocks, contaminations, tiles, token_hashes, without_leaks
+from stratamart.llm import decontaminate
+from stratamart.llm.decontaminate import contaminations, tiles, token_hashes, without_leaks
 
 from .conftest import EDGES, words
 
@@ -50,9 +52,58 @@ def test_reordered_and_changed_passages(spark, documents):
     assert sorted(r["doc_id"] for r in clean.collect()) == [4, 5] and clean.columns == documents(rows).columns
 
 
-def test_blocks_hold_all_items(spark):
-    items = spark.createDataFrame([(k, "x" * 30) for k in range(10)], "item_id long, text string")
-    assert [len(b) for b in blocks(items, 70)] == [2] * 5
+def small_corpus(seed):
+    """Texts and items of few words, so that they share many runs; copies, nulls and one word over and over included."""
+    pick = random.Random(seed)
+    items = [(pick.randrange(9), " ".join(words(pick.randrange(1, 14), pick.random(), 3))) for _ in range(12)]
+    rows = [(k, " ".join(words(pick.randrange(40), pick.random(), 3))) for k in range(40)]
+    rows += [rows[3], rows[3], (None, rows[3][1]), (None, None), (90, "w1 " * 30), (91, items[0][1] + " x " + items[1][1])]
+    return rows, [*items, items[0], (None, items[1][1]), (None, None), (50, "w1 " * 12)]
+
+
+def plain_contaminations(rows, items, cover=0.6, shortest=5):
+    out = []
+    for doc_id, text in rows:
+        for item_id, item in set(items):
+            a, b = (t.split() if t else [] for t in (item, text))
+            got = plain(a, b, min(shortest, len(a))) if a else []
+            if 0 < len(a) < shortest:
+                got = got[:1] if got and got[0][2] == len(a) else []
+            n = sum(length for *_, length in got)
+            if got and n >= cover * len(a):
+                out.append((doc_id, item_id, len(got), n, round(n / len(a), 9)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("bits", [1 << 27, 64])
+def test_contaminations_equal_brute_force(spark, documents, monkeypatch, bits):
+    # A filter that is too small lets all seeds through and changes nothing.
+    monkeypatch.setattr(decontaminate, "FILTER_BITS", bits)
+    rows, items = small_corpus(4)
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    got = [(r["doc_id"], r["item_id"], r["n_tiles"], r["n_tokens"], round(r["coverage"], 9)) for r in contaminations(documents(rows), frame).collect()]
+    expected = plain_contaminations(rows, items)
+    assert len(expected) > 20 and sorted(got, key=repr) == expected
+    dirty = {d for d, *_ in expected}
+    clean = without_leaks(documents(rows).withColumnRenamed("key", "leak"), frame)
+    texts = {t for d, t in rows if d in dirty}
+    assert sorted((r["doc_id"] for r in clean.collect()), key=repr) == sorted((d for d, t in rows if t not in texts), key=repr)
+    assert [c for c in clean.columns if c == "leak"] == ["leak"]
+
+
+def test_ids_of_any_type(spark, documents):
+    items = spark.createDataFrame([("i", "one two three four five")], "item_id string, text string")
+    docs = documents([(1, "so one two three four five")]).selectExpr("concat('d', doc_id) as doc_id", "text")
+    assert [(r["doc_id"], r["item_id"]) for r in contaminations(docs, items).collect()] == [("d1", "i")]
+
+
+def test_filter_holds_all_seeds(spark):
+    hashes = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 3000)
+    known = decontaminate.filter_of(spark.createDataFrame([(int(h),) for h in hashes], "hash long"))
+    assert known.holds(hashes.view(np.uint64)).all()
+    others = np.random.default_rng(2).integers(0, 2**63 - 1, 20_000).astype(np.uint64)
+    assert known.holds(others).mean() < 0.01
+    assert not decontaminate.filter_of(spark.createDataFrame([], "hash long")).holds(others).any()
 
 
 def test_edges(spark, documents):
