@@ -8,6 +8,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratamart.functions.cleaning import clean_value, scrub_phone, title_case, upper_case
 from stratamart.names import REJECTED
@@ -47,6 +48,20 @@ def flag_nulls(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.withColumn(REJECTED, any_null(c for c in columns if c in df.columns))
 
 
+def _word(key: Column) -> Column:
+    return F.shiftright(key.cast("bigint"), 6)
+
+
+def _bit(key: Column) -> Column:
+    return F.pmod(key.cast("bigint"), F.lit(64)).cast("int")
+
+
+def packed_keys(known: DataFrame) -> DataFrame:
+    """Whole numbers ``_known`` as ``_bits``, one bit each, by ``_word`` of 64 neighbours; NULL is left out."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), _bit(F.col("_known")))
+    return known.filter("_known is not null").groupBy(_word(F.col("_known")).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+
+
 def flag_orphans(
     df: DataFrame,
     column: str,
@@ -58,16 +73,25 @@ def flag_orphans(
 ) -> DataFrame:
     """Add ``flag``: the value of ``column`` is not NULL and has no partner in the reference.
 
-    A small reference is broadcast as distinct keys. For a large one only the distinct
-    values of ``column`` are compared with it, and the rows then meet just the values
-    that have no partner: rows are not shuffled to the reference, and a value that
-    fills a third of the rows is one value. ``keys_from`` may give a cheaper frame that
-    holds at least the same values.
+    A small reference is broadcast as distinct keys, a larger one of whole numbers as
+    bits of words of 64 neighbouring keys: either way ``df`` is computed once and its
+    rows are not shuffled. Where words are too many as well, or keys are not whole
+    numbers, only the distinct values of ``column`` are compared with the reference, and
+    the rows then meet just the values that have no partner: a value that fills a third
+    of the rows is one value. ``keys_from`` may give a cheaper frame that holds at least
+    the same values.
     """
     known = checkpointed(reference.select(F.col(ref_column).alias("_known")).distinct())
     if known.count() <= max_broadcast_rows:
         joined = df.join(F.broadcast(known), df[column] == F.col("_known"), "left")
         return joined.withColumn(flag, F.col(column).isNotNull() & F.col("_known").isNull()).drop("_known")
+    kinds = (df.schema[column].dataType, known.schema["_known"].dataType)
+    if all(isinstance(kind, T.IntegralType) for kind in kinds):
+        words = checkpointed(packed_keys(known))
+        if words.count() <= max_broadcast_rows:
+            joined = df.join(F.broadcast(words), _word(df[column]) == F.col("_word"), "left")
+            found = F.coalesce(F.getbit("_bits", _bit(df[column])), F.lit(0)) == 1
+            return joined.withColumn(flag, df[column].isNotNull() & ~found).drop("_word", "_bits")
     values = (df if keys_from is None else keys_from()).select(F.col(column).alias("_orphan"))
     orphans = checkpointed(
         values.filter("_orphan is not null")

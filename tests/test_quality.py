@@ -113,6 +113,25 @@ def test_orphans_agree_with_sets_for_small_and_large_references(spark, rows):
         assert rows(out, "n", "orphan") == expected
 
 
+def test_large_references_of_whole_numbers_need_no_second_run_of_the_rows(spark, rows):
+    """More keys than the bound, but few words of 64 neighbours: ``keys_from`` is not asked."""
+
+    def never():
+        raise AssertionError("the rows were computed again")
+
+    ends = [-(2**63), -(2**31), -129, -128, -65, -64, -63, -1, 0, 1, 63, 64, 127, 128, 2**31, 2**63 - 1]
+    known = {*range(-70, 400, 2), *ends[::2]}
+    facts = [(n, k) for n, k in enumerate([None, None, *ends, *range(-75, 410)])]
+    df = spark.createDataFrame(facts, "n int, k bigint")
+    reference = spark.createDataFrame([(k,) for k in [None, 0, *known]], "id bigint")
+    out = flag_orphans(df, "k", reference, "id", "orphan", never, max_broadcast_rows=30)
+    assert out.columns == ["n", "k", "orphan"]
+    assert rows(out, "n", "orphan") == sorted(((n, k is not None and k not in known) for n, k in facts), key=repr)
+    narrow = df.filter("k between -1000 and 1000").withColumn("k", F.col("k").cast("int"))
+    out = flag_orphans(narrow, "k", reference, "id", "orphan", never, max_broadcast_rows=30)
+    assert rows(out, "k", "orphan") == sorted(((k, k not in known) for _, k in facts if k is not None and -1000 <= k <= 1000), key=repr)
+
+
 def test_orders_with_both_references(spark, rows):
     raw = spark.createDataFrame(
         [
