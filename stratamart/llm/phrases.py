@@ -23,34 +23,30 @@ from .common import BASE, UNBASE, encoded, framed, mixed, powers, small_batches
 KEPT = 128
 
 
-def parse(text: str, start: int = 0, known: set[str] | None = None, ends: list[int] | None = None, stop: int | None = None):
-    """Ends of the phrases of ``text`` from ``start``, added to ``ends``; also where the open phrase begins.
-
-    ``known`` holds all phrases so far and with each phrase its beginnings, so the
-    longest known beginning can be looked for from its usual length up or down.
+def parse(
+    text: str, root: dict | None = None, ends: list[int] | None = None, node: dict | None = None, start: int = 0,
+    parents: list[dict] | None = None,
+):
+    """The tree of all phrases of ``text``, their ends, and the node at which the open phrase stands.
+
+    A node of the tree maps a code point to the node of the phrase that is longer by it,
+    so every code point is looked up once. To go on from ``start``, give what an earlier
+    call returned. ``parents`` gets the node that each new phrase was hung on.
     """
-    known = set() if known is None else known
+    root = {} if root is None else root
     ends = [] if ends is None else ends
-    n = len(text) if stop is None else stop
-    usual = 4
-    while start < n:
-        end = min(start + usual, n)
-        if text[start:end] in known:
-            end += 1
-            while end <= n and text[start:end] in known:
-                end += 1
-            if end > n:
-                break
+    node = root if node is None else node
+    hung = [] if parents is None else parents
+    for at, point in enumerate(text[start:] if start else text, start + 1):
+        longer = node.get(point)
+        if longer is None:
+            node[point] = {}
+            hung.append(node)
+            ends.append(at)
+            node = root
         else:
-            end -= 1
-            while end > start and text[start:end] not in known:
-                end -= 1
-            end += 1
-        known.add(text[start:end])
-        ends.append(end)
-        usual = end - start
-        start = end
-    return known, ends, start
+            node = longer
+    return root, ends, node
 
 
 #: Spread values of the most usual code points.
@@ -74,8 +70,13 @@ class Codes:
 
 def smallest(text: str, starts: list[int], ends: list[int]) -> np.ndarray:
     """The :data:`KEPT` smallest hashes of the phrases, sorted."""
-    hashes = np.unique(Codes(text).of(np.array(starts, np.int64), np.array(ends, np.int64)))
-    return hashes[:KEPT]
+    hashes = Codes(text).of(np.array(starts, np.int64), np.array(ends, np.int64))
+    # Phrases are distinct, so twice as many hashes hold enough distinct ones unless hashes collide.
+    if len(hashes) > 2 * KEPT:
+        few = np.unique(np.partition(hashes, 2 * KEPT - 1)[: 2 * KEPT])
+        if len(few) >= KEPT:
+            return few[:KEPT]
+    return np.unique(hashes)[:KEPT]
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -95,25 +96,30 @@ def from_text(fingerprint: str) -> np.ndarray:
 
 
 class Parsed:
-    """A text's phrases, its fingerprint, and its dictionary as of the end of its first half."""
+    """A text's phrases, its fingerprint, and its tree as of the end of its first half."""
 
     def __init__(self, text: str | None):
         self.text = text if isinstance(text, str) else ""
         self.keep = len(self.text) - len(self.text) // 2
-        known, ends, _ = parse(self.text, stop=self.keep)
-        self.known, self.ends = set(known), list(ends)
-        self.start = ends[-1] if ends else 0
-        parse(self.text, self.start, known, ends)
+        self.root, self.ends, self.node = parse(self.text[: self.keep])
+        ends = self._on(self.text)
         self.own = smallest(self.text, [0, *ends[:-1]] if ends else [], ends)
 
+    def _on(self, text: str) -> list[int]:
+        """Ends of the phrases of ``text``, which begins with the first half; the tree is as before afterwards."""
+        parents: list[dict] = []
+        _, ends, _ = parse(text, self.root, list(self.ends), self.node, self.keep, parents)
+        for parent, end in zip(parents, ends[len(self.ends) :], strict=True):
+            del parent[text[end - 1]]
+        return ends
+
     def edited(self, following: Parsed) -> tuple[str, np.ndarray]:
         """The text whose second half is the beginning of ``following``, and its fingerprint.
 
         Both texts share the parse of the first half, which does not depend on what comes after.
         """
         text = self.text[: self.keep] + following.text[: len(self.text) - self.keep]
-        known, ends = (set(self.known), list(self.ends)) if following is self else (self.known, self.ends)
-        parse(text, self.start, known, ends)
+        ends = self._on(text)
         return text, smallest(text, [0, *ends[:-1]] if ends else [], ends)
 
 

@@ -2,7 +2,7 @@ from hashlib import sha256
 
 from pyspark.sql import functions as F
 
-from stratamart.llm.phrases import bucket_of, from_text, likeness, parse, phrase_fingerprints
+from stratamart.llm.phrases import Parsed, bucket_of, from_text, likeness, parse, phrase_fingerprints
 
 from .conftest import EDGES, words
 
@@ -22,6 +22,17 @@ def test_phrases():
         assert parse(text)[1] == plain(text)
 
 
+def test_edited_texts_leave_the_tree_as_it_was():
+    """An edited text has the fingerprint it has on its own, however many are made of one parse."""
+    texts = ["", "a", "aaaaaaa", "abababababab", "é" * 50 + "日本" * 9, " ".join(words(300, 1)), " ".join(words(400, 2)), "x" * 999]
+    for text in texts:
+        first = Parsed(text)
+        for following in [*texts, text]:
+            edited, own = first.edited(Parsed(following))
+            assert own.tolist() == Parsed(edited).own.tolist()
+        assert first.edited(first)[1].tolist() == Parsed(first.edited(first)[0]).own.tolist()
+
+
 def test_neighbours_and_edits(spark, documents):
     rows = [(k * 3, " ".join(words(20 + k % 50, k))) for k in range(120)] + [(1, "the same"), (2, "the same")]
     texts = dict(rows)
