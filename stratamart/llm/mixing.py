@@ -1,8 +1,9 @@
 """Mixing sources to target weights.
 
 Tokens are added up per source, targets follow from weights, and every document is
-taken ``floor(rate)`` times plus one more with the probability of the fraction: one
-Bernoulli draw, seeded by a hash of its id and text.
+taken ``floor(rate)`` times plus one more with the probability of the fraction: a
+Bernoulli draw, seeded by a hash of its id and text. Each source has several independent
+series of such draws and uses the one that brings its words nearest to its target.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from .common import stored
 WORD = "[^\\x20\\x09-\\x0D]+"
 #: Seed of the draws, and the hex digits of a hash that make one (52 bits, which a double holds exactly).
 SEED, DIGITS = 0, 13
+#: Independent series of draws; a source uses the one that brings it nearest its target.
+DRAWS = 8
 
 
 def word_count(text: Column) -> Column:
@@ -59,13 +62,26 @@ def source_targets(
     )
 
 
-def chance(doc_id: Column, text: Column, seed: int = SEED) -> Column:
+def digest(text: Column) -> Column:
+    """What a draw knows of a text; null counts as empty."""
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
+def chance(doc_id: Column, text: Column, seed: Column | int = SEED) -> Column:
     """A number in [0, 1) that only the seed, the id and the text decide; nulls count as empty."""
-    seen = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
-    mark = F.concat_ws(":", F.lit(str(seed)), F.coalesce(doc_id.cast("string"), F.lit("")), seen)
+    return _chance(doc_id, digest(text), seed)
+
+
+def _chance(doc_id: Column, seen: Column, seed: Column | int) -> Column:
+    number = F.lit(seed) if isinstance(seed, int) else seed
+    mark = F.concat_ws(":", number.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("")), seen)
     return F.conv(F.substr(F.md5(mark.cast("binary")), F.lit(1), F.lit(DIGITS)), 16, 10).cast("double") / float(16**DIGITS)
 
 
+def _copies(rate: Column, drawn: Column) -> Column:
+    return F.floor(rate) + (drawn < rate - F.floor(rate)).cast("long")
+
+
 def mix(docs: DataFrame, weights=(3, 1, 2), share=(3, 2), most: int = 2, seed: int = SEED) -> DataFrame:
     """``docs`` with size, source_size, target, copies and taken.
 
@@ -73,22 +89,32 @@ def mix(docs: DataFrame, weights=(3, 1, 2), share=(3, 2), most: int = 2, seed: i
     one of the names given here, which are replaced. Null texts have size 0, null
     sources are one source, sources without words get target 0 and no copies. Repeated
     rows are counted like any others; rows equal in id and text share their draw, others
-    have draws of their own, with or without an id. A source's taken words have its
-    target as their mean; how near they come follows from its number of documents. An
-    empty table gives an empty one. The corpus is read twice and never shuffled unless
-    there are more sources than a broadcast holds.
+    have draws of their own, with or without an id. Each of :data:`DRAWS` series has its
+    source's target as the mean of its words, and a source uses the series that comes
+    nearest, the first of equals. An empty table gives an empty one. Texts are read
+    twice and never shuffled unless there are more sources than a broadcast holds.
     """
     made = ("size", "source_size", "target", "copies", "taken")
     kept = [c for c in docs.columns if c.lower() not in made]
-    size = word_count(F.col("text"))
-    totals = stored(docs.groupBy("source").agg(F.sum(size).alias("source_size")), "mix-totals")
-    targets = source_targets(totals, weights, share, most).withColumnRenamed("source", "_of")
-    rate = F.when(F.col("m.source_size") > 0, F.col("m.target") / F.col("m.source_size")).otherwise(0.0)
-    more = chance(F.col("d.doc_id"), F.col("d.text"), seed) < rate - F.floor(rate)
-    out = docs.alias("d").join(targets.alias("m"), F.col("d.source").eqNullSafe(F.col("m._of")))
+    slim = docs.select(
+        F.col("source").alias("_source"), F.col("doc_id").cast("string").alias("_id"), word_count(F.col("text")).alias("_size"),
+        digest(F.col("text")).alias("_seen"),
+    )
+    slim = stored(slim, "mix-sizes")
+    totals = stored(slim.groupBy(F.col("_source").alias("source")).agg(F.sum("_size").alias("source_size")), "mix-totals")
+    targets = source_targets(totals, weights, share, most)
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    targets = stored(targets.withColumn("_rate", rate), "mix-targets")
+    met = slim.join(targets, F.col("_source").eqNullSafe(F.col("source")))
+    seeds = range(seed * DRAWS, seed * DRAWS + DRAWS)
+    words = {s: F.col("_size") * _copies(F.col("_rate"), _chance(F.col("_id"), F.col("_seen"), s)) for s in seeds}
+    sums = met.groupBy("source", "source_size", "target", "_rate").agg(*(F.sum(n).alias(f"_sum{s}") for s, n in words.items()))
+    nearest = F.array_min(F.array(*(F.struct(F.abs(F.col(f"_sum{s}") - F.col("target")).alias("off"), F.lit(s).alias("seed")) for s in seeds)))
+    picked = stored(sums.select(F.col("source").alias("_of"), "source_size", "target", "_rate", nearest["seed"].alias("_seed")), "mix-picked")
+    out = docs.alias("d").join(picked.alias("m"), F.col("d.source").eqNullSafe(F.col("m._of")))
     out = out.select(
         *(F.col(f"d.`{c}`") for c in kept), word_count(F.col("d.text")).alias("size"), "m.source_size", "m.target",
-        (F.floor(rate) + more.cast("long")).alias("copies"),
+        _copies(F.col("m._rate"), chance(F.col("d.doc_id"), F.col("d.text"), F.col("m._seed"))).alias("copies"),
     )
     return out.select(*(F.col(f"`{c}`") for c in kept), "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 

@@ -139,7 +139,7 @@ ORACLE_SQL: dict[str, str] = {
         FROM n JOIN (SELECT doc_id, min(reached) component_id FROM r GROUP BY doc_id) USING (doc_id)""",
     "op7_source_mix": """
         WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) size,
-            md5('0:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) h FROM documents),
+            ':' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) h FROM documents),
         s AS (SELECT source, sum(size)::BIGINT source_size FROM d GROUP BY source),
         w AS (SELECT *, [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] w FROM s),
         o AS (SELECT *, row_number() OVER (ORDER BY source_size / w, source NULLS LAST) i FROM w),
@@ -150,10 +150,11 @@ ORACLE_SQL: dict[str, str] = {
         t AS (SELECT source, source_size, CASE WHEN i < first THEN (2 * source_size)::DOUBLE
             ELSE w::DOUBLE * (SELECT rest FROM c WHERE i = first)::DOUBLE / (SELECT per FROM c WHERE i = first)::DOUBLE END target FROM c, f),
         r AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END rate FROM t),
-        k AS (SELECT d.*, source_size, target,
-            floor(rate)::BIGINT + (('0x' || substr(h, 1, 13))::BIGINT / 4503599627370496.0::DOUBLE < rate - floor(rate))::INT copies
-            FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)
-        SELECT doc_id, size, source_size, target, (size * copies)::BIGINT taken FROM k""",
+        k AS (SELECT d.*, source_size, target, j,
+            floor(rate)::BIGINT + (('0x' || substr(md5(j || h), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE < rate - floor(rate))::INT copies
+            FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source, range(8) x(j)),
+        best AS (SELECT source, arg_min(j, [off, j]) j FROM (SELECT source, j, abs(sum(size * copies)::DOUBLE - any_value(target)) off FROM k GROUP BY source, j) GROUP BY source)
+        SELECT doc_id, size, source_size, target, (size * copies)::BIGINT taken FROM k JOIN best ON k.source IS NOT DISTINCT FROM best.source AND k.j = best.j""",
     "op10_warc_index": """
         WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) n, sha256(coalesce(html, '')) d FROM pages),
         f AS (SELECT *, min(page_id) OVER (PARTITION BY d) first FROM p)

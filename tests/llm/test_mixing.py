@@ -62,6 +62,21 @@ def test_draws_are_even_and_independent_of_ids(spark, documents):
             assert sum(p < share for p in part) == pytest.approx(share * len(part), abs=4 * (len(part) * share * (1 - share)) ** 0.5)
 
 
+def test_sources_use_the_series_nearest_their_target(spark, documents):
+    """Small sources of uneven documents: one series alone leaves many of them far off."""
+    rows = [(k, " ".join(words(3 + k * 37 % 90, k)), None, f"s{k % 12:02d}") for k in range(480)]
+    got = mix(documents(rows)).collect()
+    for source in sorted({r["source"] for r in got}):
+        part = [r for r in got if r["source"] == source]
+        target, rate = part[0]["target"], part[0]["target"] / part[0]["source_size"]
+        texts = {doc_id: text for doc_id, text, _, s in rows if s == source}
+        series = [
+            sum(r["size"] * (int(rate) + (plain_chance(r["doc_id"], texts[r["doc_id"]], seed) < rate - int(rate))) for r in part) for seed in range(8)
+        ]
+        assert sum(r["taken"] for r in part) == min(series, key=lambda n: abs(n - target))
+        assert sum(r["taken"] for r in part) == pytest.approx(target, rel=0.05)
+
+
 def test_edges(spark, documents):
     got = mix(documents(EDGES))
     assert got.count() == len(EDGES)
